@@ -64,4 +64,4 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
     Call it on stored tables, whose count is read from Parquet footers.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if df.count() <= rows else df
