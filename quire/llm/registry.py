@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.quality import op1_quality_classifier
 from quire.llm.simhash import op9_simhash
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op9_simhash": op9_simhash}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_classifier": op1_quality_classifier,
+    "op9_simhash": op9_simhash,
+}
 ORACLES: dict[str, str] = {}
