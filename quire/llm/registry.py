@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.decontaminate import OP4_SQL, op4_decontamination
 from quire.llm.quality import op1_quality_classifier
 from quire.llm.simhash import op9_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op4_decontamination": op4_decontamination,
     "op9_simhash": op9_simhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}
