@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.decontaminate import OP4_SQL, op4_decontamination
+from quire.llm.mixing import op7_mixing
 from quire.llm.pii import op2_pii
 from quire.llm.quality import op1_quality_classifier
 from quire.llm.simhash import op9_simhash
@@ -15,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii": op2_pii,
     "op4_decontamination": op4_decontamination,
+    "op7_mixing": op7_mixing,
     "op9_simhash": op9_simhash,
 }
 ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}
