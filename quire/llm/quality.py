@@ -183,6 +183,12 @@ def scores(model: Model, text: Column) -> Column:
     return of(text)
 
 
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The documents whose whole text scores 0.5 or more, with their columns; learns from `docs` and `labels` as train() does."""
+    model = train(docs, labels)
+    return docs.withColumn("score__", scores(model, F.col("text"))).filter("score__ >= 0.5").drop("score__")
+
+
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -204,6 +204,18 @@ def links(prints: DataFrame, budget: int = 4, hot_node: int = HOT_NODE) -> DataF
     return dealt.select("k", "node", "pair", "depth", "key").mapInPandas(by_node, "u long, v long")
 
 
+def grouped(prints: DataFrame, budget: int = 4, hot_node: int = HOT_NODE) -> DataFrame:
+    """prints(doc_id, fp, ...), a stored table -> with group (bigint, one of the group's fingerprints) and component_id."""
+    leaves = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "leaves")
+    roots = components(links(leaves.select("fp"), budget, hot_node))
+    member = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
+    member = stored(member.join(leaves, F.col("node") == F.col("fp")).select("fp", "root", "least"), "member")
+    named = member.groupBy("root").agg(F.min("least").alias("component"))
+    linked = stored(member.join(named, "root").select("fp", "root", "component"), "linked")
+    own = leaves.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("group"), F.coalesce("component", "least").alias("component_id"))
+    return prints.join(own, "fp")
+
+
 def near_groups(docs: DataFrame, words: int = 4, budget: int = 4, hot_node: int = HOT_NODE) -> DataFrame:
     """Fingerprint and group of every row of `docs`, which needs doc_id and text.
 
@@ -213,13 +225,30 @@ def near_groups(docs: DataFrame, words: int = 4, budget: int = 4, hot_node: int
     Equal texts share a fingerprint and are one leaf of the trie, however many they are.
     """
     prints = stored(docs.select("doc_id", fingerprints(F.col("text"), words).alias("fp")), "prints")
-    leaves = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "leaves")
-    roots = components(links(leaves.select("fp"), budget, hot_node))
-    member = stored(roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct()).join(leaves, F.col("node") == F.col("fp")).select("fp", "root", "least"), "member")
-    named = member.groupBy("root").agg(F.min("least").alias("component"))
-    linked = stored(member.join(named, "root").select("fp", "component"), "linked")
-    own = leaves.join(linked, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return prints.join(own, "fp").select("doc_id", "fp", "component_id")
+    return grouped(prints, budget, hot_node).select("doc_id", "fp", "component_id")
+
+
+def deduplicated(docs: DataFrame, words: int = 4, budget: int = 4) -> DataFrame:
+    """One document of each group of near_groups(), with its columns: that of the smallest doc_id.
+
+    Among rows of that doc_id the fingerprint's and then the text's hash decide; of rows alike in doc_id and text
+    one stays. A group whose doc_ids are all null keeps one row too. Documents move once, by doc_id, and
+    not at all while the kept documents' table is small enough to be broadcast.
+    """
+    keyed = docs.withColumn("text__", F.xxhash64("text"))
+    prints = stored(keyed.select("doc_id", "text__", fingerprints(F.col("text"), words).alias("fp")), "prints")
+    groups = grouped(prints, budget)
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("fp").alias("c"), F.col("text__").alias("d"))
+    best = groups.groupBy("group").agg(F.min(order).alias("x")).select(F.col("x.b").alias("kept_id__"), F.col("x.d").alias("kept_text__"), F.col("x.c").alias("kept_fp__"))
+    many = prints.groupBy("doc_id", "text__").count().toDF("many_id__", "many_text__", "many__")
+    same = best["kept_id__"].eqNullSafe(many["many_id__"]) & best["kept_text__"].eqNullSafe(many["many_text__"])
+    kept = stored(best.join(many, same).select("kept_id__", "kept_text__", "many__"), "kept")
+    kept_on = keyed["doc_id"].eqNullSafe(kept["kept_id__"]) & keyed["text__"].eqNullSafe(kept["kept_text__"])
+    rows = keyed.join(small(kept), kept_on)
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    once = rows.filter("many__ = 1").select(names)
+    repeated = rows.filter("many__ > 1").dropDuplicates(["doc_id", "text__"]).select(names)
+    return once.unionByName(repeated)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from quire.llm.components import components
-from quire.llm.simhash import fingerprint, links, near_groups, op9_simhash
+from quire.llm.simhash import deduplicated, fingerprint, links, near_groups, op9_simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -84,6 +84,15 @@ def test_near_groups_odd_rows(spark):
     assert near_groups(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
+def test_one_document_of_each_group_stays(spark):
+    rows = [(5, "a b c d e", "x", 1), (5, "a b c d e", "z", 2), (3, "A b c d e", None, 3), (3, "A b c d e", None, 3), (None, "a b c d e", None, 4), (7, None, "y", 5), (9, " ", "y", 6), (None, "zz", "y", 7), (None, "zz", "y", 7), (8, "other words stand in this text", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string, many long")
+    out = deduplicated(docs)
+    assert out.columns == docs.columns
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(3, "A b c d e", None, 3), (7, None, "y", 5), (None, "zz", "y", 7), rows[-1]], key=repr)
+    assert deduplicated(docs.limit(0)).count() == 0
+
+
 def test_query_against_all_pairs(spark):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     prints = {d: plain_print(t) for d, t in docs.items()}
