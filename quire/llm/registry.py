@@ -10,13 +10,17 @@ from quire.llm.decontaminate import OP4_SQL, op4_decontamination
 from quire.llm.mixing import op7_mixing
 from quire.llm.pii import op2_pii
 from quire.llm.quality import op1_quality_classifier
+from quire.llm.rules import OP5_SQL, op5_quality_rules
 from quire.llm.simhash import op9_simhash
+from quire.llm.token_counts import op8_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii": op2_pii,
     "op4_decontamination": op4_decontamination,
+    "op5_quality_rules": op5_quality_rules,
     "op7_mixing": op7_mixing,
+    "op8_token_counts": op8_token_counts,
     "op9_simhash": op9_simhash,
 }
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op5_quality_rules": OP5_SQL}
