@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quire.llm.decontaminate import OP4_SQL, op4_decontamination
+from quire.llm.language import op3_language_id
 from quire.llm.mixing import op7_mixing
 from quire.llm.pii import op2_pii
 from quire.llm.quality import op1_quality_classifier
@@ -17,6 +18,7 @@ from quire.llm.token_counts import op8_token_counts
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_pii": op2_pii,
+    "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
     "op7_mixing": op7_mixing,
