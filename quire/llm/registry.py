@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quire.llm.chat import OP6_SQL, op6_chat_format
 from quire.llm.decontaminate import OP4_SQL, op4_decontamination
 from quire.llm.language import op3_language_id
 from quire.llm.mixing import op7_mixing
@@ -21,8 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_decontamination": op4_decontamination,
     "op5_quality_rules": op5_quality_rules,
+    "op6_chat_format": op6_chat_format,
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_simhash": op9_simhash,
 }
-ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op5_quality_rules": OP5_SQL}
+ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op5_quality_rules": OP5_SQL, "op6_chat_format": OP6_SQL}
