@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quire.llm.chat import OP6_SQL, op6_chat_format
 from quire.llm.decontaminate import OP4_SQL, op4_decontamination
 from quire.llm.language import op3_language_id
+from quire.llm.licences import op10_licences
 from quire.llm.mixing import op7_mixing
 from quire.llm.pii import op2_pii
 from quire.llm.quality import op1_quality_classifier
@@ -26,5 +27,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_mixing": op7_mixing,
     "op8_token_counts": op8_token_counts,
     "op9_simhash": op9_simhash,
+    "op10_licences": op10_licences,
 }
 ORACLES: dict[str, str] = {"op4_decontamination": OP4_SQL, "op5_quality_rules": OP5_SQL, "op6_chat_format": OP6_SQL}
