@@ -15,10 +15,14 @@ def corpus_mix(docs: DataFrame, by: list[str]) -> DataFrame:
     return docs.groupingSets(sets, *by).agg(F.count("*").alias("n_docs"), level.alias("level"))
 
 
-def font_audit(chars: DataFrame) -> DataFrame:
-    """Characters to verify by producer and font: all, different ones, private-use ones and those without a Unicode map."""
-    return chars.groupBy("producer", "fontname").agg(
-        F.count("*").alias("n_chars"), F.count_distinct("ch").alias("n_kinds"), F.count_if(F.col("ch").rlike(PRIVATE)).alias("n_pua"), F.count_if(~F.col("has_unicode_map")).alias("n_unmapped")
+def font_audit(kinds: DataFrame) -> DataFrame:
+    """Characters to verify by producer and font: all, different ones, private-use ones and those without a Unicode map.
+
+    `kinds` has a row for each producer, fontname, ch and has_unicode_map, with its number of characters n: characters
+    are aggregated before they are classified.
+    """
+    return kinds.groupBy("producer", "fontname").agg(
+        F.sum("n").alias("n_chars"), F.count_distinct("ch").alias("n_kinds"), F.sum(F.when(F.col("ch").rlike(PRIVATE), F.col("n")).otherwise(0)).alias("n_pua"), F.sum(F.when(~F.col("has_unicode_map"), F.col("n")).otherwise(0)).alias("n_unmapped")
     )
 
 

@@ -34,20 +34,19 @@ def producer(meta: Column) -> Column:
 def page_health(chars: DataFrame, pages: DataFrame, images: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row for each page: counts of bad characters, duplicates and outsiders, largest image cover, and the route.
 
-    `pages` has doc_id, page_no, width and height. Duplicates share a character, font and place (to `epsilon`).
-    Characters are pre-aggregated by place, then by page: two aggregations, no window, and the
-    second is partial on each side of its shuffle. Pages without characters or images stay, by left joins on the page key.
+    `pages` has doc_id, page_no, width and height. Duplicates share a character, font and place (to `epsilon`); places are
+    counted as a set of 64-bit hashes, which a page bounds, so one aggregation by page does: no window, no shuffle by place.
+    Pages without characters or images stay, by left joins on the page key.
     """
     page = ["doc_id", "page_no"]
     sized = chars.join(pages.select(*page, "width", "height"), page)
     outside = (F.col("x0") < 0) | (F.col("top") < 0) | (F.col("x1") > F.col("width")) | (F.col("bottom") > F.col("height"))
-    place = [F.round(F.col(c) / limits.epsilon).alias(f"at_{c}") for c in ("x0", "top")]
-    by_place = sized.groupBy(*page, "ch", "fontname", "has_unicode_map", *place).agg(F.count("*").alias("n"), F.count_if(outside).alias("out"))
-    of = lambda pattern: F.sum(F.when(F.col("ch").rlike(pattern), F.col("n")).otherwise(0))
-    counts = by_place.groupBy(*page).agg(
-        F.sum("n").alias("n_chars"), of(CID).alias("n_cid"), of(FFFD).alias("n_fffd"), of(PRIVATE).alias("n_pua"),
-        F.count_distinct(F.when(~F.col("has_unicode_map"), F.col("fontname"))).alias("n_unmapped_fonts"),
-        F.sum(F.col("n") - 1).alias("n_dup"), F.sum("out").alias("n_oob"),
+    place = F.xxhash64("ch", "fontname", "has_unicode_map", *[F.round(F.col(c) / limits.epsilon) for c in ("x0", "top")])
+    of = lambda pattern: F.count_if(F.col("ch").rlike(pattern))
+    counts = sized.groupBy(*page).agg(
+        F.count("*").alias("n_chars"), of(CID).alias("n_cid"), of(FFFD).alias("n_fffd"), of(PRIVATE).alias("n_pua"),
+        F.size(F.collect_set(F.when(~F.col("has_unicode_map"), F.col("fontname")))).cast("long").alias("n_unmapped_fonts"),
+        (F.count("*") - F.size(F.collect_set(place))).alias("n_dup"), F.count_if(outside).alias("n_oob"),
     )
     box = area(F.col("x0"), F.col("top"), F.col("x1"), F.col("bottom"))
     covers = images.join(pages.select(*page, "width", "height"), page).groupBy(*page).agg(F.max(share(box, F.col("width") * F.col("height"))).alias("max_img_cov"))

@@ -27,19 +27,16 @@ def broken(ledger: DataFrame, node: str) -> DataFrame:
 
 
 def coverage(boxes: DataFrame, pages: DataFrame) -> DataFrame:
-    """Share of each page that the union of its boxes covers, by a sweep over x inside the page."""
+    """Share of each page that the union of its boxes covers: strips between all sides, marked where some box fills them."""
     kinds = dict(pages.dtypes)
 
     def sweep(page: pd.DataFrame) -> pd.DataFrame:
-        total, box = 0.0, page[["x0", "top", "x1", "bottom"]].to_numpy(float)
-        cuts = np.unique(box[:, [0, 2]])
-        for left, right in zip(cuts[:-1], cuts[1:], strict=True):
-            spans = box[(box[:, 0] <= left) & (box[:, 2] >= right)][:, [1, 3]]
-            spans = spans[np.argsort(spans[:, 0])]
-            end = -np.inf
-            for top, bottom in spans:
-                total += (right - left) * max(0.0, bottom - max(top, end))
-                end = max(end, bottom)
+        box = page[["x0", "top", "x1", "bottom"]].to_numpy(float)
+        x, y = np.unique(box[:, [0, 2]]), np.unique(box[:, [1, 3]])
+        over_x = (box[:, :1] <= x[:-1]) & (box[:, 2:3] >= x[1:])
+        over_y = (box[:, 1:2] <= y[:-1]) & (box[:, 3:4] >= y[1:])
+        filled = over_x.astype(np.float32).T @ over_y.astype(np.float32) > 0
+        total = float(np.diff(x) @ filled @ np.diff(y))
         return pd.DataFrame({"doc_id": page["doc_id"].iloc[:1], "page_no": page["page_no"].iloc[:1], "covered": [total]})
 
     page = ["doc_id", "page_no"]

@@ -67,7 +67,8 @@ def page_profile(spark: SparkSession, sf: str) -> DataFrame:
 SELECT producer, fontname, count(*) AS n_chars, count(DISTINCT ch) AS n_kinds, count(*) FILTER (regexp_matches(ch, '[\\x{{E000}}-\\x{{F8FF}}]')) AS n_pua, count(*) FILTER (fontname = 'foreign') AS n_unmapped FROM c GROUP BY ALL""")
 def font_class_audit(spark: SparkSession, sf: str) -> DataFrame:
     """X.2: characters by producer (source) and class; one scan, aggregated before its shuffle."""
-    docs = table(spark, sf, "documents").select(F.col("source").alias("producer"), F.explode(F.split(F.replace("text", F.lit("\n"), F.lit("")), "")).alias("ch")).filter("ch <> ''")
+    chars = table(spark, sf, "documents").select(F.col("source").alias("producer"), F.explode(F.split(F.replace("text", F.lit("\n"), F.lit("")), "")).alias("ch")).filter("ch <> ''")
+    docs = chars.groupBy("producer", "ch").agg(F.count("*").alias("n"))
     kind = F.when(F.col("ch").rlike("[A-Za-z]"), "letter").when(F.col("ch").rlike("[0-9]"), "digit").when(F.col("ch").rlike(r"[^\x00-\x7F]"), "foreign").otherwise("mark")
     return audit.font_audit(docs.withColumn("fontname", kind).withColumn("has_unicode_map", F.col("fontname") != "foreign"))
 

@@ -229,6 +229,12 @@ def test_best_of_breaks_ties_and_drops_broken(spark):
     assert [r.id for r in escalation.queue(spark.createDataFrame([(1, 0.9), (2, 0.1), (3, None)], "id long, confidence double")).orderBy("id").collect()] == [2, 3]
 
 
+def test_fonts(spark):
+    rows = [("LaTeX", "F1", "a", True, 3), ("LaTeX", "F1", "\ue000", False, 2), ("Word", "F1", "a", True, 1)]
+    got = audit.font_audit(spark.createDataFrame(rows, "producer string, fontname string, ch string, has_unicode_map boolean, n long")).collect()
+    assert sorted(map(tuple, got)) == [("LaTeX", "F1", 5, 2, 2, 2), ("Word", "F1", 1, 1, 0, 0)]
+
+
 def test_silent_errors_count_questions(spark):
     rows = spark.createDataFrame([(1, True, False), (1, False, False), (1, True, True), (2, False, False)], "page long, wrong boolean, uncertain boolean")
     got = audit.silent_errors(rows, F.col("wrong"), F.col("uncertain")).first()
