@@ -85,7 +85,7 @@ OTHER = (
 UNKNOWN = "unknown"
 #: Unlabelled paragraphs to learn the unknown class from, about; a paragraph with one of these words is left out.
 SAMPLE = 1_500
-CUES = r"(?i)licen[sc]|copyright|\bmit\b|apache|gnu|\bgpl|\bcc0?\b|creative commons|redistribut|permi[ts]|reserved|public domain"
+CUES = r"(?i)licen[sc]|copyright|apache|gnu|\bgpl|\bcc0?\b|creative commons|redistribut|permi[ts]|reserved|public domain"
 #: n-grams in a larger share of the unknown class's paragraphs tell nothing and are left out.
 COMMON = 0.01
 #: Words of a template that a paragraph must share for its family to be confirmed.

@@ -33,7 +33,7 @@ def test_templates_are_found(spark, model):
 
 def test_weights_are_sparse_and_unknown_is_left_alone(spark, model):
     assert 20 < len(model.grams) < 400 and "the" not in model.grams
-    text = "The committee met on Monday.\nA driving license is needed.\nGeneral remarks on the public version."
+    text = "The committee met on Monday.\nA driving license is needed.\nGeneral remarks on the public version.\nDer Zug mit dem Ziel kommt mit und ohne Halt."
     assert scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).count() == 0
 
 
