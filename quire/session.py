@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Rows up to which a side may be broadcast once its rows have been counted.
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 300_000
 
 
 def build_session(app: str = "quire", cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
