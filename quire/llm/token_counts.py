@@ -140,7 +140,8 @@ def counted(docs: DataFrame, path: str, cache: str) -> DataFrame:
     own = docs.select("doc_id", content(F.col("text")).alias("text")).withColumn("digest", digest(F.col("text")))
     texts = own.join(missing, (own["digest"] == missing["wanted"]) & own["doc_id"].eqNullSafe(missing["first_id"])).select("digest", "text")
     encoded(texts, path).select(F.lit(name).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
-    return prints.join(held(), "digest").select("doc_id", "n_bytes", "n_tokens")
+    # stored, so that both sides of the join are plain shuffles, of which a hot digest's can be split
+    return prints.join(stored(held(), "counts"), "digest").select("doc_id", "n_bytes", "n_tokens")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
