@@ -167,7 +167,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixture(docs: DataFrame) -> DataFrame:
-    """`docs` with each row as often as the mix takes it (0, 1 or 2 times), and its copy number in `copy`."""
+    """`docs` with each row as often as the mix takes it (0, 1 or 2 times), and its copy number in `copy`, which replaces a column of that name.
+
+    Null texts have no words and null sources are one source; rows alike in doc_id, source and text share their copies
+    out; an empty table stays empty.
+    """
     keyed = docs.withColumn("text__", F.xxhash64("text")).withColumn("words__", n_words(F.col("text"))).withColumn("from__", _named(F.col("source")))
     units, _ = mixed(keyed, ["doc_id", "text__"], F.col("words__"))
     units = units.toDF(*[f"unit_{c}" for c in units.columns])
@@ -176,4 +180,4 @@ def mixture(docs: DataFrame) -> DataFrame:
     once = rows.filter("unit_many__ = 1").withColumn("nth__", F.lit(1))
     many = rows.filter("unit_many__ > 1").withColumn("nth__", F.row_number().over(Window.partitionBy("from__", "doc_id", "text__").orderBy("doc_id")))
     rows = once.unionByName(many).withColumn("times__", F.expr("unit_copies__ div unit_many__ + if(nth__ <= unit_copies__ % unit_many__, 1, 0)"))
-    return rows.filter("times__ > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times__"))).select(*[F.col(f"`{c}`") for c in docs.columns], "copy")
+    return rows.filter("times__ > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times__"))).select(*[F.col(f"`{c}`") for c in docs.columns if c != "copy"], "copy")

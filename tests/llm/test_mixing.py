@@ -75,6 +75,7 @@ def test_odd_rows(spark):
     seen = Counter((r.doc_id, r.text, r.source) for r in out.collect())
     assert all(n <= 2 * (9 if k[0] == 1 else 1) for k, n in seen.items())
     assert mixture(docs.limit(0)).count() == 0
+    assert mixture(docs.withColumn("copy", F.lit("x"))).columns == out.columns
 
 
 def test_query(spark):
