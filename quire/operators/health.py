@@ -35,11 +35,12 @@ def page_health(chars: DataFrame, pages: DataFrame, images: DataFrame, limits: L
     """One row for each page: counts of bad characters, duplicates and outsiders, largest image cover, and the route.
 
     `pages` has doc_id, page_no, width and height. Duplicates share a character, font and place (to `epsilon`).
-    Characters are pre-aggregated by place, then by page: two aggregations, no window, and the
-    second is partial on each side of its shuffle. Pages without characters or images stay, by left joins on the page key.
+    Characters are shuffled once, by page, which a sheet of paper bounds; the join with the page sizes and the
+    aggregations by place and by page all keep to that partitioning. Few places repeat, so a partial aggregation before
+    the shuffle would only hash every row in vain. Pages without characters or images stay, by left joins on the page key.
     """
     page = ["doc_id", "page_no"]
-    sized = chars.join(pages.select(*page, "width", "height"), page)
+    sized = chars.repartition(*page).join(pages.select(*page, "width", "height"), page)
     outside = (F.col("x0") < 0) | (F.col("top") < 0) | (F.col("x1") > F.col("width")) | (F.col("bottom") > F.col("height"))
     place = [F.round(F.col(c) / limits.epsilon).alias(f"at_{c}") for c in ("x0", "top")]
     by_place = sized.groupBy(*page, "ch", "fontname", "has_unicode_map", *place).agg(F.count("*").alias("n"), F.count_if(outside).alias("out"))

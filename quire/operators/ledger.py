@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -27,20 +26,24 @@ def broken(ledger: DataFrame, node: str) -> DataFrame:
 
 
 def coverage(boxes: DataFrame, pages: DataFrame) -> DataFrame:
-    """Share of each page that the union of its boxes covers: strips between all sides, marked where some box fills them."""
-    kinds = dict(pages.dtypes)
-
-    def sweep(page: pd.DataFrame) -> pd.DataFrame:
-        box = page[["x0", "top", "x1", "bottom"]].to_numpy(float)
-        x, y = np.unique(box[:, [0, 2]]), np.unique(box[:, [1, 3]])
-        over_x = (box[:, :1] <= x[:-1]) & (box[:, 2:3] >= x[1:])
-        over_y = (box[:, 1:2] <= y[:-1]) & (box[:, 3:4] >= y[1:])
-        filled = over_x.astype(np.float32).T @ over_y.astype(np.float32) > 0
-        total = float(np.diff(x) @ filled @ np.diff(y))
-        return pd.DataFrame({"doc_id": page["doc_id"].iloc[:1], "page_no": page["page_no"].iloc[:1], "covered": [total]})
+    """Share of each page that the union of its boxes covers; boxes without an area count nothing, nor do pages without boxes.
 
+    The sides of a page's boxes cut it into upright strips; in each, the boxes that span it are merged from top to
+    bottom. A page's boxes meet in one row, and the sweep is a fold over arrays.
+    """
     page = ["doc_id", "page_no"]
-    found = boxes.select(*page, "x0", "top", "x1", "bottom").groupBy(*page).applyInPandas(sweep, f"doc_id {kinds['doc_id']}, page_no {kinds['page_no']}, covered double")
+    real = boxes.filter("x1 > x0 and bottom > top")
+    rows = real.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("top", "bottom", "x0", "x1"))).alias("own"))
+    rows = rows.withColumn("sides", F.array_sort(F.array_distinct(F.flatten(F.transform("own", lambda r: F.array(r["x0"], r["x1"]))))))
+
+    def height(left: Column, right: Column) -> Column:
+        inside = F.filter("own", lambda r: (r["x0"] <= left) & (r["x1"] >= right))
+        start = F.struct(F.lit(float("-inf")).alias("end"), F.lit(0.0).alias("sum"))
+        step = lambda a, r: F.struct(F.greatest(a["end"], r["bottom"]).alias("end"), (a["sum"] + F.greatest(F.lit(0.0), r["bottom"] - F.greatest(a["end"], r["top"]))).alias("sum"))
+        return F.aggregate(inside, start, step, lambda a: a["sum"])
+
+    strips = F.transform(F.slice("sides", F.lit(2), F.size("sides")), lambda right, i: (right - F.get("sides", i)) * height(F.get("sides", i), right))
+    found = rows.select(*page, F.aggregate(strips, F.lit(0.0), lambda a, v: a + v).alias("covered"))
     whole = area(F.lit(0.0), F.lit(0.0), F.col("width"), F.col("height"))
     return pages.join(found, page, "left").select(*page, F.coalesce(F.try_divide("covered", whole), F.lit(0.0)).alias("coverage"))
 

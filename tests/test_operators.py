@@ -195,6 +195,22 @@ def test_coverage_and_latex(spark):
     assert [r.ok for r in got] == list(texts.values())
 
 
+def test_coverage_against_counting(spark):
+    draw = random.Random(3)
+    rows, want = [], {}
+    for page in range(40):
+        filled = set()
+        for k in range(draw.randint(1, 12)):
+            x0, top, w, h = (draw.randint(0, n) for n in (15, 15, 5, 5))  # some have no area
+            rows.append((1, page, k, float(x0), float(top), float(x0 + w), float(top + h)))
+            filled |= {(x, y) for x in range(x0, x0 + w) for y in range(top, top + h)}
+        want[page] = len(filled) / 400
+    boxes = spark.createDataFrame(rows, BOX).unionByName(spark.createDataFrame([(1, 0, 99, None, None, None, None)], BOX))
+    got = ledger.coverage(boxes, spark.createDataFrame([(1, p, 20.0, 20.0) for p in want], PAGE))
+    assert {r.page_no: pytest.approx(r.coverage) for r in got.collect()} == want
+    assert ledger.coverage(boxes.limit(0), spark.createDataFrame([], PAGE)).count() == 0
+
+
 def test_round_trip(spark):
     formulas = spark.createDataFrame([(1, "ab"), (2, "c")], "zone_id long, latex string")
     chars = spark.createDataFrame([(1, 1, "a", 0.0, 0.0, 10.0, 10.0), (1, 2, "b", 10.0, 0.0, 20.0, 10.0), (2, 3, "c", 50.0, 0.0, 60.0, 10.0)], "zone_id long, prim_id long, ch string, x0 double, top double, x1 double, bottom double")
