@@ -204,10 +204,13 @@ def links(prints: DataFrame, budget: int = 4, hot_node: int = HOT_NODE) -> DataF
     return dealt.select("k", "node", "pair", "depth", "key").mapInPandas(by_node, "u long, v long")
 
 
-def grouped(prints: DataFrame, budget: int = 4, hot_node: int = HOT_NODE) -> DataFrame:
-    """prints(doc_id, fp, ...), a stored table -> with group (bigint, one of the group's fingerprints) and component_id."""
+def grouped(prints: DataFrame, budget: int = 4, hot_node: int = HOT_NODE, linked: DataFrame | None = None) -> DataFrame:
+    """prints(doc_id, fp, ...), a stored table -> with group (bigint, one of the group's fingerprints) and component_id.
+
+    `linked` has links (u, v) of fp to take in place of those within the budget.
+    """
     leaves = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "leaves")
-    roots = components(links(leaves.select("fp"), budget, hot_node))
+    roots = components(links(leaves.select("fp"), budget, hot_node) if linked is None else linked)
     member = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     member = stored(member.join(leaves, F.col("node") == F.col("fp")).select("fp", "root", "least"), "member")
     named = member.groupBy("root").agg(F.min("least").alias("component"))
@@ -237,7 +240,12 @@ def deduplicated(docs: DataFrame, words: int = 4, budget: int = 4) -> DataFrame:
     """
     keyed = docs.withColumn("text__", F.xxhash64("text"))
     prints = stored(keyed.select("doc_id", "text__", fingerprints(F.col("text"), words).alias("fp")), "prints")
-    groups = grouped(prints, budget)
+    return one_of_each(docs, prints, grouped(prints, budget))
+
+
+def one_of_each(docs: DataFrame, prints: DataFrame, groups: DataFrame) -> DataFrame:
+    """The rows of `docs` that deduplicated() keeps, by the groups of their prints (doc_id, text__, fp)."""
+    keyed = docs.withColumn("text__", F.xxhash64("text"))
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("fp").alias("c"), F.col("text__").alias("d"))
     best = groups.groupBy("group").agg(F.min(order).alias("x")).select(F.col("x.b").alias("kept_id__"), F.col("x.d").alias("kept_text__"), F.col("x.c").alias("kept_fp__"))
     many = prints.groupBy("doc_id", "text__").count().toDF("many_id__", "many_text__", "many__")
