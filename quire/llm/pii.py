@@ -2,34 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROUNDS = 8
 #: The key of tests and of the query; a real run passes its own.
 KEY = "not-a-secret"
 
-#: Shapes by kind, tried in this order at each place of a text.
+#: Shapes by kind, tried in this order at each place of a text. Repeats without a bound are possessive: they neither go back nor nest.
 SHAPES = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[\p{L}\p{M}\p{N}-]++(?:\.[\p{L}\p{M}\p{N}-]++)++",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
-    "secret": r"(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})",
+    "secret": r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)",
     "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
-    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[/.][0-9]{2}[/.][0-9]{4})",
+    "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4})",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})",
     "card": r"[0-9](?:[ -]?[0-9]){12,18}",
 }
 PATTERN = r"(?<![\p{L}\p{N}])(?:" + "|".join(SHAPES.values()) + r")(?![\p{L}\p{N}])"
-#: Days from 1900-01-01 up to 2099-12-31 are DAY_HIGH * DAY_LOW in number.
-DAY_HIGH, DAY_LOW, FIRST_DAY = 17, 4297, "1900-01-01"
+#: Years whose dates are replaced. Days up to the 12th of a month, and later ones, are permuted among themselves: places of
+#: a month, its first of them, and the two radices whose product is the number of places of all years.
+YEARS = (1900, 2099)
+EARLY, LATE = (12, 1, 160, 180), (19, 13, 200, 228)
+#: A late place beyond the end of its month is permuted on, which one in thirty is; so many times at most.
+WALK = 24
+#: Draws that a digest yields.
+DRAWS = 25
+#: Code points that are permuted among themselves: digits, Latin, Cyrillic, Han, Hangul. Others keep to their aligned block of 16.
+ALPHABETS = ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x410, 0x42F), (0x430, 0x44F), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
 def _added(own: Column, radix: Column, other: Column, tweak: Column, turn: Column) -> Column:
-    """own + keystream(other) in each place, modulo the place's radix."""
+    """own + keystream(other) in each place, modulo the place's radix; the first DRAWS places draw from one digest, the next from a digest of it."""
     stream = F.sha2(F.concat_ws(":", tweak, turn.cast("string"), F.array_join(other.cast("array<string>"), ",")).cast("binary"), 512)
     # a lambda sees the digest as an array element of its own, or it would be taken anew for every place
-    drawn = F.flatten(F.transform(F.array(stream), lambda h: F.transform(F.sequence(F.lit(0), F.lit(24)), lambda i: F.conv(F.substr(h, 1 + i * 5, F.lit(5)), 16, 10).cast("long"))))
-    return F.zip_with(F.zip_with(own, radix, lambda v, r: F.struct(v.alias("v"), r.alias("r"))), F.slice(F.flatten(F.array_repeat(drawn, 3)), F.lit(1), F.size(own)), lambda x, s: (x["v"] + s) % x["r"])
+    draws = lambda h: F.transform(F.sequence(F.lit(0), F.lit(DRAWS - 1)), lambda i: F.conv(F.substr(h, 1 + i * 5, F.lit(5)), 16, 10).cast("long"))
+    digest = lambda h, k: F.when(k == 0, h).otherwise(F.sha2(F.concat_ws(":", h, k.cast("string")).cast("binary"), 512))
+    blocks = F.sequence(F.lit(0), F.floor((F.greatest(F.size(own), F.lit(1)) - 1) / DRAWS).cast("int"))
+    drawn = _let(stream, lambda h: F.flatten(F.transform(blocks, lambda k: _let(digest(h, k), draws))))
+    return F.zip_with(F.zip_with(own, radix, lambda v, r: F.struct(v.alias("v"), r.alias("r"))), F.slice(drawn, F.lit(1), F.size(own)), lambda x, s: (x["v"] + s) % x["r"])
 
 
 def permuted(values: Column, radix: Column, tweak: Column, key: str) -> Column:
@@ -37,7 +55,7 @@ def permuted(values: Column, radix: Column, tweak: Column, key: str) -> Column:
 
     The halves take turns: the odd rounds add a keyed digest of the second half to the first, the even ones the reverse,
     each modulo its radix, so the result has the same length and radices and the map can be undone. Equal values
-    under one tweak and key have equal results. Up to 150 places.
+    under one tweak and key have equal results. Any number of places.
     """
     half = F.floor(F.size(values) / 2).cast("int")
     rest = F.size(values) - half
@@ -74,12 +92,22 @@ _HEX = "0123456789abcdef"
 
 
 def _by_class(text: Column, tweak: Column, key: str) -> Column:
-    """ASCII letters and digits permuted within their class; other characters stay."""
-    one = lambda c: F.when(c.rlike("[0-9]"), 10).when(c.rlike("[A-Za-z]"), 26).otherwise(1).cast("long")
-    value = lambda c: F.when(c.rlike("[0-9]"), F.ascii(c) - 48).when(c.rlike("[a-z]"), F.ascii(c) - 97).when(c.rlike("[A-Z]"), F.ascii(c) - 65).otherwise(0).cast("long")
-    first = lambda c: F.when(c.rlike("[0-9]"), 48).when(c.rlike("[a-z]"), 97).otherwise(65)
-    new = permuted(F.transform(_chars(text), value), F.transform(_chars(text), one), tweak, key)
-    return F.array_join(F.zip_with(_chars(text), new, lambda c, v: F.when(c.rlike("[A-Za-z0-9]"), F.char(first(c) + v)).otherwise(c)), "")
+    """Letters, digits and marks beyond ASCII permuted within their alphabet or block; ASCII marks stay. Any length, any script."""
+
+    def place(c: Column) -> Column:
+        base, many = F.when(c < 128, c).otherwise(c - c % 16), F.when(c < 128, 1).otherwise(16)
+        for low, high in reversed(ALPHABETS):
+            own = c.between(low, high)
+            base, many = F.when(own, low).otherwise(base), F.when(own, high - low + 1).otherwise(many)
+        return F.struct((c - base).cast("long").alias("v"), many.cast("long").alias("r"), base.alias("base"))
+
+    def moved(places: Column) -> Column:
+        new = permuted(F.transform(places, lambda p: p["v"]), F.transform(places, lambda p: p["r"]), tweak, key)
+        # a code point becomes a character by way of its four bytes
+        char = lambda n: F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.array_join(F.zip_with(places, new, lambda p, v: char(p["base"] + v)), "")
+
+    return _let(F.transform(_chars(text), lambda c: place(F.ascii(c))), moved)
 
 
 def _hex(shown: Column, key: str) -> Column:
@@ -139,16 +167,44 @@ def _ssn(shown: Column, key: str) -> Column:
 
 
 def _date(shown: Column, key: str) -> Column:
-    """A day of 1900 to 2099, written year-month-day or day/month/year; both ways of a day have one pseudonym."""
-    iso = F.substr(shown, F.lit(5), F.lit(1)) == "-"
-    part = lambda a, n: F.substr(shown, F.lit(a), F.lit(n))
-    day = F.try_to_timestamp(F.when(iso, shown).otherwise(F.concat_ws("-", part(7, 4), part(4, 2), part(1, 2))), F.lit("yyyy-MM-dd")).cast("date")
-    number = F.datediff(day, F.lit(FIRST_DAY).cast("date")).cast("long")
-    one = F.lit(1).cast("long")
-    new = permuted(F.array(F.floor(number / DAY_LOW), number % DAY_LOW), F.array(one * DAY_HIGH, one * DAY_LOW), F.lit("date"), key)
-    dated = F.transform(F.array(new), lambda x: F.date_add(F.lit(FIRST_DAY).cast("date"), (x[0] * DAY_LOW + x[1]).cast("int")))
-    written = F.when(iso, F.date_format(F.get(dated, 0), "yyyy-MM-dd")).otherwise(_written(shown, "[0-9]", F.date_format(F.get(dated, 0), "ddMMyyyy")))
-    return F.when(number.between(0, DAY_HIGH * DAY_LOW - 1), written).otherwise(shown)
+    """A day of 1900 to 2099: year-month-day, day/month/year, or month/day/year where the month cannot be one.
+
+    A day has one pseudonym however it is written, and it is written the same way. Days up to the 12th and later ones are
+    permuted apart, so that a month/day/year stays one that cannot be read otherwise. A date with a part of one digit is written
+    without leading zeros.
+    """
+    long = lambda k: F.regexp_extract(shown, r"^([0-9]+)[^0-9]([0-9]+)[^0-9]([0-9]+)$", k).cast("long")
+
+    def valid(y: Column, m: Column, d: Column) -> Column:
+        leap = (y % 4 == 0) & ((y % 100 != 0) | (y % 400 == 0))
+        last = F.when(m == 2, F.when(leap, 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
+        return y.between(*YEARS) & m.between(1, 12) & d.between(1, last)
+
+    def day(x: Column, kind: tuple[int, int, int, int]) -> tuple[Column, Column, Column]:
+        month = F.floor(x / kind[0])
+        return YEARS[0] + F.floor(month / 12), month % 12 + 1, x % kind[0] + kind[1]
+
+    def moved(p: Column, kind: tuple[int, int, int, int], name: str) -> Column:
+        per, first, high, low = kind
+        one = lambda v: F.lit(v).cast("long")
+        turn = lambda x: _let(permuted(F.array(F.floor(x / low), x % low), F.array(one(high), one(low)), F.lit(name), key), lambda n: n[0] * low + n[1])
+        index = ((p["y"] - YEARS[0]) * 12 + p["m"] - 1) * per + p["d"] - first
+        walked = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), turn(index), lambda x, _: F.when(valid(*day(x, kind)), x).otherwise(turn(x)))
+        return _let(walked, lambda x: F.struct(*[v.cast("long").alias(k) for k, v in zip("ymd", day(x, kind), strict=True)]))
+
+    iso, bare = shown.rlike("^[0-9]{4}-"), shown.rlike(r"(?:^|[/.])[0-9][/.]")
+    y, a, b = F.when(iso, long(1)).otherwise(long(3)), F.when(iso, long(3)).otherwise(long(1)), long(2)
+    day_first = iso | valid(y, b, a)
+    m, d = F.when(day_first, b).otherwise(a), F.when(day_first, a).otherwise(b)
+
+    def written(p: Column) -> Column:
+        new = F.when(p["d"] <= EARLY[0], moved(p, EARLY, "date")).otherwise(moved(p, LATE, "late date"))
+        two = lambda v: F.when(bare, v.cast("string")).otherwise(_padded(v, 2))
+        mark = F.regexp_extract(shown, "[/.]", 0)
+        apart = lambda n: F.when(iso, F.concat_ws("-", n["y"].cast("string"), _padded(n["m"], 2), _padded(n["d"], 2))).otherwise(F.concat(F.when(day_first, two(n["d"])).otherwise(two(n["m"])), mark, F.when(day_first, two(n["m"])).otherwise(two(n["d"])), mark, n["y"].cast("string")))
+        return F.when(valid(p["y"], p["m"], p["d"]), _let(new, apart)).otherwise(shown)
+
+    return _let(F.struct(y.alias("y"), m.alias("m"), d.alias("d")), written)
 
 
 def _mod97(text: Column) -> Column:
@@ -166,8 +222,9 @@ def _iban(shown: Column, key: str) -> Column:
 
 
 def _email(shown: Column, key: str) -> Column:
+    """The name is permuted; the domain stays readable, as it rarely tells who someone is."""
     name = F.substring_index(shown, "@", 1)
-    return F.when(F.length(name) <= 150, F.concat(_by_class(name, F.lit("email"), key), F.substr(shown, F.length(name) + 1))).otherwise(shown)
+    return F.concat(_by_class(name, F.lit("email"), key), F.substr(shown, F.length(name) + 1))
 
 
 _MAKERS = {"email": _email, "iban": _iban, "secret": _hex, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
@@ -185,15 +242,16 @@ def pseudonym(shown: Column, key: str = KEY) -> Column:
 def pseudonymised(docs: DataFrame, key: str = KEY, count: str | None = None) -> DataFrame:
     """`docs` with every validated value in `text` replaced by its pseudonym; other columns as they are.
 
-    Kinds: e-mail names, IBANs, hexadecimal secrets, IPv4 addresses, dates, US social security numbers, phone and
-    card numbers. A text without such a value is passed on as it is; a null text stays null. Whole texts are
-    searched; there is no shuffle. `count` names a bigint column for the number of values replaced (0 for null).
+    Kinds: names of e-mail addresses in any script (their domains stay readable), IBANs, hexadecimal secrets of 32 digits or
+    more, IPv4 addresses, dates, US social security numbers, phone and card numbers; values of any length. A text without such a
+    value is passed on as it is; a null text stays null. Whole texts are
+    searched; there is no shuffle. A column of the name `count` is replaced, one named part__ is not allowed. `count` names a bigint column for the number of values replaced (0 for null).
     """
     text = F.col("text")
     shown = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     parts = F.transform(F.array(shown), lambda m: F.struct(F.split(text, PATTERN, -1).alias("between"), m.alias("shown"), F.transform(m, lambda x: pseudonym(x, key)).alias("new")))
     # an explode of one row: the parts are made once, though used several times below
-    rows = docs.withColumn("part__", F.explode(F.array(F.when(text.rlike("[0-9@]"), F.get(parts, 0)))))
+    rows = docs.withColumn("part__", F.explode(F.array(F.when(text.rlike("[0-9@]|[a-f]{32}|[A-F]{32}"), F.get(parts, 0)))))
     new = F.array_join(F.zip_with("part__.between", "part__.new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     if count:
         changed = F.filter(F.zip_with("part__.shown", "part__.new", lambda a, b: a != b), lambda c: c)

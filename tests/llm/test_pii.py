@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.001"
 
 def stream(own, radix, other, tweak, turn, sign):
     digest = hashlib.sha512(f"{tweak}:{turn}:{','.join(map(str, other))}".encode()).hexdigest()
-    return [(v + sign * int(digest[5 * (i % 25) : 5 * (i % 25) + 5], 16)) % r for i, (v, r) in enumerate(zip(own, radix, strict=True))]
+    blocks = [digest, *(hashlib.sha512(f"{digest}:{k}".encode()).hexdigest() for k in range(1, len(own) // 25 + 1))]
+    return [(v + sign * int(blocks[i // 25][5 * (i % 25) : 5 * (i % 25) + 5], 16)) % r for i, (v, r) in enumerate(zip(own, radix, strict=True))]
 
 
 def plain(values, radix, tweak, back=False, key=KEY):
@@ -38,8 +39,8 @@ def masked(spark, texts, key=KEY):
 
 def test_permutation_against_plain_and_back(spark):
     rnd = random.Random(2)
-    rows = [[rnd.randrange(r) for r in radix] for radix in ([10] * 14, [256] * 4, [17, 4297], [26, 1, 10, 10, 26], [7], [16] * 64) for _ in range(5)]
-    radices = [radix for radix in ([10] * 14, [256] * 4, [17, 4297], [26, 1, 10, 10, 26], [7], [16] * 64) for _ in range(5)]
+    rows = [[rnd.randrange(r) for r in radix] for radix in ([10] * 14, [256] * 4, [17, 4297], [26, 1, 10, 10, 26], [7], [16] * 64, [26] * 400) for _ in range(5)]
+    radices = [radix for radix in ([10] * 14, [256] * 4, [17, 4297], [26, 1, 10, 10, 26], [7], [16] * 64, [26] * 400) for _ in range(5)]
     df = spark.createDataFrame(list(zip(rows, radices, strict=True)), "v array<long>, r array<long>")
     for got in df.select("v", "r", permuted(F.col("v"), F.col("r"), F.lit("t"), KEY).alias("p")).collect():
         assert got.p == plain(got.v, got.r, "t") and plain(got.p, got.r, "t", back=True) == got.v
@@ -73,6 +74,60 @@ def test_every_kind_keeps_its_format_and_links(spark):
     assert masked(spark, ["4929963689861572"], "other")[0][0] != new["4929963689861572"]
 
 
+ALPHABETS = ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x410, 0x42F), (0x430, 0x44F), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+
+
+def plain_name(name, back=False):
+    at = [next((r for r in ALPHABETS if r[0] <= ord(c) <= r[1]), (ord(c), ord(c)) if ord(c) < 128 else (ord(c) // 16 * 16, ord(c) // 16 * 16 + 15)) for c in name]
+    new = plain([ord(c) - low for c, (low, _) in zip(name, at, strict=True)], [high - low + 1 for low, high in at], "email", back)
+    return "".join(chr(low + v) for v, (low, _) in zip(new, at, strict=True))
+
+
+def test_names_and_secrets_of_any_length_and_script(spark):
+    names = ["иван.петров", "李雷", "김철수", "jürgen.müller", "γιώργος", "वि.के", "a" * 10_000, "x9" * 80, "😀a".replace("😀", "𝒜")]
+    secrets = ["0123456789abcdef" * 8, "a" * 65, "F" * 500]
+    got = masked(spark, [f"{n}@example.org" for n in names] + secrets)
+    for n, (new, count) in zip(names, got, strict=False):
+        assert count == 1 and new == f"{plain_name(n)}@example.org" and plain_name(new[: -len("@example.org")], back=True) == n
+    for s, (new, count) in zip(secrets, got[len(names) :], strict=True):
+        half = plain([int(c, 16) for c in s], [16] * len(s), "secret")
+        assert count == 1 and new.lower() == "".join(f"{v:x}" for v in half) and new.isupper() == s.isupper()
+    long = got[6][0][:10_000]
+    assert all(long[k : k + 60] not in long[k + 1 :] for k in range(0, 9_000, 500))  # no period
+
+
+def test_regex_does_not_recurse(spark):
+    (new, count), (same, none) = masked(spark, ["a@b" + ".b" * 1_000_000, "a@" + "z" * 2_000_000])
+    assert count == 1 and new.endswith("@b" + ".b" * 1_000_000) and none == 0 and same.startswith("a@zzz")
+
+
+def plain_date(y, m, d):
+    per, first, high, low = (12, 1, 160, 180) if d <= 12 else (19, 13, 200, 228)
+    x = ((y - 1900) * 12 + m - 1) * per + d - first
+    while True:
+        a, b = plain([x // low, x % low], [high, low], "date" if d <= 12 else "late date")
+        x = a * low + b
+        try:
+            return datetime.date(1900 + x // per // 12, x // per % 12 + 1, x % per + first)
+        except ValueError:
+            continue
+
+
+def test_dates_of_every_order(spark):
+    rnd = random.Random(4)
+    days = [datetime.date(1900, 1, 1) + datetime.timedelta(rnd.randrange(73_049)) for _ in range(60)] + [datetime.date(2000, 2, 29), datetime.date(1999, 12, 31)]
+    texts = [t for x in days for t in (f"{x}", f"{x:%d/%m/%Y}", f"{x:%m/%d/%Y}", f"{x.day}.{x.month}.{x.year}")]
+    got = [t for t, _ in masked(spark, texts)]
+    for k, x in enumerate(days):
+        new = plain_date(x.year, x.month, x.day)
+        assert got[4 * k] == f"{new}" and got[4 * k + 1] == f"{new:%d/%m/%Y}" and (new.day > 12) == (x.day > 12)
+        if x.day > 12:  # else it reads as day and month
+            assert got[4 * k + 2] == f"{new:%m/%d/%Y}"
+        if min(x.day, x.month) < 10:
+            assert got[4 * k + 3] == f"{new.day}.{new.month}.{new.year}"
+    assert masked(spark, ["12/25/1990"])[0][1] == 1 and masked(spark, ["13/25/1990", "0/1/1990", "1/1/2100"])[0][1] == 0
+
+
 def test_odd_texts(spark):
     long = "word " * 300_000 + "4929963689861572" + " word" * 300_000
     run = "-" * 200_000 + "@"
