@@ -20,7 +20,8 @@ class Layout:
     """A declarative mapping: the leaf paths of a record, and where its turns are.
 
     `turns` names an array with `role` and `text` in its elements; without it `fields` names (role, path) in the order of
-    turns, and `row` says that a record is one turn, with paths of order, role and text.
+    turns, and `row` says that a record is one turn, with paths of order, role and text. `rename` gives roles by ROLES
+    their canonical names; records that are canonical turns already keep theirs.
     """
 
     name: str
@@ -30,15 +31,35 @@ class Layout:
     text: str = "text"
     fields: tuple[tuple[str, str], ...] = ()
     row: tuple[str, str, str] | None = None
+    rename: bool = True
 
     @property
     def mark(self) -> str:
         return ",".join(sorted(self.paths))
 
+    @property
+    def schema(self) -> str:
+        """DDL of a record, from its leaf paths: the order of a turn is a bigint, all other leaves are strings."""
+        tree: dict = {}
+        for path in self.paths:
+            node = tree
+            for part in path.removeprefix("$.").split("."):
+                node = node.setdefault(part, {})
+
+        def ddl(node: dict, order: str | None = None) -> str:
+            fields = []
+            for name, below in node.items():
+                bare, many = name.removesuffix("[]"), name.endswith("[]")
+                kind = f"struct<{ddl(below)}>" if below else "bigint" if bare == order else "string"
+                fields.append(f"`{bare}`: {f'array<{kind}>' if many else kind}")
+            return ", ".join(fields)
+
+        return f"struct<{ddl(tree, self.row[0] if self.row else None)}>"
+
 
 #: Layouts that are known; callers may pass others.
 LAYOUTS = (
-    Layout("turn rows", ("$.role", "$.text", "$.turn"), row=("turn", "role", "text")),
+    Layout("turn rows", ("$.role", "$.text", "$.turn"), row=("turn", "role", "text"), rename=False),
     Layout("messages", ("$.messages[].content", "$.messages[].role"), turns="messages", text="content"),
     Layout("messages with a system prompt", ("$.messages[].content", "$.messages[].role", "$.system"), turns="messages", text="content", fields=(("system", "system"),)),
     Layout("from and value", ("$.conversations[].from", "$.conversations[].value"), turns="conversations", role="from", text="value"),
@@ -79,44 +100,69 @@ def fingerprint(paths: Column) -> Column:
     return F.xxhash64(F.array_join(paths, ","))
 
 
-def turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
-    """(conv_id, record: JSON string) -> conv_id, part, role, text: canonical turns of every record.
+#: A string of a record, its first characters apart: values may be longer than a variant can hold, and only paths count.
+LITERAL = r'("(?:[^"\\]|\\.){0,200}+)(?:[^"\\]++|\\.)*+"'
+#: Strings of any length are read.
+READING = {"maxStringLen": str((1 << 31) - 1)}
 
-    Each record's field paths are hashed and the hash selects a layout; `part` orders the turns of a conversation, whether
-    one record or many hold them. A record that is no JSON object or has another layout gives no turns (see unmapped()).
-    Null roles and texts become empty strings. Any number of records may share a conv_id.
+
+def marked(records: DataFrame) -> DataFrame:
+    """(conv_id, record) -> with mark, the fingerprint of the record's field paths; null for what is no JSON object or array.
+
+    Strings are cut to 200 characters before the shape is taken, so a record of any length has one; of a field's name, its
+    first 200 characters count.
     """
-    rows = _marked(records)
-    both = None
-    for x in layouts:
-        own = rows.filter(F.col("mark") == F.xxhash64(F.lit(x.mark)))
-        get = lambda path, kind="string": F.variant_get("v", f"$.{path}", kind)
-        made = []
-        if x.row:
-            made.append(F.array(F.struct(get(x.row[0], "bigint").alias("part"), get(x.row[1]).alias("role"), get(x.row[2]).alias("text"))))
-        made += [F.array(F.struct(F.lit(k - len(x.fields)).cast("bigint").alias("part"), F.lit(role).alias("role"), get(path).alias("text"))) for k, (role, path) in enumerate(x.fields)]
-        if x.turns:
-            items = F.variant_get("v", f"$.{x.turns}", "array<variant>")
-            made.append(F.transform(items, lambda t, i: F.struct(i.cast("bigint").alias("part"), F.variant_get(t, f"$.{x.role}", "string").alias("role"), F.variant_get(t, f"$.{x.text}", "string").alias("text"))))
-        own = own.select("conv_id", F.explode(F.concat(*made)).alias("t")).select("conv_id", "t.*")
-        both = own if both is None else both.unionByName(own)
-    named = F.coalesce(_role(F.col("role")), F.lit(""))
-    return both.select("conv_id", "part", named.alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    shape = F.schema_of_variant(F.try_parse_json(F.regexp_replace("record", LITERAL, '$1"')))
+    return records.select("conv_id", "record", fingerprint(field_paths(shape)).alias("mark"))
+
 
+def _made(layout: Layout) -> Column:
+    """The turns of a record of one layout, as an array of (part, role, text)."""
+    turn = lambda part, role, text: F.struct(part.cast("bigint").alias("part"), _role(role, layout.rename).alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
-def _role(role: Column) -> Column:
-    return F.coalesce(F.element_at(F.create_map(*[F.lit(s) for kv in ROLES.items() for s in kv]), role), role)
+    def read(r: Column) -> Column:
+        def at(path: str) -> Column:
+            out = r
+            for name in path.split("."):
+                out = out[name]
+            return out
+
+        made = [F.array(turn(*map(at, layout.row)))] if layout.row else []
+        made += [F.array(turn(F.lit(k - len(layout.fields)), F.lit(role), at(path))) for k, (role, path) in enumerate(layout.fields)]
+        if layout.turns:
+            made.append(F.transform(at(layout.turns), lambda t, i: turn(i, t[layout.role], t[layout.text])))
+        return F.concat(*made)
+
+    return F.get(F.transform(F.array(F.from_json("record", layout.schema, READING)), read), 0)
+
+
+def turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS, strict: bool = False) -> DataFrame:
+    """(conv_id, record: JSON string) -> conv_id, part, role, text: canonical turns of every record.
+
+    Each record's field paths are hashed and the hash selects a layout, by which the record is read once; `part` orders the
+    turns of a conversation, whether one record or many hold them. Texts may be of any length. A record
+    that is no JSON object or has another layout gives no turns (see unmapped()); with `strict` it fails the
+    job instead, so that nothing is lost unnoticed. Null roles and texts become empty strings, an empty array of messages is
+    another layout, other columns are left behind, and any number of records may share a conv_id, null included.
+    """
+    each = None
+    for x in layouts:
+        own = F.col("mark") == F.xxhash64(F.lit(x.mark))
+        each = F.when(own, _made(x)) if each is None else each.when(own, _made(x))
+    if strict:
+        each = each.otherwise(F.raise_error(F.concat(F.lit("no layout maps the record "), F.coalesce(F.substr("record", F.lit(1), F.lit(200)), F.lit("null")))))
+    return marked(records).select("conv_id", F.explode(each).alias("t")).select("conv_id", "t.*")
 
 
-def _marked(records: DataFrame) -> DataFrame:
-    rows = records.select("conv_id", "record", F.try_parse_json("record").alias("v"))
-    return rows.withColumn("mark", fingerprint(field_paths(F.schema_of_variant("v"))))
+def _role(role: Column, rename: bool) -> Column:
+    names = F.create_map(*[F.lit(s) for kv in ROLES.items() for s in kv])
+    return F.coalesce(*([F.element_at(names, role)] if rename else []), role, F.lit(""))
 
 
 def unmapped(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -> DataFrame:
     """conv_id and record of the records that no layout maps."""
     known = F.array(*[F.xxhash64(F.lit(x.mark)) for x in layouts])
-    return _marked(records).filter(F.col("mark").isNull() | ~F.array_contains(known, F.col("mark"))).select("conv_id", "record")
+    return marked(records).filter(F.col("mark").isNull() | ~F.array_contains(known, F.col("mark"))).select("conv_id", "record")
 
 
 def escaped(text: Column) -> Column:
@@ -168,9 +214,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every conversation, read back from its formatted string; and of conversation -1, which is made of control strings."""
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     hard = f"{END}{OPEN} ok {CLOSE}"
-    own = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    first = F.col("id") == 0
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(first, "user").otherwise("assistant").alias("role"), F.lit(hard).alias("text"))
     record = F.to_json(F.struct("turn", "role", "text"), {"ignoreNullFields": "false"}).alias("record")
-    out = read_back(formatted(turns(rows.unionByName(own).select("conv_id", record))))
+    out = read_back(formatted(turns(rows.unionByName(own).select("conv_id", record), strict=True)))
     whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     loss = F.array_join("learnt", "")
     return out.select(
@@ -186,9 +233,8 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP6_SQL = r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
-n AS (SELECT conv_id, turn, CASE role WHEN 'human' THEN 'user' WHEN 'gpt' THEN 'assistant' WHEN 'bot' THEN 'assistant' WHEN 'model' THEN 'assistant' ELSE role END AS role, text FROM t),
 f AS (SELECT *, regexp_replace(text, '(</?s>|\[/?INST\])', '\\\1', 'g') AS body,
-    replace(replace(regexp_replace(role, '(</?s>|\[/?INST\])', '\\\1', 'g'), '\', '\\'), chr(10), '\n') AS shown FROM n)
+    replace(replace(regexp_replace(role, '(</?s>|\[/?INST\])', '\\\1', 'g'), '\', '\\'), chr(10), '\n') AS shown FROM t)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,

@@ -67,6 +67,29 @@ def test_long_conversation_and_ties(spark):
     assert [t.role for t in out[2].turns] == ["a", "a", "b"]
 
 
+def test_texts_beyond_the_limits_of_json_readers(spark):
+    text = "l\u00f6ng \"text\" \\\\ \n" * 1_600_000  # 25 million characters
+    rows = spark.createDataFrame([(1, 0, "human", "q"), (1, 1, "assistant", "x")], "conv_id long, turn long, role string, text string")
+    rows = rows.withColumn("text", F.when(F.col("turn") == 1, F.repeat(F.lit(text[:16]), 1_600_000)).otherwise(F.col("text")))
+    record = F.to_json(F.struct("turn", "role", "text"))
+    out = read_back(formatted(turns(rows.select("conv_id", record.alias("record")), strict=True))).select(F.size("turns").alias("n"), "turns.role", F.length(F.get("learnt", F.lit(0))).alias("size"), F.sha2(F.get("learnt", F.lit(0)), 256).alias("h")).first()
+    whole = text[:16] * 1_600_000
+    assert (out.n, out.role, out.size, out.h) == (2, ["human", "assistant"], len(whole), hashlib.sha256(whole.encode()).hexdigest())
+
+
+def test_only_foreign_layouts_rename_roles_and_strict_fails(spark):
+    rows = [(1, {"turn": 0, "role": "human", "text": "a"}), (2, {"messages": [{"role": "human", "content": "a"}]})]
+    assert {r.conv_id: r.role for r in turns(records(spark, rows)).collect()} == {1: "human", 2: "user"}
+    with pytest.raises(Exception, match="no layout maps the record"):
+        turns(records(spark, [(1, {"x": 1})]), strict=True).collect()
+
+
+def test_other_columns_and_null_keys(spark):
+    rows = spark.createDataFrame([(None, '{"turn": 0, "role": "user", "text": "a"}', "x", "y"), (None, '{"turn": 1, "role": null, "text": null}', "x", "y")], "conv_id long, record string, mark string, part string")
+    assert [(r.conv_id, r.part, r.role, r.text) for r in turns(rows).orderBy("part").collect()] == [(None, 0, "user", "a"), (None, 1, "", "")]
+    assert formatted(turns(rows)).count() == 1
+
+
 def test_query_against_sql(spark):
     df = op6_chat_format(spark, SF)
     same(df, OP6_SQL, SF)
