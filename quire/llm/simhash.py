@@ -14,8 +14,8 @@ from quire.session import small, stored
 
 BITS = 64
 SEED = 42
-#: Node pairs with at most so many leaf pairs are compared leaf by leaf.
-LEAF_PAIRS = 1024
+#: Sets of more fingerprints than this are walked with small budgets first: near links join groups, whose pairs then need no walk.
+LARGE = 32
 #: Node pairs that wait on the stack of a task are cut into pieces of so many.
 PIECE = 1 << 18
 #: Trie nodes with more distinct fingerprints are dealt out as pairs of their children HOT_BITS below.
@@ -61,11 +61,15 @@ def _blocks(budget: int) -> list[tuple[int, int]]:
 
 
 class _Trie:
-    """Traversal of one set of sorted, distinct fingerprints; a node is an interval of them."""
+    """Traversal of one set of sorted, distinct fingerprints; a node is an interval of them.
+
+    `split_pairs`, `pruned` and `met` count node pairs that were split, that went over the budget, and pairs of single fingerprints reached.
+    """
 
     def __init__(self, keys: np.ndarray):
         self.keys, self.root = keys, np.arange(len(keys))
         self.ones: dict[int, np.ndarray] = {}
+        self.split_pairs = self.pruned = self.met = 0
 
     def split(self, low: np.ndarray, high: np.ndarray, depth: int) -> np.ndarray:
         if depth not in self.ones:
@@ -89,21 +93,12 @@ class _Trie:
         turns = np.concatenate(([0], np.cumsum(self.root[1:] != self.root[:-1])))
         return (turns[high - 1] != turns[low]) | (turns[high2 - 1] != turns[low2]) | (self.root[low] != self.root[low2])
 
-    def compare(self, x: tuple[np.ndarray, ...], budget: int) -> None:
-        """Leaf pairs below each node pair; in pieces of bounded size."""
-        low, high, low2, high2 = x[:4]
-        n2 = high2 - low2
-        pairs = (high - low) * n2
-        stop = np.cumsum(pairs)
-        at = 0
-        while at < len(pairs):
-            end = max(at + 1, int(np.searchsorted(stop, (stop[at - 1] if at else 0) + 4 * PIECE, "right")))
-            p, width = pairs[at:end], np.repeat(n2[at:end], pairs[at:end])
-            k = np.arange(p.sum()) - np.repeat(np.cumsum(p) - p, p)
-            i, j = np.repeat(low[at:end], p) + k // width, np.repeat(low2[at:end], p) + k % width
-            near = (i < j) & (np.bitwise_count(self.keys[i] ^ self.keys[j]) <= budget)
-            self.link(i[near], j[near])
-            at = end
+    def meet(self, x: tuple[np.ndarray, ...], budget: int) -> None:
+        """Pairs of single fingerprints: their one path below is taken in one step, as nothing branches off it."""
+        i, j = x[0], x[2]
+        self.met += len(i)
+        near = np.bitwise_count(self.keys[i] ^ self.keys[j]) <= budget
+        self.link(i[near], j[near])
 
     def walk(self, starts: list[tuple[int, tuple[np.ndarray, ...]]], budget: int) -> None:
         """Node pairs together, depth first: children add their differing bit; a pair over the budget is pruned."""
@@ -115,18 +110,22 @@ class _Trie:
                 continue
             open_ = self.apart(x)
             x = tuple(c[open_] for c in x)
-            few = ((x[1] - x[0]) * (x[3] - x[2]) <= LEAF_PAIRS) | (depth == BITS)
-            if few.any():
-                self.compare(tuple(c[few] for c in x), budget)
-            low, high, low2, high2, bits = (c[~few] for c in x)
+            single = (x[1] - x[0] == 1) & (x[3] - x[2] == 1)
+            if single.any():
+                self.meet(tuple(c[single] for c in x), budget)
+            low, high, low2, high2, bits = (c[~single] for c in x)
             if not len(low):
                 continue
+            self.split_pairs += len(low)
             mid, mid2 = self.split(low, high, depth), self.split(low2, high2, depth)
             same = low == low2
             parts = [(low, mid, low2, mid2, bits), (mid, high, mid2, high2, bits), (low, mid, mid2, high2, bits + 1)]
             parts.append(tuple(c[~same] for c in (mid, high, low2, mid2, bits + 1)))
             y = tuple(np.concatenate(c) for c in zip(*parts, strict=True))
-            live = (y[4] <= budget) & (y[1] > y[0]) & (y[3] > y[2])
+            there = (y[1] > y[0]) & (y[3] > y[2])
+            live = there & (y[4] <= budget)
+            self.pruned += int(there.sum() - live.sum())
+            live &= (y[0] != y[2]) | (y[1] - y[0] > 1)  # a single fingerprint has no pair with itself
             stack.append((depth + 1, tuple(c[live] for c in y)))
 
 
@@ -138,7 +137,7 @@ def _spanning(keys: np.ndarray, node: np.ndarray, pair: np.ndarray, depth: np.nd
     for d in np.unique(depth[low]).tolist():
         own = (high - low > 1) & (depth[low] == d)
         itself = own & (pair[low] // PAIR == pair[low] % PAIR)
-        large = (high - low) ** 2 > LEAF_PAIRS
+        large = high - low > LARGE
         for into, some in ((few, itself & ~large), (many, itself & large)):
             into.append((d, (low[some], high[some], low[some], high[some], np.zeros(some.sum(), np.int64))))
         for at in np.flatnonzero(own & ~itself).tolist():  # two children of a hot node

@@ -1,13 +1,14 @@
 import random
 import re
 
+import numpy as np
 import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from quire.llm.components import components
-from quire.llm.simhash import deduplicated, fingerprint, links, near_groups, op9_simhash
+from quire.llm.simhash import BITS, _Trie, deduplicated, fingerprint, links, near_groups, op9_simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -77,6 +78,33 @@ def test_links_against_all_pairs(spark, hot_node):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, plain.values()))
 
 
+def walked(keys, shift=0, width=0, budget=4):
+    """Roots of all keys by walks from the nodes below the first `width` bits of an order; and the walks' trie."""
+    turned = sorted({(k << shift | k >> (BITS - shift)) & (2**64 - 1) for k in keys} if shift else set(keys))
+    trie = _Trie(np.array(turned, np.uint64))
+    node = trie.keys >> np.uint64(BITS - width) if width else np.zeros(len(turned), np.uint64)
+    low = np.flatnonzero(np.concatenate(([True], node[1:] != node[:-1])))
+    high = np.append(low[1:], len(turned))
+    low, high = low[high - low > 1], high[high - low > 1]
+    trie.walk([(width, (low, high, low, high, np.zeros(len(low), np.int64)))], budget)
+    return trie
+
+
+def test_walk_from_the_root_splits_and_prunes():
+    docs = pd.read_parquet("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"]
+    prints = {plain_print(t) for t in docs}
+    trie = walked(prints)
+    plain = plain_roots(prints)
+    keys = trie.keys.tolist()
+    assert {k: keys[r] for k, r in zip(keys, trie.root.tolist(), strict=True)} == plain
+    assert trie.split_pairs > 1_000 and trie.pruned > 1_000 and trie.met < len(keys) * (len(keys) - 1) / 8
+    pairs = sum(1 for a in keys for b in keys if a < b and (a ^ b).bit_count() <= 4)
+    below = [walked(prints, s, w) for s, w in ((0, 12), (12, 13), (25, 13), (38, 13), (51, 13))]
+    assert pairs and all(t.split_pairs > 0 for t in below) and sum(t.met for t in below) < len(keys) * 5
+    dense = walked({*range(4096)}, width=0, budget=2)  # every fingerprint has neighbours: the budget prunes, links spare walks
+    assert dense.pruned > 0 and len(set(dense.root.tolist())) == 1
+
+
 def test_near_groups_odd_rows(spark):
     rows = [(5, "a b c d e", "x"), (5, "a b c d e", "x"), (3, "A b c d e", None), (None, "a b c d e", None), (7, None, "y"), (9, " ", "y"), (None, "zz", "y")]
     got = sorted((str(r.doc_id), r.fp != 0, str(r.component_id)) for r in near_groups(spark.createDataFrame(rows, "doc_id long, text string, fp string")).collect())
