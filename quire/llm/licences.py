@@ -2,94 +2,27 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quire.session import small, stored
-
-# Notices by licence family, as licences and their users word them.
-TEMPLATES = {
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
-        "This software is distributed under the Apache License 2.0.",
-        "SPDX-License-Identifier: Apache-2.0",
-    ),
-    "MIT": (
-        "Released under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files.",
-        "This project is licensed under the terms of the MIT license.",
-        "SPDX-License-Identifier: MIT",
-    ),
-    "BSD": (
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met.",
-        "Licensed under the BSD 3-Clause License.",
-        "Use of this source code is governed by a BSD-style license.",
-        "SPDX-License-Identifier: BSD-3-Clause",
-    ),
-    "GPL": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation.",
-        "Released under the GPL, version 2 or any later version.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
-    ),
-    "LGPL": (
-        "This library is licensed under the GNU Lesser General Public License, version 2.1.",
-        "You can redistribute this library under the terms of the GNU Lesser General Public License.",
-        "SPDX-License-Identifier: LGPL-2.1",
-    ),
-    "AGPL": (
-        "This work is licensed under the GNU Affero General Public License, version 3.",
-        "SPDX-License-Identifier: AGPL-3.0",
-    ),
-    "MPL": (
-        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
-        "SPDX-License-Identifier: MPL-2.0",
-    ),
-    "CC-BY": (
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-        "Licensed under CC BY 4.0.",
-    ),
-    "CC-BY-SA": (
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-        "Licensed under CC BY-SA 4.0.",
-        "Text is available under the Creative Commons Attribution-ShareAlike License.",
-    ),
-    "CC-BY-NC": (
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-        "Licensed under CC BY-NC 4.0.",
-    ),
-    "CC0": (
-        "To the extent possible under law, the author has waived all copyright and related rights to this work.",
-        "Released under CC0 1.0 Universal, Public Domain Dedication.",
-    ),
-    "proprietary": (
-        "Copyright. All rights reserved. No part of this publication may be reproduced without the prior written permission of the publisher.",
-        "All rights reserved.",
-    ),
-}
-#: Sentences that use such words for other things.
-OTHER = (
-    "He renewed the license of his car last week.",
-    "A driving license is needed to rent a van.",
-    "The public library opens at nine, and entry is free of charge.",
-    "The general said that the version of the public was wrong.",
-    "Students of MIT released a new study of the work.",
-    "The Apache helicopter flew under the bridge.",
-    "The law permits redistribution of land under some conditions.",
-    "Copyright law is taught in the second year.",
-)
+from quire.llm.notices import OTHER, TEMPLATES
+from quire.session import removed, small, stored
+
 UNKNOWN = "unknown"
-#: Unlabelled paragraphs to learn the unknown class from, about; a paragraph with one of these words is left out.
-SAMPLE = 1_500
-CUES = r"(?i)licen[sc]|copyright|apache|gnu|\bgpl|\bcc0?\b|creative commons|redistribut|permi[ts]|reserved|public domain"
-#: n-grams in a larger share of the unknown class's paragraphs tell nothing and are left out.
+#: Unlabelled paragraphs to learn the unknown class from; those that hold so much of a notice are left out, as nobody has labelled them.
+SAMPLE, LIKE = 1_500, 0.35
+#: One notice in so many is kept, with all its variants, for the calibration; so are unlabelled paragraphs.
+KEPT = 4
+#: n-grams of notices in a larger share of the unlabelled paragraphs tell little, and are left out.
 COMMON = 0.01
-#: Words of a template that a paragraph must share for its family to be confirmed.
-SHARED = 0.75
+#: A family is confirmed where a paragraph holds so much of one of its notices. Without that, the calibrated probability has to reach
+#: SURE, and at least a HALF of a notice has to be there; else the paragraph is unknown.
+SHARED, SURE, HALF, BRIEF = 0.6, 0.9, 0.4, 8
 
 
 @dataclass(frozen=True)
@@ -113,54 +46,98 @@ def _grams(tokens: Column) -> Column:
     return F.array_distinct(F.concat(tokens, F.when(F.size(tokens) > 1, pairs).otherwise(F.array().cast("array<string>"))))
 
 
+#: A line feed inside a sentence: after it the line goes on, behind marks of a comment if there are any.
+WRAP = r"(?<=[^.!?:;。\s])[ \t\r]*+\n(?=[ \t#*/;%!>-]*+[\p{L}\p{N}\"'(\[])"
+
+
 def _paragraphs(docs: DataFrame) -> DataFrame:
-    """A row (…, paragraph, passage) for each line of each text, from 0 on."""
-    return docs.select(*[c for c in docs.columns if c != "text"], F.posexplode(F.split("text", "\n")).alias("paragraph", "passage"))
+    """A row (…, paragraph, passage) for each paragraph of each text, numbered from 0 on, those without a letter or digit left out.
+
+    A line feed ends a paragraph unless it stands inside a sentence: wrapped notices are whole again.
+    """
+    rows = docs.select(*[c for c in docs.columns if c != "text"], F.posexplode(F.split(F.regexp_replace("text", WRAP, " "), "\n")).alias("paragraph", "passage"))
+    return rows.filter(F.col("passage").rlike(r"[\p{L}\p{N}]"))
+
+
+def _table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
+    """A few literal rows, made by the JVM."""
+    return spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(rows)), f"array<struct<{schema}>>")).alias("x")).select("x.*")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _held(passage: Column, forms: Column) -> Column:
+    """The largest share that a passage holds of the n-grams of one of the forms (arrays of n-grams); a part of one of under BRIEF counts half."""
+    known = F.array_intersect(F.array_distinct(F.flatten(forms)), _grams(words(passage)))
+    whole = lambda f, share: F.when((F.size(f) < BRIEF) & (share < 1), share / 2).otherwise(share)
+    return _let(known, lambda k: F.array_max(F.transform(forms, lambda f: _let(F.size(F.array_intersect(f, k)) / F.size(f), lambda share: whole(f, share)))))
+
+
+def _forms(spark: SparkSession) -> DataFrame:
+    """family, forms: the n-grams of each of its notices."""
+    rows = _table(spark, [{"family": f, "form": t} for f, ts in TEMPLATES.items() for t in ts], "family string, form string")
+    return rows.groupBy("family").agg(F.collect_list(_grams(words(F.col("form")))).alias("forms"))
 
 
 def examples(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """(family, passage): templates with one word or an end left out, other sentences, and unlabelled paragraphs.
+    """(family, passage, kept): notices and hard negatives in variants, and unlabelled paragraphs as the unknown class.
 
-    Paragraphs come from documents drawn by a hash of the text, about `sample` of them in all; those
-    with a cue word of licences are left out, as nobody has labelled them.
+    A notice comes whole, without its beginning or end, and with every fifth word left out; its words in alphabetical order
+    are a hard negative, as are sentences that use them for other things. Whole notices are `kept` for the calibration, never
+    single variants. Paragraphs come from documents drawn by a hash of the text, repeated ones once, `sample` of them at most by the
+    order of their hashes; paragraphs that hold LIKE of a notice or more are left out. An empty table leaves notices and sentences.
     """
     spark = docs.sparkSession
-    known = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts] + [(UNKNOWN, t) for t in OTHER], "family string, passage string")
-    parts = F.split("passage", " ")
-    cut = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.array_join(F.filter(parts, lambda _, j: j != i), " "))
-    ends = F.array(F.col("passage"), F.array_join(F.slice(parts, F.lit(1), F.ceil(F.size(parts) * 0.7).cast("int")), " "))
-    known = known.select("family", F.explode(F.concat(ends, F.when(F.size(parts) > 3, cut).otherwise(F.array().cast("array<string>")))).alias("passage"))
-    n = docs.count()
-    drawn = docs.filter(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, sample / 4 / max(1, n))))
-    other = _paragraphs(drawn.select("text")).filter(~F.col("passage").rlike(CUES)).filter(F.pmod(F.xxhash64("passage"), F.lit(2)) == 0)
-    return known.unionByName(other.select(F.lit(UNKNOWN).alias("family"), F.substr("passage", F.lit(1), F.lit(2000)).alias("passage"))).distinct()
+    known = [{"family": f, "n": k, "form": t} for f, ts in TEMPLATES.items() for k, t in enumerate(ts)] + [{"family": UNKNOWN, "n": k, "form": t} for k, t in enumerate(OTHER)]
+    rows = _table(spark, known, "family string, n int, form string").withColumn("parts", F.split("form", " "))
+    n = F.size("parts")
+    variants = [F.col("parts"), F.slice("parts", F.lit(1), F.ceil(n * 0.7).cast("int")), F.slice("parts", F.floor(n * 0.3).cast("int") + 1, n)]
+    without = lambda r: F.filter("parts", lambda _, i: i % 5 != r)
+    variants += [F.when(n > 4, without(r)).otherwise(F.col("parts")) for r in range(5)]
+    own = rows.select("family", "n", F.explode(F.array(*variants)).alias("parts"))
+    mixed = rows.filter(F.col("family") != UNKNOWN).select(F.lit(UNKNOWN).alias("family"), "n", F.array_sort(F.transform("parts", lambda w: F.lower(w))).alias("parts"))
+    known = own.unionByName(mixed).select("family", F.array_join("parts", " ").alias("passage"), (F.col("n") % KEPT == KEPT - 1).alias("kept")).distinct()
+
+    total = docs.count()
+    drawn = docs.filter(F.pmod(F.xxhash64("text", F.lit(1)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, 2 * sample / max(1, total)))).select("text")
+    other = _paragraphs(drawn).select("passage", F.xxhash64("passage", F.lit(2)).alias("h"))
+    last = other.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    other = other.filter(F.col("h") <= F.lit(last)).dropDuplicates(["h"])
+    forms = _forms(spark).agg(F.flatten(F.collect_list("forms")).alias("forms"))
+    other = other.join(F.broadcast(forms)).filter(_held(F.col("passage"), F.col("forms")) < LIKE)
+    return known.unionByName(other.select(F.lit(UNKNOWN).alias("family"), "passage", (F.pmod("h", F.lit(KEPT)) == 0).alias("kept")))
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """Multinomial logistic regression with an L1 penalty on presence of n-grams, then a calibration of its margin.
+    """Multinomial logistic regression with an L1 penalty on presence of the notices' n-grams, then a calibration of its margin.
 
-    One example in four is kept from the regression; on those, a logistic curve of the margin between the best
-    family and the unknown class gives the probability that a paragraph is a licence at all.
+    Whole notices and a part of the paragraphs are kept from the regression; on those, a logistic curve of the margin between the best
+    family and the unknown class gives the probability that a paragraph is a licence at all. Learns from `docs` (text) only
+    the unknown class; without documents, from sentences alone. Nothing depends on the order or repetition of rows.
     """
     families = [UNKNOWN, *sorted(TEMPLATES)]
     label = F.array_position(F.array(*map(F.lit, families)), F.col("family")).cast("double") - 1
-    rows = stored(examples(docs, sample).select(label.alias("label"), _grams(words(F.col("passage"))).alias("grams"), (F.pmod(F.xxhash64("passage", F.lit(2)), F.lit(4)) == 0).alias("kept")), "examples")
-    other = rows.filter("label = 0")
-    common = other.select(F.explode("grams").alias("gram")).groupBy("gram").count().filter(F.col("count") > max(2.0, COMMON * other.count())).collect()
-    left_out = F.array(*[F.lit(r.gram) for r in common]).cast("array<string>")  # few: each fills a hundredth of the sample
-    rows = stored(rows.withColumn("grams", F.array_except("grams", left_out)), "examples")
-    fitted = CountVectorizer(inputCol="grams", outputCol="features", binary=True, minDF=2, vocabSize=8192).fit(rows.filter("not kept"))
-    made = fitted.transform(rows).select("label", "features", "kept")
-    # one weight for each family, so that small families count as much as the unknown class
-    sizes = made.groupBy("label").agg((1.0 / F.count("*")).alias("weight"))
-    model = LogisticRegression(family="multinomial", weightCol="weight", elasticNetParam=1.0, regParam=0.002, maxIter=60, standardization=False).fit(made.filter("not kept").join(F.broadcast(sizes), "label"))
+    rows = stored(examples(docs, sample).select(label.alias("label"), _grams(words(F.col("passage"))).alias("grams"), "kept").coalesce(4), "examples")
+    vocabulary = rows.filter("label > 0 and not kept").select(F.explode("grams").alias("gram")).groupBy("gram").count().filter("count > 1").select("gram")
+    unknown = rows.filter("label = 0")
+    often = unknown.select(F.explode("grams").alias("gram")).groupBy("gram").count().filter(F.col("count") > max(3.0, COMMON * unknown.count()))
+    names = sorted(r.gram for r in vocabulary.join(often, "gram", "left_anti").collect())  # n-grams of the notices, a fixed text
+    fitted = CountVectorizerModel.from_vocabulary(names, inputCol="grams", outputCol="features").setBinary(True)
+    # one weight for each class, so that small families count as much as large ones, and the unknown class as all of them
+    sizes = rows.groupBy("label").agg((F.when(F.col("label") == 0, float(len(TEMPLATES))).otherwise(1.0) / F.count("*")).alias("weight"))
+    made = stored(fitted.transform(rows).join(F.broadcast(sizes), "label").select("label", "features", "kept", "weight").coalesce(1), "features")
+    model = LogisticRegression(family="multinomial", weightCol="weight", elasticNetParam=1.0, regParam=0.001, maxIter=60, standardization=False).fit(made.filter("not kept"))
     table, intercept = model.coefficientMatrix.toArray(), [float(x) for x in model.interceptVector.toArray()]
     raw = model.transform(made.filter("kept")).select("label", F.expr("cast(rawPrediction as string)").alias("shown"))
     margin = F.transform(F.split(F.regexp_replace("shown", r"[\[\]]", ""), ","), lambda x: x.cast("double"))
     raw = raw.withColumn("margin", F.array_max(F.slice(margin, F.lit(2), F.lit(model.numClasses - 1))) - F.get(margin, 0))
-    curve = stored(raw.select((F.col("label") > 0).cast("double").alias("y"), "margin"), "margins")
+    curve = stored(raw.select((F.col("label") > 0).cast("double").alias("y"), "margin").coalesce(1), "margins")
     slope, offset = _logistic(curve)
-    grams = {g: [float(v) for v in table[:, k]] for k, g in enumerate(fitted.vocabulary) if abs(table[:, k]).max() > 1e-6}
+    grams = {g: [float(v) for v in table[:, k]] for k, g in enumerate(names) if abs(table[:, k]).max() > 1e-6}
+    removed(docs.sparkSession, rows, made, curve)
     return Model(families[: len(intercept)], grams, intercept, slope, offset)
 
 
@@ -183,20 +160,21 @@ def _logistic(curve: DataFrame, turns: int = 25) -> tuple[float, float]:
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, text -> doc_id, paragraph, family, probability, similarity, confirmed: paragraphs that hold a licence.
 
-    Every line of every text is scored: its n-grams are looked up in the broadcast table of weights, which has a row for each
-    n-gram with a weight, and only hits are shuffled. The best family stands where the calibrated probability is at
-    least one half; `similarity` is the largest share of words of one of the family's templates that the paragraph holds, and
-    `confirmed` says that it is SHARED or more. Rows alike in doc_id and paragraph are reported once; null texts have no
-    paragraphs; null doc_ids are kept.
+    Every paragraph of every text is scored: its n-grams are looked up in the broadcast table of weights, which has a row for each
+    n-gram with a weight, and only hits are shuffled. Where the calibrated probability is at least one half, the paragraph is
+    compared with the notices of the best family: `similarity` is the largest share that it holds of the words and word pairs
+    of one of them, and `confirmed` says that it is SHARED or more. What is not confirmed stays only if the probability is SURE and
+    the similarity HALF or more; else the paragraph is of the unknown class and not returned. Rows alike in doc_id and paragraph are
+    reported once; null texts have no paragraphs; null doc_ids are kept; other columns are left behind.
     """
     spark = docs.sparkSession
-    weights = spark.createDataFrame(list(model.grams.items()) or [("", [])], "gram string, weight array<double>").select(F.xxhash64("gram").alias("code"), "weight")
-    tokens = _paragraphs(docs.select("doc_id", "text")).select("doc_id", "paragraph", F.xxhash64("passage").alias("same"), words(F.col("passage")).alias("tokens"))
-    at = tokens.select("*", F.posexplode_outer("tokens").alias("pos", "token"))
-    here = F.get(F.col("tokens"), F.col("pos"))
-    codes = F.explode(F.array(F.xxhash64(here), F.when(F.col("pos") + 1 < F.size("tokens"), F.xxhash64(F.concat_ws(" ", here, F.get(F.col("tokens"), F.col("pos") + 1))))))
-    hits = at.select("doc_id", "paragraph", "same", codes.alias("code")).filter("code is not null").join(F.broadcast(weights), "code")
-    once = hits.groupBy("doc_id", "paragraph", "same", "code").agg(F.first("weight").alias("weight"))
+    weights = [{"gram": g, "weight": w} for g, w in model.grams.items()] or [{"gram": "", "weight": []}]
+    weights = _table(spark, weights, "gram string, weight array<double>").select(F.xxhash64("gram").alias("code"), "weight")
+    rows = _paragraphs(docs.select("doc_id", "text"))
+    pair = lambda t, i: F.when(i + 1 < F.size(t), F.xxhash64(F.concat_ws(" ", F.get(t, i), F.get(t, i + 1))))
+    codes = _let(words(F.col("passage")), lambda t: F.array_distinct(F.concat(F.transform(t, lambda w: F.xxhash64(w)), F.transform(t, lambda _, i: pair(t, i)))))
+    at = rows.select("doc_id", "paragraph", F.xxhash64("passage").alias("same"), F.explode(codes).alias("code"))
+    once = at.join(F.broadcast(weights), "code").groupBy("doc_id", "paragraph", "same", "code").agg(F.first("weight").alias("weight"))
     sums = [F.sum(F.get("weight", F.lit(k))).alias(f"z{k}") for k in range(len(model.families))]
     z = [F.col(f"z{k}") + F.lit(model.intercept[k]) for k in range(len(model.families))]
     best = F.greatest(*z[1:]) if len(z) > 2 else z[-1]
@@ -208,22 +186,19 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def _compared(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Reads the found paragraphs again and compares them with the templates of their family."""
-    spark = docs.sparkSession
-    forms = spark.createDataFrame([(f, t) for f, ts in TEMPLATES.items() for t in ts], "family string, form string")
-    forms = forms.groupBy("family").agg(F.collect_list(F.array_distinct(words(F.col("form")))).alias("forms"))
+    """Reads the found paragraphs again and compares them with the notices of their family."""
     keys = found.select(F.col("doc_id").alias("id__")).distinct()
     rows = _paragraphs(docs.select("doc_id", "text").join(small(stored(keys, "licensed")), F.col("doc_id").eqNullSafe(F.col("id__")), "left_semi"))
     own = found.select(F.col("doc_id").alias("id__"), F.col("paragraph").alias("at__"), "same", "family", "probability")
     on = rows["doc_id"].eqNullSafe(own["id__"]) & (rows["paragraph"] == own["at__"]) & (F.xxhash64("passage") == own["same"])
-    rows = rows.join(small(own), on).dropDuplicates(["doc_id", "paragraph", "same"]).join(F.broadcast(forms), "family")
-    has = F.array_distinct(words(F.col("passage")))
-    share = F.array_max(F.transform("forms", lambda f: F.size(F.array_intersect(f, has)) / F.size(f)))
-    rows = rows.select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), "family", F.round("probability", 6).alias("probability"), F.round(share, 6).alias("similarity"))
-    return rows.withColumn("confirmed", F.col("similarity") >= SHARED)
+    rows = rows.join(small(own), on).join(F.broadcast(_forms(docs.sparkSession)), "family")
+    share = _held(F.col("passage"), F.col("forms"))
+    rows = rows.select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), "same", "family", F.round("probability", 6).alias("probability"), F.round(share, 6).alias("similarity"))
+    rows = rows.dropDuplicates(["doc_id", "paragraph", "same"]).drop("same").withColumn("confirmed", F.col("similarity") >= SHARED)
+    return rows.filter(F.col("confirmed") | ((F.col("probability") >= SURE) & (F.col("similarity") >= HALF)))
 
 
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licence paragraphs of all documents."""
+    """Licence paragraphs of all documents, by a model whose unknown class is learnt from them."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return scan(docs, train(docs))

@@ -1,9 +1,11 @@
 import math
 import re
+import textwrap
 
 import pytest
 
-from quire.llm.licences import CUES, TEMPLATES, op10_licences, scan, train
+from quire.llm.licences import BRIEF, HALF, SHARED, SURE, examples, op10_licences, scan, train
+from quire.llm.notices import OTHER, TEMPLATES
 
 SF = "/root/testdata/sf0.01"
 
@@ -13,48 +15,114 @@ def model(spark):
     return train(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
 
 
-def plain(model, passage):
-    """Best family and its probability, from the weights alone."""
+def grams(passage):
     words = re.findall(r"[^\W_]+", passage.lower())
-    grams = {*words, *(" ".join(p) for p in zip(words, words[1:], strict=False))} & set(model.grams)
-    if not grams:
+    return {*words, *(" ".join(p) for p in zip(words, words[1:], strict=False))}
+
+
+def paragraphs(text):
+    """Lines of a text, wrapped ones joined, by a plain loop."""
+    out, joined = [], ""
+    lines = text.split("\n")
+    for k, line in enumerate(lines):
+        joined = f"{joined.rstrip()} {line}" if joined else line
+        bare = line.rstrip(" \t\r")
+        goes_on = bare and bare[-1] not in ".!?:;。" and not bare[-1].isspace() and k + 1 < len(lines) and re.match(r"[ \t#*/;%!>-]*[^\W_\n]|[ \t#*/;%!>-]*[\"'(\[]", lines[k + 1])
+        if not goes_on:
+            out.append(joined)
+            joined = ""
+    return out
+
+
+def plain(model, passage):
+    """Family, probability and similarity of a passage, from weights and notices alone; None: unknown."""
+    own = grams(passage)
+    if not own & set(model.grams):
         return None
-    z = [b + sum(model.grams[g][k] for g in grams) for k, b in enumerate(model.intercept)]
+    z = [b + sum(model.grams[g][k] for g in own & set(model.grams)) for k, b in enumerate(model.intercept)]
     best = max(range(1, len(z)), key=lambda k: z[k])
-    return model.families[best], 1 / (1 + math.exp(-(model.slope * (z[best] - z[0]) + model.offset)))
+    p = 1 / (1 + math.exp(-(model.slope * (z[best] - z[0]) + model.offset)))
+    shares = [(len(grams(t) & own) / len(grams(t)), len(grams(t))) for t in TEMPLATES[model.families[best]]]
+    share = max(s / 2 if n < BRIEF and s < 1 else s for s, n in shares)
+    return (model.families[best], p, share) if p >= 0.5 and (share >= SHARED or p >= SURE and share >= HALF) else None
+
+
+def scanned(spark, model, texts):
+    return {r.doc_id: r for r in scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()}
+
+
+def test_whole_notices_are_kept_for_the_calibration(spark):
+    rows = examples(spark.read.parquet(f"{SF}/documents.parquet"), 300).collect()
+    kept, learnt = ({r.passage for r in rows if r.kept == k and r.family in TEMPLATES} for k in (True, False))
+    for ts in TEMPLATES.values():
+        for k, t in enumerate(ts):
+            assert (t in kept) == (k % 4 == 3) and (t in learnt) == (k % 4 != 3)
+    corpus = [r for r in rows if r.family == "unknown" and "\n" not in r.passage and r.passage[:1].isupper() and not any(r.passage in t or t.startswith(r.passage[:20]) for t in OTHER)]
+    assert 0 < len(corpus) <= 300 + 5 * len(OTHER)
+    assert not any(t in r.passage for r in corpus for ts in TEMPLATES.values() for t in ts)
+
+
+def test_notices_kept_from_learning_are_found(spark, model):
+    held = [(f, t) for f, ts in TEMPLATES.items() for k, t in enumerate(ts) if k % 4 == 3]
+    got = scanned(spark, model, [t for _, t in held])
+    assert sum(k in got and got[k].family == f for k, (f, _) in enumerate(held)) >= 0.6 * len(held)
+    all_ = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
+    got = scanned(spark, model, [t for _, t in all_])
+    assert sum(k in got and got[k].family == f for k, (f, _) in enumerate(all_)) >= 0.85 * len(all_)
 
 
-def test_templates_are_found(spark, model):
-    rows = [(k, t) for k, t in enumerate(t for ts in TEMPLATES.values() for t in ts)]
-    got = {r.doc_id: r.family for r in scan(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
-    want = dict(enumerate(f for f, ts in TEMPLATES.items() for _ in ts))
-    assert sum(got.get(k) == f for k, f in want.items()) >= 0.9 * len(want)
+def test_notices_in_other_words_and_wrapped(spark, model):
+    mit = TEMPLATES["MIT"][1]
+    texts = {
+        textwrap.fill(mit, 80): "MIT",
+        "# " + textwrap.fill(mit, 70).replace("\n", "\n# "): "MIT",
+        "Copyright (c) 2019 Jane Roe\n\n" + textwrap.fill(mit, 76): "MIT",
+        "This file is part of Foo and is licensed under the MIT License.": "MIT",
+        "Foo is licensed under the Apache License, Version 2.0, as you wish.": "Apache-2.0",
+        "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS.": "Apache-2.0",
+        "Neither the name of Foo Inc nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.": "BSD",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted.": "BSD",
+    }
+    got = scanned(spark, model, texts)
+    assert {k: r.family for k, r in got.items()} == dict(enumerate(texts.values()))
+    assert got[0].confirmed and got[1].confirmed and got[1].paragraph == 0
 
 
-def test_weights_are_sparse_and_unknown_is_left_alone(spark, model):
-    assert 20 < len(model.grams) < 400 and "the" not in model.grams
-    text = "The committee met on Monday.\nA driving license is needed.\nGeneral remarks on the public version.\nDer Zug mit dem Ziel kommt mit und ohne Halt."
-    assert scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), model).count() == 0
+def test_other_uses_of_such_words_are_unknown(spark, model):
+    texts = [
+        "The new edition was released by the university under the bridge.",
+        "Their version of the work, released in 2021, was granted a public prize under the new law.",
+        "The committee met on Monday.\nA driving license is needed.\nGeneral remarks on the public version.\nDer Zug mit dem Ziel kommt mit und ohne Halt.",
+        "The library closed its doors; the license was granted to the owner of the bar in public.",
+        "He said all rights to the film were reserved by the studio.",
+        "The committee released the report to the public under law.",
+        " ".join(sorted(TEMPLATES["MIT"][1].lower().split()))[:60],
+        *OTHER,
+    ]
+    assert scanned(spark, model, texts) == {}
+    assert 20 < len(model.grams) < 1_000
 
 
 def test_odd_rows(spark, model):
     mit = "Released under the MIT License."
-    rows = [(1, f"x\n{mit}", "a"), (1, f"x\n{mit}", "a"), (1, f"y\n\n{mit} ", "b"), (None, mit, None), (2, None, "c"), (3, "", "c"), (4, "word " * 200_000 + mit, "d")]
+    rows = [(1, f"x.\n{mit}", "a"), (1, f"x.\n{mit}", "a"), (1, f"y.\n\n{mit} ", "b"), (None, mit, None), (2, None, "c"), (3, "", "c"), (4, "word " * 200_000 + mit, "d")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, family string")
     got = sorted((str(r.doc_id), r.paragraph, r.family, r.confirmed) for r in scan(docs, model).collect())
     assert got == [("1", 1, "MIT", True), ("1", 2, "MIT", True), ("4", 0, "MIT", True), ("None", 0, "MIT", True)]
     assert scan(docs.limit(0), model).count() == 0
+    empty = train(docs.limit(0))
+    assert scan(docs, empty).count() > 0
 
 
 def test_query_against_weights(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     model = train(docs)
-    got = {(r.doc_id, r.paragraph): (r.family, r.probability) for r in op10_licences(spark, SF).collect()}
+    got = {(r.doc_id, r.paragraph): (r.family, r.probability, r.similarity) for r in op10_licences(spark, SF).collect()}
     want = {}
     for r in docs.collect():
-        for k, passage in enumerate(r.text.split("\n")):
-            if (found := plain(model, passage)) and found[1] >= 0.5:
+        for k, passage in enumerate(paragraphs(r.text)):
+            if found := plain(model, passage):
                 want[r.doc_id, k] = found
-    assert set(got) == set(want) and all(got[k][0] == want[k][0] and got[k][1] == pytest.approx(want[k][1], abs=1e-5) for k in want)
-    cued = {(r.doc_id, k) for r in docs.collect() for k, x in enumerate(r.text.split("\n")) if re.search(CUES, x)}
-    assert cued == set(got)
+    assert want and set(got) == set(want)
+    for k, (family, p, share) in want.items():
+        assert got[k] == (family, pytest.approx(p, abs=1e-5), pytest.approx(share, abs=1e-5))
