@@ -15,8 +15,12 @@ SHARE, MOST = 1.5, 2.0
 #: Rows of one bucket of the flight phase, and its seed.
 BUCKET_ROWS = 20_000
 SEED = 11
-#: Units that the last flight leaves to the landing, besides the two it cannot move, and what a missed document costs there.
-LANDING, DOCUMENT_COST = 10, 0.02
+#: Units of each size class, a power of two of words, that the last flight leaves to the landing.
+LADDER = 32
+#: Share of a source's words that its landing may miss; beyond it, the last units (so many) end where the words come nearest.
+MISS, LAST = 0.002, 12
+#: A row that is repeated more often than this is repeated by several tasks.
+BLOCK = 10_000
 _TINY = 1e-9
 
 
@@ -25,6 +29,17 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
 
 
+def _ranked(sources: DataFrame) -> DataFrame:
+    """`sources` with place, from 0 on, in code-point order of source, null last. Sources are sorted in ranges, none of which needs one task for all."""
+    order = (F.col("source").isNull(), F.col("source"))
+    dealt = stored(sources.repartitionByRange(*order).withColumn("range__", F.spark_partition_id()), "ranges")
+    sizes = dealt.groupBy("range__").count()
+    # this window has a row for each range, that is for each shuffle partition
+    before = sizes.select("range__", (F.sum("count").over(Window.orderBy("range__")) - F.col("count")).alias("before__"))
+    within = F.row_number().over(Window.partitionBy("range__").orderBy(*order))
+    return dealt.withColumn("within__", within).join(F.broadcast(before), "range__").select(*sources.columns, (F.col("before__") + F.col("within__") - 1).alias("place"))
+
+
 def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
     """(source, source_size) of every source -> with target, the words that the mix takes of it.
 
@@ -32,8 +47,8 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
     weight; a source gets `most` times its words at most, and what is over goes to the others by weight, until
     none is above. Each turn is one aggregation over the table of sources, which has a row for each source.
     """
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    weight = F.get(F.array(*map(F.lit, weights)), F.pmod(F.row_number().over(order) - 1, F.lit(len(weights)))).cast("double")
+    weight = F.get(F.array(*map(F.lit, weights)), F.col("place") % len(weights)).cast("double")
+    sources = _ranked(sources)
     rows = stored(sources.withColumn("weight", weight).withColumn("cap", F.col("source_size") * most), "sources")
     rate, cap, w = 0.0, F.col("cap"), F.col("weight")
     while True:  # the rate a unit of weight gets grows as sources reach their caps
@@ -81,17 +96,45 @@ def _fly(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.ndarr
     return np.array(values)
 
 
-def _land(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Landing: of all choices of the few fractional units left, the one that misses the expected words least.
+def _land(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+    """Landing of the few fractional units left: the total of documents is given up, that of words kept as long as it can be.
 
-    A missed document counts as DOCUMENT_COST of the units' mean size.
+    The largest unit moves against all others, each in proportion to its variance, along a line that keeps the words, until one of
+    them is whole; a last unit is drawn. Smaller units take up what larger ones need, so the last one is small. Each unit keeps its
+    expectation, but for sources with too few small units for that: where the words would miss theirs by more than MISS,
+    the end of the LAST units that comes nearest is taken instead.
     """
-    left = np.flatnonzero((p > 0) & (p < 1))
     out = p.copy()
-    if len(left):
-        choice = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
-        missed = np.abs((choice - p[left]) @ size[left]) + DOCUMENT_COST * size.mean() * np.abs((choice - p[left]).sum(1))
-        out[left] = choice[int(np.argmin(missed))]
+    before = None
+    while len(left := np.flatnonzero((out > 0) & (out < 1))) > 1:
+        if len(left) <= LAST and before is None:
+            before = out.copy()
+        big = left[np.argmax(size[left])]
+        rest = left[left != big]
+        spread = out[rest] * (1 - out[rest]) * (0.5 + draw.random(len(rest)))  # at random, lest units of equal chances end together
+        if not size[big]:
+            rest, u = rest[:1], np.array([1.0, -1.0])
+        elif spread @ size[rest] > 0:
+            u = np.append(1.0, -size[big] * spread / (spread @ size[rest]))
+        else:
+            break  # the others have no words
+        moved = np.append(big, rest)
+        room_up, room_down = np.where(u > 0, 1 - out[moved], out[moved]), np.where(u > 0, out[moved], 1 - out[moved])
+        some = u != 0
+        up, down = (room_up[some] / np.abs(u[some])).min(), (room_down[some] / np.abs(u[some])).min()
+        x = out[moved] + (up if draw.random() < down / (up + down) else -down) * u
+        x[x < _TINY], x[x > 1 - _TINY] = 0.0, 1.0
+        if ((x > 0) & (x < 1)).all():  # rounding kept all inside: the nearest to a wall goes to it
+            k = int(np.argmin(np.minimum(x, 1 - x)))
+            x[k] = round(x[k])
+        out[moved] = x
+    for i in np.flatnonzero((out > 0) & (out < 1)):
+        out[i] = float(draw.random() < out[i])
+    if before is not None and abs((out - p) @ size) > MISS * (p @ size):
+        out, left = before, np.flatnonzero((before > 0) & (before < 1))
+        ends = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+        missed = np.abs(ends @ size[left] - (p @ size - np.where((out > 0) & (out < 1), 0, out) @ size))
+        out[left] = ends[int(np.argmin(missed))]
     return out
 
 
@@ -102,11 +145,12 @@ def _flight(units: DataFrame, buckets: Column, last: bool, seed: int) -> DataFra
     def fly(batch: pd.DataFrame) -> pd.DataFrame:
         batch = batch.sort_values(["order__", "size__"], kind="stable")
         draw = np.random.default_rng([seed, int(batch["bucket__"].iloc[0]), len(batch)])
-        p, size = batch["part__"].to_numpy(float), batch["size__"].to_numpy(float)
-        kept = LANDING if last else 0
-        p = np.concatenate((p[:kept], _fly(p[kept:], size[kept:], draw)))
+        size = batch["size__"].to_numpy(float)
+        p = batch["part__"].to_numpy(float)
+        kept = batch.groupby(np.log2(size + 1).astype(int)).cumcount().to_numpy() < (LADDER if last else 0)
+        p[~kept] = _fly(p[~kept], size[~kept], draw)
         if last:
-            p = _land(p, size)
+            p = _land(p, size, draw)
         return batch.assign(part__=p).drop(columns="bucket__")
 
     dealt = units.withColumn("bucket__", F.pmod(F.xxhash64("order__", F.lit(seed)), buckets))
@@ -120,7 +164,7 @@ def copies(units: DataFrame, rates: DataFrame, keys: list[str], bucket_rows: int
     least; the rest, a fraction, is its inclusion probability. Buckets of about `bucket_rows` units fly on
     their own and leave two fractional units at most, with the bucket's sums of probabilities and of words as they were; what
     is left of all buckets flies again in fewer buckets, until each source has one, where the last units land.
-    Hot sources are dealt over many buckets. The result depends on the rows alone, not on how they are partitioned.
+    Units keep their inclusion probabilities, see _land(). Hot sources are dealt over many buckets. The result depends on the rows alone, not on how they are partitioned.
     """
     exact = F.col("many__") * F.col("rate__")
     rows = units.join(small(rates), "source__").withColumn("whole__", F.floor(exact + _TINY)).withColumn("part__", exact - F.col("whole__"))
@@ -157,11 +201,20 @@ def _named(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source), F.lit("-"))
 
 
+def repeated(rows: DataFrame, times: Column, name: str) -> DataFrame:
+    """Each row `times` times, with its number from 1 on in `name`; a row with more than BLOCK of them is repeated by several tasks."""
+    rows = rows.withColumn("times__", times.cast("long")).filter("times__ > 0")
+    few = rows.filter(F.col("times__") <= BLOCK).withColumn(name, F.explode(F.sequence(F.lit(1).cast("long"), "times__")))
+    many = rows.filter(F.col("times__") > BLOCK).withColumn("first__", F.explode(F.sequence(F.lit(1).cast("long"), "times__", F.lit(BLOCK).cast("long"))))
+    many = many.repartition("first__", "times__").withColumn(name, F.explode(F.sequence("first__", F.least(F.col("times__"), F.col("first__") + BLOCK - 1))))
+    return few.drop("times__").unionByName(many.drop("times__", "first__"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, source_size, target and taken of every document; repeated rows of a document share its copies out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "source", n_words(F.col("text")).alias("size"))
     units, shares = mixed(docs, ["doc_id"], F.col("size"))
-    rows = units.join(small(shares), "source__").withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "many__")))
+    rows = repeated(units.join(small(shares), "source__"), F.col("many__"), "nth")
     own = F.expr("copies__ div many__ + if(nth <= copies__ % many__, 1, 0)")
     return rows.select("doc_id", F.col("size__").alias("size"), "source_size", "target", (own * F.col("size__")).alias("taken"))
 
@@ -169,15 +222,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mixture(docs: DataFrame) -> DataFrame:
     """`docs` with each row as often as the mix takes it (0, 1 or 2 times), and its copy number in `copy`, which replaces a column of that name.
 
-    Null texts have no words and null sources are one source; rows alike in doc_id, source and text share their copies
-    out; an empty table stays empty.
+    Null texts have no words and null sources are one source. Rows alike in every column are one unit, which comes as often as all
+    of them are taken, numbered through; rows that differ in any column are units of their own. An empty table stays empty. The same
+    rows give the same mix however they are partitioned.
     """
-    keyed = docs.withColumn("text__", F.xxhash64("text")).withColumn("words__", n_words(F.col("text"))).withColumn("from__", _named(F.col("source")))
-    units, _ = mixed(keyed, ["doc_id", "text__"], F.col("words__"))
-    units = units.toDF(*[f"unit_{c}" for c in units.columns])
-    on = (keyed["from__"] == units["unit_source__"]) & keyed["doc_id"].eqNullSafe(units["unit_doc_id"]) & keyed["text__"].eqNullSafe(units["unit_text__"])
+    own = [c for c in docs.columns if c != "copy"]
+    rest = [F.to_json(f"`{c}`") if kind.startswith(("map", "variant")) else F.col(f"`{c}`") for c, kind in docs.dtypes if c in own]
+    null = [F.col(f"`{c}`").isNull() for c in own]  # a hash passes nulls over
+    keyed = docs.withColumn("row__", F.xxhash64(*rest, *null)).withColumn("text__", F.xxhash64("text", F.lit(1))).withColumn("words__", n_words(F.col("text"))).withColumn("from__", _named(F.col("source")))
+    units, _ = mixed(keyed, ["row__", "text__"], F.col("words__"))
+    units = units.select(*[F.col(c).alias(f"unit_{c}") for c in ("source__", "row__", "text__", "many__", "copies__")]).filter("unit_copies__ > 0")
+    on = (keyed["from__"] == units["unit_source__"]) & (keyed["row__"] == units["unit_row__"]) & keyed["text__"].eqNullSafe(units["unit_text__"])
     rows = keyed.join(units, on)
-    once = rows.filter("unit_many__ = 1").withColumn("nth__", F.lit(1))
-    many = rows.filter("unit_many__ > 1").withColumn("nth__", F.row_number().over(Window.partitionBy("from__", "doc_id", "text__").orderBy("doc_id")))
-    rows = once.unionByName(many).withColumn("times__", F.expr("unit_copies__ div unit_many__ + if(nth__ <= unit_copies__ % unit_many__, 1, 0)"))
-    return rows.filter("times__ > 0").withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times__"))).select(*[F.col(f"`{c}`") for c in docs.columns if c != "copy"], "copy")
+    once = rows.filter("unit_many__ = 1").withColumn("copy__", F.explode(F.sequence(F.lit(1).cast("long"), "unit_copies__")))
+    many = repeated(rows.filter("unit_many__ > 1").dropDuplicates(["row__", "text__"]), F.col("unit_copies__"), "copy__")
+    return once.unionByName(many).select(*[F.col(f"`{c}`") for c in own], F.col("copy__").alias("copy"))

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm.mixing import _fly, _land, copies, mixed, mixture, n_words, op7_mixing, targets
+from quire.llm.mixing import _fly, _land, copies, mixed, mixture, n_words, op7_mixing, repeated, targets
 
 SF = "/root/testdata/sf0.01"
 
@@ -46,8 +46,30 @@ def test_flight_keeps_sums_and_expectations():
     assert np.abs(np.mean(runs, 0) - 0.37).max() < 0.11
     equal = _fly(np.full(30, 0.5), np.full(30, 7), np.random.default_rng(0))
     assert ((equal > 0) & (equal < 1)).sum() <= 2
-    landed = _land(np.array([1.0, 0.5, 0.5]), np.array([3.0, 10.0, 4.0]))
-    assert set(landed) <= {0.0, 1.0}
+
+
+def test_landing_keeps_expectations_and_misses_little(monkeypatch):
+    p = np.array([0.3, 0.5, 0.2, 1.0])
+    assert abs((_land(p, np.array([100.0, 40.0, 31.0, 7.0]), np.random.default_rng(0)) - p) @ np.array([100.0, 40.0, 31.0, 7.0])) == pytest.approx(14.8)  # 40 or 71 for 56.2
+    monkeypatch.setattr("quire.llm.mixing.MISS", 9.0)
+    for p, size in (([1.0, 0.3, 0.6], [3.0, 10.0, 4.0]), ([0.2, 0.9], [0.0, 5.0]), ([0.2, 0.9], [0.0, 0.0]), ([0.4], [7.0]), ([1.0, 0.0], [1.0, 1.0])):
+        p, size = np.array(p), np.array(size)
+        runs = np.array([_land(p, size, np.random.default_rng(k)) for k in range(3_000)])
+        assert np.isin(runs, (0.0, 1.0)).all() and np.abs(runs.mean(0) - p).max() < 0.04
+        assert np.abs((runs - p) @ size).max() <= size.max()
+    size = np.array([20_000.0, 9_000.0] + [float(s) for k in range(14) for s in (1 << k, 3 << k >> 1) for _ in range(8)])
+    p = np.random.default_rng(2).random(len(size)) * 0.8 + 0.1
+    runs = np.array([_land(p, size, np.random.default_rng(k)) for k in range(2_000)])
+    assert np.abs(runs.mean(0) - p).max() < 0.05 and np.quantile(np.abs((runs - p) @ size), 0.95) < 100
+
+
+def test_inclusion_probabilities_of_the_whole_method(spark):
+    rows = [(k, "a", 5 * k, 1) for k in range(1, 25)]
+    units = spark.createDataFrame(rows, "doc_id long, source__ string, size__ long, many__ long")
+    rates = units.select("source__").distinct().withColumn("rate__", F.lit(0.4))
+    times = Counter(r.doc_id for seed in range(25) for r in copies(units, rates, ["doc_id"], seed=seed).collect() if r.copies__)
+    share = np.array([times[k] for k in range(1, 25)]) / 25
+    assert abs(share.mean() - 0.4) < 0.05 and np.abs(share - 0.4).max() < 0.45  # over four standard deviations of 25 draws
 
 
 @pytest.mark.parametrize("bucket_rows", [20_000, 16])
@@ -76,6 +98,17 @@ def test_odd_rows(spark):
     assert all(n <= 2 * (9 if k[0] == 1 else 1) for k, n in seen.items())
     assert mixture(docs.limit(0)).count() == 0
     assert mixture(docs.withColumn("copy", F.lit("x"))).columns == out.columns
+    clash = docs.withColumns({"nth": F.lit(1), "many__x": F.lit(2), "source_size": F.lit("z")})
+    assert mixture(clash).columns == [*clash.columns, "copy"] and mixture(clash).count() > 0
+    key = lambda df: sorted(map(repr, df.collect()))
+    assert key(mixture(docs.repartition(5))) == key(out)
+
+
+def test_repeats_of_one_row_are_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr("quire.llm.mixing.BLOCK", 10)
+    rows = spark.createDataFrame([("a", 3), ("b", 0), ("c", 57), ("d", None)], "k string, n long")
+    got = Counter((r.k, r.nth) for r in repeated(rows, F.col("n"), "nth").collect())
+    assert got == Counter([("a", k) for k in range(1, 4)] + [("c", k) for k in range(1, 58)])
 
 
 def test_query(spark):
