@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from quire.session import shared_dir, stored
+from quire.session import shared_dir, small, stored
 
 #: A document with more tokens than this is over the limit of the query.
 LIMIT = 1024
@@ -103,51 +103,76 @@ def digest(text: Column) -> Column:
 
 
 def encoded(texts: DataFrame, path: str) -> DataFrame:
-    """(digest, text) -> (digest, n_tokens), in groups of bounded size."""
+    """(digest, again, text) -> (digest, n_tokens), in groups of bounded size; of rows alike with `again`, a task encodes one."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode, last = _encoder(path), None
+        encode, seen = _encoder(path), set()
         for batch in batches:
-            batch = batch[batch["digest"] != batch["digest"].shift(fill_value=last)]  # rows alike stand together after a merge join
-            last = batch["digest"].iloc[-1] if len(batch) else last
-            counts, group, chars = [], [], 0
-            for text in batch["text"]:
+            own, counts, group, chars = [], [], [], 0
+            for digest_, again, text in zip(batch["digest"], batch["again"], batch["text"], strict=True):
+                if again and digest_ in seen:
+                    continue
+                if again:
+                    seen.add(digest_)
+                own.append(digest_)
                 group.append(text)
                 chars += len(text)
                 if chars >= GROUP_CHARS:
                     counts += encode(group)
                     group, chars = [], 0
-            yield pd.DataFrame({"digest": batch["digest"], "n_tokens": counts + encode(group)})
+            yield pd.DataFrame({"digest": own, "n_tokens": counts + encode(group)})
 
-    return texts.select("digest", "text").mapInPandas(count, "digest binary, n_tokens bigint")
+    return texts.select("digest", "again", "text").mapInPandas(count, "digest binary, n_tokens bigint")
+
+
+def misses(docs: DataFrame, prints: DataFrame, missing: DataFrame) -> DataFrame:
+    """(digest, again, text) of one document of each missing digest (wanted, first_id, times); prints has the digests of all documents.
+
+    Texts stay where they are as long as one of two lists is small enough to be broadcast: the missing digests, as when the
+    cache is warm; or the digests that are cached or repeated, as when it is cold. Only where both are large, missing texts are
+    shuffled by digest.
+    """
+    own = docs.select("doc_id", content(F.col("text")).alias("text")).withColumn("digest", digest(F.col("text")))
+    first = F.col("digest") == F.col("wanted")
+    few = small(missing)
+    if few is missing:
+        cached = prints.select(F.col("digest").alias("wanted")).distinct().join(missing, "wanted", "left_anti")
+        kind = missing.schema["first_id"].dataType
+        listed = missing.filter("times > 1").unionByName(cached.select("wanted", F.lit(None).cast(kind).alias("first_id"), F.lit(0).cast("long").alias("times")))
+        listed = stored(listed, "listed")
+        if (rest := small(listed)) is not listed:
+            rows = own.join(rest, first, "left").filter(F.col("times").isNull() | ((F.col("times") > 1) & own["doc_id"].eqNullSafe(F.col("first_id"))))
+            return rows.select("digest", F.col("times").isNotNull().alias("again"), "text")
+    return own.join(few, first & own["doc_id"].eqNullSafe(F.col("first_id"))).select("digest", (F.col("times") > 1).alias("again"), "text")
 
 
 def counted(docs: DataFrame, path: str, cache: str) -> DataFrame:
     """`docs` (doc_id, text) -> doc_id, n_bytes, n_tokens; one row for each input row.
 
     The cache is a Parquet folder of (tokenizer, digest, n_tokens). Content digests of all documents are joined to
-    the counts that it holds for this tokenizer; of what is missing, one document of each digest moves to where it is
-    encoded, and the new counts are appended to the cache. Documents alike are encoded once, and not at all in a
-    later run. Null text counts as empty, which has 0 tokens; an empty table leaves the cache as it is.
+    the counts that it holds for this tokenizer; of what is missing, one document of each digest is encoded, and the new counts
+    are appended to the cache. Documents alike are encoded once (once a task, if doc_id is the same too), and not at all in a
+    later run. Null text counts as empty, which has 0 tokens; an empty table leaves the cache as it is. Null and repeated
+    doc_ids are counted row by row, and other columns are left behind.
     """
     spark = docs.sparkSession
     name = version(path)
     held = lambda: spark.read.schema(CACHE_SCHEMA).parquet(cache).filter(F.col("tokenizer") == name).select("digest", "n_tokens").dropDuplicates(["digest"])
     spark.createDataFrame([], CACHE_SCHEMA).write.mode("append").parquet(cache)  # so that there is one to read
     prints = stored(docs.select("doc_id", digest(F.col("text")).alias("digest"), F.octet_length(content(F.col("text"))).cast("long").alias("n_bytes")), "digests")
-    missing = prints.groupBy("digest").agg(F.min("doc_id").alias("first_id")).join(held(), "digest", "left_anti")
+    missing = prints.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("times")).join(held(), "digest", "left_anti")
     missing = stored(missing.withColumnRenamed("digest", "wanted"), "missing")
-    own = docs.select("doc_id", content(F.col("text")).alias("text")).withColumn("digest", digest(F.col("text")))
-    texts = own.join(missing, (own["digest"] == missing["wanted"]) & own["doc_id"].eqNullSafe(missing["first_id"])).select("digest", "text")
-    encoded(texts, path).select(F.lit(name).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
+    if missing.count():
+        encoded(misses(docs, prints, missing), path).select(F.lit(name).alias("tokenizer"), "digest", "n_tokens").write.mode("append").parquet(cache)
     # stored, so that both sides of the join are plain shuffles, of which a hot digest's can be split
     return prints.join(stored(held(), "counts"), "digest").select("doc_id", "n_bytes", "n_tokens")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, n_bytes, n_tokens and over_limit of every document, by a cache that begins empty."""
+    """doc_id, n_bytes, n_tokens and over_limit of every document: a first pass fills the cache, the rows come from a second one that only hits it."""
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = counted(docs, public_tokenizers.path("byte_bpe_50k.json"), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}")
-    return found.withColumn("over_limit", F.col("n_tokens") > LIMIT)
+    path, cache = public_tokenizers.path("byte_bpe_50k.json"), f"{shared_dir(spark)}/token-cache-{uuid.uuid4().hex}"
+    counted(docs, path, cache)
+    return counted(docs, path, cache).withColumn("over_limit", F.col("n_tokens") > LIMIT)
