@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,12 @@ TURNS, PENALTY = 12, 2.0
 UNKNOWN = "und"
 
 _plain = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
-_letter = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character of a letter category is there; numbers such as one half or a superscript two are none."""
+    return any(map(str.isalpha, text))
+
 
 
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
@@ -45,7 +49,7 @@ class Model:
 
     def mixture(self, text: str | None) -> dict[str, float]:
         """Proportions of the languages chosen for a text; none if it is null, has no letter, or nothing was learnt."""
-        if text is None or not self.langs or not _letter.search(text):
+        if text is None or not self.langs or not has_letter(text):
             return {}
         slot, count = grams(text)
         own, n = self.table[slot], float(count.sum())
@@ -77,21 +81,22 @@ def held_out() -> Column:
 
 
 def train(docs: DataFrame, sample: int = SAMPLE) -> Model:
-    """n-gram probabilities of every language, from about `sample` of its documents, drawn by a hash of doc_id.
+    """n-gram probabilities of every language, from about `sample` of its documents, drawn by a hash of doc_id and text, so that
+    repeated or null doc_ids are drawn like others; rows alike are drawn together.
 
     Uses text and lang of documents that are not held out and have a language. Counts are made and summed on the
     executors; languages times BUCKETS numbers reach the driver. Without such documents there are no languages.
     """
     known = docs.filter("lang is not null and text is not null").filter(~held_out()).select("doc_id", "lang", "text")
     sizes = stored(known.groupBy("lang").count(), "langs")
-    part = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < (1 << 30) * F.least(F.lit(1.0), sample / F.col("count"))
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < (1 << 30) * F.least(F.lit(1.0), sample / F.col("count"))
     rows = known.join(small(sizes), "lang").filter(F.coalesce(part, F.lit(True))).select("lang", "text")
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"], strict=True):
-                if _letter.search(text):
+                if has_letter(text):
                     slot, count = grams(text)
                     np.add.at(sums.setdefault(lang, np.zeros(BUCKETS, np.int64)), slot, count)
         for lang, own in sums.items():
@@ -119,7 +124,7 @@ def languages(model: Model, text: Column) -> Column:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, held_out, lang_pred, score and proportions of every document."""
+    """doc_id, held_out, lang_pred, score and proportions of every document; languages of equal proportion go by name."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = train(docs)
     return docs.select("doc_id", held_out().alias("held_out"), languages(model, F.col("text")).alias("x")).select("doc_id", "held_out", "x.*")

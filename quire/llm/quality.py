@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from quire.session import small, stored
 
-#: Rows to learn from, about: trusted positives, and unlabelled texts. They bound what reaches the driver.
+#: Rows to learn from, at most: trusted positives, and unlabelled texts. They bound what reaches the driver.
 POSITIVES = 2_000
 UNLABELLED = 4_000
 #: Byte classes, hashed words, and figures of a whole text.
@@ -148,27 +148,31 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
-    """Fit on samples of about the given sizes, drawn by a hash of doc_id from all rows that are not held out.
+    """Fit on samples of at most the given sizes, drawn by a hash of doc_id and text from all rows that are not held out.
 
-    Trusted positives are documents with a label of quality 1; unlabelled texts are any web text, whatever its label.
+    Trusted positives are documents with a label of quality 1; unlabelled texts are any web text, whatever its label. Rows alike
+    in doc_id and text count once, so repeated or null doc_ids bring no more rows than others; a null doc_id has no
+    label. The hash draws somewhat more than the sizes, and of those the first by its order stay.
     """
-    spark = docs.sparkSession
     labels = labels.filter("quality = 1").select("doc_id").filter(~held_out()).distinct()
     n_pos, n_unl = labels.count(), docs.select("doc_id").filter(~held_out()).count()
-    part = lambda k, n, of: F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, n / max(1, of)))
-    trusted = stored(labels.filter(part("p", positives, n_pos)).withColumn("trusted", F.lit(True)), "trusted")
-    own = docs.select("doc_id", "text").filter(~held_out()).withColumn("web", F.coalesce(part("u", unlabelled, n_unl), F.lit(False)))
-    own = own.filter(F.col("web") | F.coalesce(part("p", positives, n_pos), F.lit(False))).join(small(trusted), "doc_id", "left")
-    own = own.withColumn("trusted", F.coalesce("trusted", F.lit(False))).filter("web or trusted")
+    few = lambda h, n, of: F.pmod(h, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * n / max(1, of)))
+    labelled = few(F.xxhash64("doc_id", F.lit("p")), positives, n_pos)
+    trusted = stored(labels.filter(labelled).withColumn("trusted", F.lit(True)), "trusted")
+    own = docs.select("doc_id", "text").filter(~held_out()).withColumn("h", F.xxhash64("doc_id", "text", F.lit("u")))
+    own = own.withColumn("web", few(F.col("h"), unlabelled, n_unl)).filter(F.col("web") | labelled).join(small(trusted), "doc_id", "left")
+    own = own.withColumn("trusted", F.coalesce("trusted", F.lit(False))).filter("web or trusted").select("h", "web", "trusted", "text")
 
     def encoded(batches):
         for batch in batches:
             both = [features(t) for t in batch["text"]]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "web": batch["web"], "trusted": batch["trusted"], "i": [i.tobytes() for i, _ in both], "v": [v.tobytes() for _, v in both]})
+            yield pd.DataFrame({"h": batch["h"], "web": batch["web"], "trusted": batch["trusted"], "i": [i.tobytes() for i, _ in both], "v": [v.tobytes() for _, v in both]})
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = stored(own.mapInPandas(encoded, f"doc_id {kind}, web boolean, trusted boolean, i binary, v binary"), "sample")
-    rows = rows.orderBy("doc_id", F.xxhash64("i", "v")).collect()  # a bounded sample
+    rows = stored(own.mapInPandas(encoded, "h long, web boolean, trusted boolean, i binary, v binary"), "sample")
+    last = lambda role, n: F.lit(rows.filter(role).select("h").distinct().orderBy("h").limit(n).agg(F.max("h")).first()[0]).cast("long")
+    for role, n in (("web", unlabelled), ("trusted", positives)):
+        rows = rows.withColumn(role, F.col(role) & F.coalesce(F.col("h") <= last(role, n), F.lit(False)))
+    rows = rows.filter("web or trusted").dropDuplicates(["h"]).orderBy("h").collect()  # positives + unlabelled at most
     read = lambda r: (np.frombuffer(r.i, np.int32), np.frombuffer(r.v, np.float32))
     return fit([read(r) for r in rows if r.trusted], [read(r) for r in rows if r.web])
 
@@ -184,13 +188,17 @@ def scores(model: Model, text: Column) -> Column:
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents whose whole text scores 0.5 or more, with their columns; learns from `docs` and `labels` as train() does."""
+    """The documents whose whole text scores 0.5 or more, with their columns; learns from `docs` and `labels` as train() does.
+
+    Rows stay as often as they come; null and empty texts are judged by the score of no features; a score of exactly 0.5 stays, as
+    all do when nothing can be learnt; an empty table stays empty. Any column but score__ may be there.
+    """
     model = train(docs, labels)
     return docs.withColumn("score__", scores(model, F.col("text"))).filter("score__ >= 0.5").drop("score__")
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document."""
+    """doc_id, held_out, score and predicted of every document; one row for each input row, null doc_ids and texts included."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = docs.select("doc_id", held_out().alias("held_out"), scores(model, F.col("text")).alias("score"))

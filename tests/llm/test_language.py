@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 import zlib
 
@@ -5,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm.language import BUCKETS, Model, grams, languages, op3_language_id, train
+from quire.llm.language import BUCKETS, GRAM, PENALTY, Model, grams, languages, op3_language_id, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -49,3 +51,48 @@ def test_held_out_accuracy(spark):
     assert len(rows) == 1000 and all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in rows)
     held = [r for r in rows if r.held_out]
     assert np.mean([r.lang_pred == r.lang for r in held]) > 0.98
+
+
+def plain_mixture(model, text):
+    """The best set of languages of all by penalised likelihood, each with its proportions after many turns."""
+    slot, count = grams(text)
+    own, n = model.table[slot], count.sum()
+    best = (-math.inf, {})
+    for size in range(1, len(model.langs) + 1):
+        for langs in itertools.combinations(range(len(model.langs)), size):
+            share = np.full(size, 1 / size)
+            for _ in range(300):
+                share = share * ((count / (own[:, langs] @ share)) @ own[:, langs]) / n
+            value = count @ np.log(own[:, langs] @ share) - (size - 1) * PENALTY * GRAM * 0.5 * math.log(max(n, 2))
+            best = max(best, (float(value), {model.langs[k]: float(s) for k, s in zip(langs, share, strict=True)}), key=lambda x: x[0])
+    return best[1]
+
+
+def test_query_against_all_sets_of_languages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = train(docs)
+    got = {r.doc_id: r for r in op3_language_id(spark, SF).collect()}
+    texts = {r.doc_id: r.text for r in docs.filter("doc_id % 5 = 0").collect()}
+    same = 0
+    for k, text in texts.items():
+        want = plain_mixture(model, text)
+        first = min(want, key=lambda x: (-want[x], x))
+        same += got[k].lang_pred == first and got[k].score == pytest.approx(want[first], abs=0.03)
+    assert same >= 0.99 * len(texts)
+    rnd, mixed = random.Random(3), 0
+    for _ in range(40):  # mixtures of two or three documents: the greedy choice of sets against all sets
+        text = " ".join(rnd.sample([*texts.values()], rnd.choice((2, 3))))
+        want, mine = plain_mixture(model, text), model.mixture(text)
+        mixed += set(want) == set(mine) and all(abs(want[x] - mine[x]) < 0.05 for x in want)
+    assert mixed >= 37
+
+
+def test_numbers_are_no_letters_ties_and_repeats(spark):
+    docs = [(1, "½ ² ① 12", None), (2, "der die das", "de"), (2, "der die das", "de"), (None, "the of and", "en"), (None, "the of and", "en"), (3, "ª", None)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    model = train(docs)
+    rows = docs.select("doc_id", languages(model, docs.text).alias("x")).collect()
+    got = {r.doc_id: r.x.lang_pred for r in rows}
+    assert len(rows) == 6 and got[1] == "und" and got[2] == "de" and got[None] == "en" and got[3] in model.langs
+    even = Model(["b", "a"], np.full((BUCKETS, 2), 1 / BUCKETS))
+    assert [*even.mixture("some words")] == ["b"]  # the first of the model's languages, which train() puts in order

@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -56,3 +57,54 @@ def test_scores_are_pure(spark):
     docs = spark.createDataFrame([(1, "x y", "en"), (2, "x y", None)], "doc_id long, text string, lang string")
     a, b = (r.s for r in docs.select(scores(model, docs.text).alias("s")).collect())
     assert a == b
+
+
+def plain_features(text):
+    """The same features by plain loops: dict of index to value."""
+    kind = {**{b: 1 for b in range(256)}, **{b: 0 for b in (9, 10, 11, 12, 13, 32)}}
+    kind |= {b: 2 for b in range(97, 123)} | {b: 3 for b in range(65, 91)} | {b: 4 for b in range(48, 58)}
+    kind |= {b: 5 + k for k, b in enumerate(b for b in range(33, 127) if not chr(b).isalnum())}
+    data = (text or "").encode()
+    words = data.split()
+    if not words:
+        return {}
+    pairs = Counter((kind[a], kind[b]) for a, b in zip(data, data[1:], strict=False))
+    bag = Counter()
+    for w in words:
+        h = sum(((b | 32) * pow(1099511628211, i % 64, 1 << 64)) for i, b in enumerate(w + b" ")) % (1 << 64)
+        bag[h * 0x9E3779B97F4A7C15 % (1 << 64) >> 52] += 1
+    n, first = max(1, len(data) - 1), Counter(a for a, _ in pairs.elements())
+    out = {a * 64 + b: (c / n) ** 0.5 for (a, b), c in pairs.items()} | {64 * 64 + k: (c / len(words)) ** 0.5 for k, c in bag.items()}
+    times = Counter(words)
+    figures = 1 - len(times) / len(words), max(times.values()) / len(words), first[3] / n, sum(c for k, c in first.items() if k >= 5) / n, min(1, np.log1p(len(words)) / 10), first[4] / n
+    return out | dict(enumerate(map(float, figures), 64 * 64 + 4096))
+
+
+def test_query_against_plain_scores(spark):
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    model = train(docs.select("doc_id", "text"), labels)
+    got = {r.doc_id: r for r in op1_quality_classifier(spark, SF).collect()}
+    for r in docs.select("doc_id", "text").collect():
+        z = model.bias + sum(model.weight[k] * v for k, v in plain_features(r.text).items())
+        assert got[r.doc_id].score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
+def test_repeated_and_null_ids_bring_no_more_than_the_bound(spark, monkeypatch):
+    docs = spark.range(6_000).selectExpr("if(id % 2 = 0, 7, if(id % 5 = 0, null, id)) AS doc_id", "concat('text ', if(id % 4 = 0, 0, id), ' of words') AS text", "id AS h", "true AS web")
+    labels = spark.range(6_000).selectExpr("id AS doc_id", "1 AS quality", "0 AS toxic").unionByName(spark.sql("SELECT cast(null AS bigint) AS doc_id, 1 AS quality, 0 AS toxic"))
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda pos, unl: seen.update(pos=len(pos), unl=len(unl)) or Model(np.zeros(quality.SIZE), 0.0, 0.5))
+    train(docs, labels, 100, 150)
+    assert 0 < seen["pos"] <= 100 and 50 < seen["unl"] <= 150
+    train(docs, labels, 10_000, 10_000)
+    distinct = docs.filter(~quality.held_out()).select("doc_id", "text").distinct().count()
+    assert seen["unl"] == distinct and seen["pos"] <= distinct
+
+
+def test_accepted_keeps_rows_and_columns(spark):
+    rows = [(1, "a calm river", "x", 1), (1, "a calm river", "x", 1), (None, None, None, None), (2, "", "y", 2), (3, "long " * 200_000, "z", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string, held_out long")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    out = quality.accepted(docs, labels)  # nothing learnt: every score is 0.5, and all stay
+    assert out.columns == docs.columns and sorted(map(repr, out.collect())) == sorted(map(repr, docs.collect()))
+    assert quality.accepted(docs.limit(0), labels).count() == 0
