@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 #: Stand-in layout of plain text: points of a character and a line, lines of a page.
 STEP, LEADING, PAGE_LINES = 6.0, 12.0, 40
@@ -58,6 +58,17 @@ def primitives(chars: DataFrame, rules: DataFrame, images: DataFrame) -> DataFra
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def numbered(df: DataFrame, within: list[str], order: list[str], name: str) -> DataFrame:
-    """Row numbers from 1 inside each group, in a total order."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*within).orderBy(*order)).cast("long"))
+def styled(glyphs: DataFrame) -> DataFrame:
+    """Glyphs as a page draws them -> characters with colour and box; fill, space and transform stay.
+
+    A glyph has width and height in its own space, `fill` (array<double>) in the colour `space` gray, rgb or cmyk, and `transform`, the
+    six numbers a, b, c, d, e, f of its matrix; y grows upwards from the bottom of a page of `page_height`. `colour` is the
+    fill as red, green and blue from 0 to 1, black where it is null; the box is that of the four moved corners, from the top down.
+    """
+    f, m = F.col("fill"), F.col("transform")
+    least = lambda k: (1 - F.least(F.lit(1.0), f[k] + f[3]))
+    colour = F.when(F.col("space") == "gray", F.array(f[0], f[0], f[0])).when(F.col("space") == "rgb", f).when(F.col("space") == "cmyk", F.array(least(0), least(1), least(2)))
+    xs = [m[0] * x + m[2] * y + m[4] for x in (F.lit(0.0), F.col("width")) for y in (F.lit(0.0), F.col("height"))]
+    ys = [m[1] * x + m[3] * y + m[5] for x in (F.lit(0.0), F.col("width")) for y in (F.lit(0.0), F.col("height"))]
+    box = {"x0": F.least(*xs), "top": F.col("page_height") - F.greatest(*ys), "x1": F.greatest(*xs), "bottom": F.col("page_height") - F.least(*ys)}
+    return glyphs.withColumns({"colour": F.coalesce(colour, F.array(*[F.lit(0.0)] * 3)), **box}).drop("width", "height", "page_height")

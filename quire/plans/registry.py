@@ -5,19 +5,14 @@ They run the stage operators over whole driver tables by way of the stand-ins.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quire.functions.text import token_kind, token_label
 from quire.operators import audit, blocks, escalation, formula, health, ledger, lines, primitives, render, structure, tables
-from quire.plans import standins
+from quire.plans import papers, standins  # noqa: F401  papers adds its queries
+from quire.plans.catalog import ORACLES, QUERIES, query  # noqa: F401
 from quire.session import table
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
 _LINES = """lines AS (SELECT doc_id, i - 1 AS ln, l[i] AS text FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)) WHERE l[i] <> '')"""
 _CHARS = f"""{_LINES}, chars AS (SELECT doc_id, ln, ln // 40 AS page_no, p - 1 AS col, c[p] AS ch FROM (SELECT doc_id, ln, c, unnest(range(1, len(c) + 1)) AS p
@@ -32,16 +27,6 @@ cs AS (SELECT * FROM (SELECT k, x AS x0, lead(x) OVER (PARTITION BY k ORDER BY x
 cells AS (SELECT k, r, c, x0, top, x1, bottom FROM rs JOIN cs USING (k))"""
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
 @query(r"""SELECT doc_id, length(text) AS n_chars, CAST(len(regexp_extract_all(text, '\(cid:[0-9]+\)')) AS BIGINT) AS n_cid,
   CAST(len(regexp_extract_all(text, '\x{FFFD}')) AS BIGINT) AS n_fffd, CAST(len(regexp_extract_all(text, '[\x{E000}-\x{F8FF}]')) AS BIGINT) AS n_pua,
   CAST(len(regexp_extract_all(text, '[^\x00-\x7F]')) AS BIGINT) AS n_foreign,

@@ -69,12 +69,17 @@ def _delete(spark: SparkSession, path: str) -> None:
         at.getFileSystem(spark._jvm.org.apache.hadoop.conf.Configuration()).delete(at, True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the application's part of the shared folder."""
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str = "t", path: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, survives lost executors, has a known size.
 
     Tables of steps that are over are deleted by removed(), all others when the driver ends.
     """
-    path = path or f"{_own_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = path or scratch(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

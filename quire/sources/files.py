@@ -12,10 +12,10 @@ def raw_documents(spark: SparkSession, path: str, pattern: str = "*.pdf") -> Dat
 
 
 def write_questions(questions: DataFrame, path: str) -> None:
-    """doc_id, q_no, json -> one JSON line for each question, in files by document."""
-    questions.sort("doc_id", "q_no").select("json").write.mode("overwrite").text(path)
+    """doc_id, q_no, json -> one JSON line for each question; those of a document stand in one file, in order of their numbers."""
+    questions.repartition("doc_id").sortWithinPartitions("doc_id", "q_no").select("json").write.mode("overwrite").text(path)
 
 
 def write_html(documents: DataFrame, path: str) -> None:
-    """doc_id, html -> Parquet by document: an HTML file's text in each row."""
-    documents.write.mode("overwrite").parquet(path)
+    """doc_id, html -> a folder doc_id=... for each document with its HTML as a text file."""
+    documents.select("doc_id", "html").repartition("doc_id").write.mode("overwrite").partitionBy("doc_id").text(path)
