@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quire.operators.lines import BIG_OPERATORS
 
@@ -11,8 +10,8 @@ from quire.operators.lines import BIG_OPERATORS
 SIGNS = {"∑": r"\sum", "∏": r"\prod", "∫": r"\int", "×": r"\times ", "÷": r"\div ", "≤": r"\le ", "≥": r"\ge ", "≠": r"\ne ", "∞": r"\infty ", "·": r"\cdot ", "π": r"\pi ", "α": r"\alpha ", "β": r"\beta ", "θ": r"\theta ", "{": r"\{", "}": r"\}"}
 ACCENTS = {"^": "hat", "ˆ": "hat", "~": "tilde", "˜": "tilde", "→": "vec", "¯": "bar"}
 PAIRS = {"(": ")", "[": "]", "{": "}"}
-#: Size of a script against its base, and how deep a tree may nest.
-SCRIPT, DEPTH = 0.85, 12
+#: Size of a script against its base, and how far its middle is off the base's, in sizes of the base.
+SCRIPT, OFF = 0.85, 0.15
 
 
 def script_edges(chars: DataFrame) -> DataFrame:
@@ -30,186 +29,230 @@ def script_edges(chars: DataFrame) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(nearest)).filter("place = 1").drop("place", "away")
 
 
-class _Zone:
-    """One zone's primitives, read into a tree; nodes are (kind, primitive ids, [(slot, child)], LaTeX)."""
-
-    def __init__(self):
-        self.odd = 0  # primitives that fit nowhere
-
-    def row(self, items: list[dict], depth: int = 0) -> dict:
-        """The tree of a set of primitives: bars, radicals and limits first, then scripts from left to right."""
-        if depth > DEPTH:
-            self.odd += len(items)
-            items = []
-        items = sorted(items, key=lambda i: (i["x0"], i["top"], i["prim_id"]))
-        for rule in sorted((i for i in items if i["kind"] == "rule"), key=lambda i: (i["x0"] - i["x1"], i["prim_id"])):
-            if rule in items:
-                items = self.barred(rule, items, depth)
-        for sign in [i for i in items if i["kind"] == "char" and i["ch"] in BIG_OPERATORS and i["ch"] != "√"]:
-            items = self.limits(sign, items, depth)
-        items = self.accents(items)
-        return self.fold(items, depth)
-
-    @staticmethod
-    def inside(i: dict, rule: dict) -> bool:
-        middle = (i["x0"] + i["x1"]) / 2
-        return rule["x0"] - 1 <= middle <= rule["x1"] + 1
-
-    def box(self, kind: str, parts: list[dict], ids: list[int], children: list[tuple[str, dict]], latex: str) -> dict:
-        size = max((p["size"] for p in parts), default=10.0)
-        return {"kind": kind, "ids": ids, "children": children, "latex": latex, "size": size, "prim_id": ids[0] if ids else -1, "ch": "",
-                "x0": min(p["x0"] for p in parts), "x1": max(p["x1"] for p in parts), "top": min(p["top"] for p in parts), "bottom": max(p["bottom"] for p in parts)}
-
-    def barred(self, rule: dict, items: list[dict], depth: int) -> list[dict]:
-        near = [i for i in items if i is not rule and self.inside(i, rule)]
-        over, under = [i for i in near if i["bottom"] <= rule["top"] + 1], [i for i in near if i["top"] >= rule["bottom"] - 1]
-        root = [i for i in items if i.get("ch") == "√" and abs(i["x1"] - rule["x0"]) <= 2 and abs(i["top"] - rule["top"]) <= 3]
-        if root and under:
-            inner = self.row(under, depth + 1)
-            new, used = self.box("sqrt", [root[0], rule, *under], [root[0]["prim_id"], rule["prim_id"]], [("radicand", inner)], rf"\sqrt{{{inner['latex']}}}"), [root[0], *under]
-        elif over and under:
-            top, low = self.row(over, depth + 1), self.row(under, depth + 1)
-            new, used = self.box("frac", [rule, *over, *under], [rule["prim_id"]], [("num", top), ("den", low)], rf"\frac{{{top['latex']}}}{{{low['latex']}}}"), [*over, *under]
-            new["axis"] = rule["top"]
-        elif under:
-            inner = self.row(under, depth + 1)
-            new, used = self.box("bar", [rule, *under], [rule["prim_id"]], [("base", inner)], rf"\bar{{{inner['latex']}}}"), under
-        else:
-            self.odd += 1
-            return [i for i in items if i is not rule]
-        return [i for i in items if i is not rule and not any(i is u for u in used)] + [new]
-
-    def limits(self, sign: dict, items: list[dict], depth: int) -> list[dict]:
-        if not any(i is sign for i in items):
-            return items
-        near = [i for i in items if i is not sign and i["size"] <= SCRIPT * sign["size"] and self.inside(i, {"x0": sign["x0"] - 3, "x1": sign["x1"] + 3})]
-        over, under = [i for i in near if i["bottom"] <= sign["top"] + 1], [i for i in near if i["top"] >= sign["bottom"] - 1]
-        children, latex = [], SIGNS[sign["ch"]] if sign["ch"] in SIGNS else sign["ch"]
-        for slot, mark, part in (("lower", "_", under), ("upper", "^", over)):
-            if part:
-                inner = self.row(part, depth + 1)
-                children.append((slot, inner))
-                latex += f"{mark}{{{inner['latex']}}}"
-        new = self.box("operator", [sign], [sign["prim_id"]], children, latex + " ")
-        return [i for i in items if i is not sign and not any(i is u for u in (*over, *under))] + [new]
-
-    def accents(self, items: list[dict]) -> list[dict]:
-        for mark in [i for i in items if i["kind"] == "char" and i["ch"] in ACCENTS]:
-            base = [i for i in items if i is not mark and i["kind"] == "char" and self.inside(mark, i) and 0 <= i["top"] - mark["bottom"] + 2 <= i["size"]]
-            if base:
-                inner = self.leaf(base[0])
-                new = self.box("accent", [mark, base[0]], [mark["prim_id"]], [("base", inner)], rf"\{ACCENTS[mark['ch']]}{{{inner['latex']}}}")
-                items = [i for i in items if i is not mark and i is not base[0]] + [new]
-        return items
-
-    @staticmethod
-    def leaf(i: dict) -> dict:
-        return i if i["kind"] != "char" else {**i, "kind": "sign", "ids": [i["prim_id"]], "children": [], "latex": SIGNS.get(i["ch"], i["ch"])}
-
-    def fold(self, items: list[dict], depth: int) -> dict:
-        """Left to right: a smaller, moved part is a script of what stands before it; delimiters open and close groups."""
-        items = sorted((self.leaf(i) for i in items), key=lambda i: (i["x0"], i["top"], i["prim_id"]))
-        out: list[dict] = []
-        at = 0
-        while at < len(items):
-            base, at = items[at], at + 1
-            middle = base.get("axis", (base["top"] + base["bottom"]) / 2)
-            scripts: dict[str, list[dict]] = {"sup": [], "sub": []}
-            while at < len(items) and items[at]["size"] <= SCRIPT * base["size"]:
-                off = (items[at]["top"] + items[at]["bottom"]) / 2 - middle
-                if abs(off) < 0.15 * base["size"]:
-                    break
-                scripts["sup" if off < 0 else "sub"].append(items[at])
-                at += 1
-            children, latex = [], base["latex"]
-            for slot, mark in (("sub", "_"), ("sup", "^")):
-                if scripts[slot]:
-                    inner = self.row_of(scripts[slot], depth + 1)
-                    children.append((slot, inner))
-                    latex = f"{latex.rstrip() if base['kind'] == 'operator' else latex}{mark}{{{inner['latex']}}}"
-            out.append(self.box("script", [base], [], [("base", base), *children], latex) if children else base)
-        return self.delimited(out)
-
-    def row_of(self, nodes: list[dict], depth: int) -> dict:
-        return self.fold(nodes, depth) if depth <= DEPTH else self.row([], depth)
-
-    def delimited(self, nodes: list[dict]) -> dict:
-        stack: list[tuple[str, list[dict]]] = [("", [])]
-        for n in nodes:
-            ch = n.get("ch", "") if n["kind"] == "sign" else ""
-            if ch in PAIRS:
-                stack.append((ch, [n]))
-            elif len(stack) > 1 and ch == PAIRS[stack[-1][0]]:
-                _, own = stack.pop()
-                body = "".join(x["latex"] for x in own[1:])
-                stack[-1][1].append(self.box("group", [*own, n], [], [("item", x) for x in (*own, n)], rf"\left{own[0]['latex']}{body}\right{n['latex']}"))
-            else:
-                stack[-1][1].append(n)
-        while len(stack) > 1:  # an opened one that never closes stays as it is
-            _, own = stack.pop()
-            self.odd += 1
-            stack[-1][1].extend(own)
-        flat = stack[0][1]
-        if len(flat) == 1:
-            return flat[0]
-        latex = "".join(x["latex"] for x in flat).strip()
-        return {"kind": "row", "ids": [], "children": [("item", x) for x in flat], "latex": latex, "size": max((x["size"] for x in flat), default=10.0), "prim_id": -1, "ch": "",
-                "x0": min((x["x0"] for x in flat), default=0.0), "x1": max((x["x1"] for x in flat), default=0.0), "top": min((x["top"] for x in flat), default=0.0), "bottom": max((x["bottom"] for x in flat), default=0.0)}
-
-
-def _read(zone: pd.DataFrame) -> tuple[dict, float]:
-    """Tree of one zone and its confidence: the share of primitives that found a place. Lines right of a brace are a system."""
-    reader, items = _Zone(), zone.to_dict("records")
-    brace = [i for i in items if i["kind"] == "char" and i["ch"] == "{"]
-    rest = [i for i in items if not (brace and i is brace[0])]
-    lines: list[list[dict]] = []
-    if brace and (brace[0]["bottom"] - brace[0]["top"]) > 1.6 * max((i["size"] for i in rest), default=1e9):
-        for i in sorted(rest, key=lambda i: (i["top"] + i["bottom"], i["x0"])):
-            if lines and (i["top"] + i["bottom"]) / 2 - (lines[-1][-1]["top"] + lines[-1][-1]["bottom"]) / 2 <= 0.6 * i["size"]:
-                lines[-1].append(i)
-            else:
-                lines.append([i])
-    if len(lines) > 1:
-        rows = [reader.row(x, 1) for x in lines]
-        body = r" \\ ".join(r["latex"] for r in rows)
-        tree = reader.box("cases", items, [brace[0]["prim_id"]], [("line", r) for r in rows], rf"\begin{{cases}}{body}\end{{cases}}")
-    else:
-        tree = reader.row(items)
-    return tree, max(0.0, 1 - reader.odd / max(1, len(items)))
-
-
-def _schema(zones: DataFrame) -> str:
-    return dict(zones.dtypes)["zone_id"]
+def _numbers(of: Column) -> Column:
+    return F.when(F.size(of) > 0, F.sequence(F.lit(0), F.size(of) - 1)).otherwise(F.array().cast("array<int>"))
 
 
-def formulas(prims: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Primitives of zones (zone_id, prim_id, kind char or rule, ch, size, box) -> zone_id, latex, confidence, needs_escalation.
+def _first(found: Column) -> Column:
+    return F.get(found, 0)
+
+
+def _p(i: Column) -> Column:
+    """A primitive of the zone by its number."""
+    return F.get(F.col("prims"), i)
+
+
+def _middle(i: Column) -> Column:
+    return (_p(i)["x0"] + _p(i)["x1"]) / 2
+
+
+def _height(i: Column) -> Column:
+    return (_p(i)["top"] + _p(i)["bottom"]) / 2
+
+
+def _covers(r: Column, i: Column) -> Column:
+    return (_p(r)["x0"] - 1 <= _middle(i)) & (_middle(i) <= _p(r)["x1"] + 1)
+
+
+def _wider(q: Column, r: Column) -> Column:
+    """A total order of rules: the wider first, of equal ones the one with the smaller number."""
+    wide = lambda i: _p(i)["x1"] - _p(i)["x0"]
+    return (wide(q) > wide(r)) | ((wide(q) == wide(r)) & (q < r))
+
+
+def _above(i: Column, j: Column) -> Column:
+    return _p(i)["bottom"] <= _p(j)["top"] + 1
+
+
+def _grouped(prims: DataFrame) -> DataFrame:
+    """zone_id, prims: the primitives of each zone from left to right, and nums, their numbers. A zone is a part of a line or a few."""
+    each = F.struct("x0", "top", "prim_id", "kind", "ch", "size", "x1", "bottom")
+    rows = prims.groupBy("zone_id").agg(F.array_sort(F.collect_list(each)).alias("prims"))
+    return rows.withColumn("nums", _numbers(F.col("prims")))
 
-    A formula nests, so each zone is one pandas group; a zone is a part of one line or a few, and its size is bounded by them.
+
+def _lined(zones: DataFrame) -> DataFrame:
+    """With brace, the number of a tall brace that several lines stand behind, and line of every primitive (0 without one)."""
+    found = _first(F.filter("nums", lambda i: (_p(i)["kind"] == "char") & (_p(i)["ch"] == "{")))
+    rows = zones.withColumn("brace", found)
+    others = F.filter("nums", lambda i: F.col("brace").isNull() | (i != F.col("brace")))
+    tall = _p(F.col("brace"))["bottom"] - _p(F.col("brace"))["top"] > 1.6 * F.array_max(F.transform(others, lambda i: _p(i)["size"]))
+    down = F.array_sort(F.transform(others, lambda i: F.struct(_height(i).alias("y"), i.alias("i"))))
+    start = F.struct(F.lit(None).cast("double").alias("y"), F.lit(0).alias("line"), F.array().cast("array<struct<i:int,line:int>>").alias("out"))
+
+    def step(a: Column, e: Column) -> Column:
+        line = a["line"] + F.when(e["y"] - a["y"] > 0.6 * _p(e["i"])["size"], 1).otherwise(0)
+        return F.struct(e["y"].alias("y"), line.alias("line"), F.array_append(a["out"], F.struct(e["i"].alias("i"), line.alias("line"))).alias("out"))
+
+    rows = rows.withColumn("lines", F.aggregate(down, start, step))
+    rows = rows.withColumn("brace", F.when(tall & (F.col("lines.line") > 0), F.col("brace")))
+    line = lambda i: F.coalesce(_first(F.filter(F.col("lines.out"), lambda e: e["i"] == i))["line"], F.lit(0))
+    return rows.withColumn("line", F.when(F.col("brace").isNull(), F.transform("nums", lambda i: F.lit(0))).otherwise(F.transform("nums", line))).drop("lines")
+
+
+def _barred(zones: DataFrame) -> DataFrame:
+    """With bars: number, radical sign and kind (sqrt, frac, bar; null: it fits nowhere) of every rule; and barred: of every primitive the
+    innermost bar that it is over or under, as (at, slot).
+
+    Between a bar and what it holds there is no wider bar; a rule is held by wider ones only.
     """
+    same = lambda i, j: F.get("line", i) == F.get("line", j)
+    rules = F.filter("nums", lambda i: _p(i)["kind"] == "rule")
+    rows = zones.withColumn("rules", rules)
 
-    def read(zone: pd.DataFrame) -> pd.DataFrame:
-        tree, sure = _read(zone)
-        return pd.DataFrame({"zone_id": zone["zone_id"].iloc[:1], "latex": [tree["latex"].strip()], "confidence": [sure]})
+    def held(r: Column, i: Column, over: bool) -> Column:
+        between = lambda q: _above(i, q) & _above(q, r) if over else _above(r, q) & _above(q, i)
+        blocked = F.exists("rules", lambda q: (q != r) & (q != i) & _wider(q, r) & _covers(q, i) & between(q))
+        return (i != r) & same(i, r) & _covers(r, i) & (_above(i, r) if over else _above(r, i)) & ((_p(i)["kind"] != "rule") | _wider(r, i)) & ~blocked
 
-    made = prims.groupBy("zone_id").applyInPandas(read, f"zone_id {_schema(prims)}, latex string, confidence double")
-    return made.withColumn("needs_escalation", F.col("confidence") < threshold)
+    root = lambda r: _first(F.filter("nums", lambda i: (_p(i)["ch"] == "√") & same(i, r) & (F.abs(_p(i)["x1"] - _p(r)["x0"]) <= 2) & (F.abs(_p(i)["top"] - _p(r)["top"]) <= 3)))
+    rows = rows.withColumn("bars", F.transform("rules", lambda r: F.struct(r.alias("r"), root(r).alias("root"), F.filter("nums", lambda i: held(r, i, True)).alias("over"), F.filter("nums", lambda i: held(r, i, False)).alias("under"))))
+    kind = lambda b: F.when(F.size(b["under"]) > 0, F.when(b["root"].isNotNull(), "sqrt").when(F.size(b["over"]) > 0, "frac").otherwise("bar"))
+    rows = rows.withColumn("bars", F.transform("bars", lambda b: F.struct(b["r"].alias("r"), b["root"].alias("root"), b["over"].alias("over"), b["under"].alias("under"), kind(b).alias("kind"))))
 
+    def owner(i: Column) -> Column:
+        slot = lambda b: F.when(b["root"] == i, None).when(F.array_contains(b["under"], i), F.element_at(F.create_map(*map(F.lit, ("sqrt", "radicand", "frac", "den", "bar", "base"))), b["kind"])).when((b["kind"] == "frac") & F.array_contains(b["over"], i), "num")
+        found = F.transform("bars", lambda b: F.struct((_p(b["r"])["x1"] - _p(b["r"])["x0"]).alias("wide"), (-b["r"]).alias("order"), F.when(b["kind"] == "sqrt", b["root"]).otherwise(b["r"]).alias("at"), slot(b).alias("slot")))
+        return F.array_min(F.filter(found, lambda x: x["slot"].isNotNull()))
+
+    return rows.withColumn("barred", F.transform("nums", lambda i: F.struct(owner(i)["at"].alias("at"), owner(i)["slot"].alias("slot")))).drop("rules")
 
-def formula_nodes(prims: DataFrame) -> DataFrame:
-    """The same trees as adjacency rows: zone_id, node_id, parent_id, slot, ord, kind, prim_id."""
 
-    def read(zone: pd.DataFrame) -> pd.DataFrame:
-        rows: list[tuple] = []
+def _placed(zones: DataFrame) -> DataFrame:
+    """With nodes: number, parent, slot and line of every primitive that is one, and kind; limits and accents take their places first.
 
-        def walk(node: dict, parent: int | None, slot: str, ord_: int) -> None:
-            own = len(rows)
-            rows.append((own, parent, slot, ord_, node["kind"], node["ids"][0] if node["ids"] else None))
-            for k, (name, child) in enumerate(node["children"]):
-                walk(child, own, name, k)
+    The rule of a radical is part of its sign's node; a rule that fits nowhere is none.
+    """
+    together = lambda i, j: F.get("barred", i).eqNullSafe(F.get("barred", j)) & (F.get("line", i) == F.get("line", j)) & (i != j)
+    big = lambda i: (_p(i)["kind"] == "char") & _p(i)["ch"].isin(*BIG_OPERATORS) & (_p(i)["ch"] != "√")
+    near = lambda s, i: big(s) & together(s, i) & (_p(i)["size"] <= SCRIPT * _p(s)["size"]) & (_p(s)["x0"] - 4 <= _middle(i)) & (_middle(i) <= _p(s)["x1"] + 4) & (_above(i, s) | _above(s, i))
+    rows = zones.withColumn("limit", F.transform("nums", lambda i: _first(F.filter("nums", lambda s: near(s, i)))))
+    free = lambda i: (_p(i)["kind"] == "char") & F.get("limit", i).isNull()
+    gap = lambda m, b: _p(b)["top"] - _p(m)["bottom"] + 2
+    marks = F.filter("nums", lambda m: free(m) & _p(m)["ch"].isin(*ACCENTS))
+    base = lambda m: _first(F.filter("nums", lambda b: free(b) & together(m, b) & _covers(b, m) & gap(m, b).between(0, _p(b)["size"])))
+    rows = rows.withColumn("accents", F.filter(F.transform(marks, lambda m: F.struct(m.alias("m"), base(m).alias("b"))), lambda x: x["b"].isNotNull()))
+    mark = lambda i: _first(F.filter("accents", lambda x: x["b"] == i))["m"]
+    bar = lambda i: _first(F.filter("bars", lambda b: F.when(b["kind"] == "sqrt", b["root"]).otherwise(b["r"]) == i))["kind"]
+
+    def node(i: Column) -> Column:
+        limit, accent, own = F.get("limit", i), mark(i), F.get("barred", i)
+        behind = F.col("brace").isNotNull() & (F.col("brace") != i)
+        parent = F.coalesce(limit, accent, own["at"], F.when(behind, F.col("brace")))
+        slot = F.when(limit.isNotNull(), F.when(_above(i, limit), "upper").otherwise("lower")).when(accent.isNotNull(), "base").when(own["at"].isNotNull(), own["slot"]).when(behind, "line").otherwise("root")
+        accented = F.exists("accents", lambda x: (x["m"] == i) & mark(x["b"]).eqNullSafe(i))
+        kind = F.coalesce(F.when(F.col("brace") == i, "cases"), bar(i), F.when(accented, "accent"), F.when(big(i), "operator"), F.when(_p(i)["kind"] == "char", "sign"))
+        return F.struct(i.alias("i"), F.coalesce(parent, F.lit(-1)).alias("parent"), slot.alias("slot"), F.when(slot == "line", F.get("line", i)).otherwise(0).alias("line"), kind.alias("kind"))
+
+    rows = rows.withColumn("nodes", F.filter(F.transform("nums", node), lambda n: n["kind"].isNotNull()))
+    lone = F.size(F.filter("bars", lambda b: b["kind"].isNull()))
+    return rows.select("zone_id", "prims", "nodes", lone.alias("odd"))
+
+
+def _scripted(zones: DataFrame) -> DataFrame:
+    """The same with scripts under their bases: a smaller, moved node belongs to the nearest node on its left that is larger than it and all between."""
+    child = lambda n: F.filter("nodes", lambda c: c["parent"] == n["i"])
+    size = lambda n: F.when(n["kind"].isin("frac", "bar", "accent"), F.greatest(_p(n["i"])["size"], F.array_max(F.transform(child(n), lambda c: _p(c["i"])["size"])))).otherwise(_p(n["i"])["size"])
+    rows = zones.withColumn("nodes", F.transform("nodes", lambda n: F.struct(n["i"].alias("i"), n["parent"].alias("parent"), n["slot"].alias("slot"), n["line"].alias("line"), n["kind"].alias("kind"), size(n).alias("size"))))
+
+    def moved(n: Column) -> Column:
+        left = F.filter("nodes", lambda j: (j["parent"] == n["parent"]) & (j["slot"] == n["slot"]) & (j["line"] == n["line"]) & (j["i"] < n["i"]))
+
+        def base(j: Column) -> Column:
+            smaller = F.forall(left, lambda k: (k["i"] <= j["i"]) | (k["size"] <= SCRIPT * j["size"]))
+            return (n["size"] <= SCRIPT * j["size"]) & smaller & (F.abs(_height(n["i"]) - _height(j["i"])) >= OFF * j["size"])
+
+        found = F.element_at(F.filter(left, base), F.when(F.size(F.filter(left, base)) > 0, -1).otherwise(1))
+        return F.when(F.size(F.filter(left, base)) > 0, found)
+
+    def under(n: Column) -> Column:
+        def at(bases: Column) -> Column:
+            b = _first(bases)
+            slot = F.when(b.isNull(), n["slot"]).when(_height(n["i"]) < _height(b["i"]), "sup").otherwise("sub")
+            return F.struct(n["i"].alias("i"), F.coalesce(b["i"], n["parent"]).alias("parent"), slot.alias("slot"), F.when(b.isNull(), n["line"]).otherwise(0).alias("line"), n["kind"].alias("kind"))
+
+        return _first(F.transform(F.array(F.array(moved(n))), at))
+
+    return rows.withColumn("nodes", F.array_sort(F.transform("nodes", under)))
+
+
+def _delimited(zones: DataFrame) -> DataFrame:
+    """With pairs, the numbers of delimiters that open or close a group, and those never closed counted in odd: a stack for each row of nodes."""
+    row = F.array_sort(F.transform("nodes", lambda n: F.struct(n["parent"].alias("parent"), n["slot"].alias("slot"), n["line"].alias("line"), n["i"].alias("i"), n["kind"].alias("kind"))))
+    none = F.array().cast("array<int>")
+    start = F.struct(F.lit("").alias("row"), none.alias("stack"), none.alias("pairs"), F.lit(0).alias("odd"))
+    closing = F.create_map(*[F.lit(x) for kv in PAIRS.items() for x in kv])
+
+    def step(a: Column, e: Column) -> Column:
+        own = F.concat_ws(":", e["parent"].cast("string"), e["slot"], e["line"].cast("string"))
+        stack = F.when(a["row"] == own, a["stack"]).otherwise(none)
+        lost = F.when(a["row"] == own, 0).otherwise(F.size(a["stack"]))
+        ch = F.when(e["kind"] == "sign", _p(e["i"])["ch"])
+        top = F.get(stack, F.size(stack) - 1)
+        closes = F.coalesce((F.size(stack) > 0) & (F.element_at(closing, _p(top)["ch"]) == ch), F.lit(False))
+        new = F.when(ch.isin(*PAIRS), F.array_append(stack, e["i"])).when(closes, F.slice(stack, F.lit(1), F.greatest(F.lit(0), F.size(stack) - 1))).otherwise(stack)
+        return F.struct(own.alias("row"), new.alias("stack"), F.when(closes, F.concat(a["pairs"], F.array(top, e["i"]))).otherwise(a["pairs"]).alias("pairs"), (a["odd"] + lost).alias("odd"))
+
+    rows = zones.withColumn("folded", F.aggregate(row, start, step))
+    return rows.withColumn("pairs", F.col("folded.pairs")).withColumn("odd", F.col("odd") + F.col("folded.odd") + F.size("folded.stack")).drop("folded")
+
+
+def _trees(prims: DataFrame) -> DataFrame:
+    """zone_id, prims, nodes, pairs, odd of every zone. All is array work inside a row: one shuffle, by zone, and no Python."""
+    return _delimited(_scripted(_placed(_barred(_lined(_grouped(prims))))))
+
+
+def formulas(prims: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """Primitives of zones (zone_id, prim_id, kind char or rule, ch, size, box) -> zone_id, latex, confidence, needs_escalation.
+
+    The LaTeX of all nodes is written from those of their children, again and again until the roots are complete: as often as
+    there are nodes with children, and once more. Confidence is the share of primitives that fit somewhere.
+    """
+    signs = F.create_map(*[F.lit(x) for kv in SIGNS.items() for x in kv])
+    accents = F.create_map(*[F.lit(x) for kv in ACCENTS.items() for x in kv])
+
+    def written(latex: Column) -> Column:
+        def slot(n: Column, name: str, line: Column | None = None) -> Column:
+            own = F.filter(latex, lambda x: (x["parent"] == n["i"]) & (x["slot"] == name) & (F.lit(True) if line is None else x["line"] == line))
+            return F.trim(F.array_join(F.transform(own, lambda x: x["latex"]), ""))
+
+        def marked(n: Column, name: str, mark: str) -> Column:
+            return F.when(F.exists(latex, lambda x: (x["parent"] == n["i"]) & (x["slot"] == name)), F.concat(F.lit(mark + "{"), slot(n, name), F.lit("}"))).otherwise("")
+
+        def node(n: Column) -> Column:
+            ch = _p(n["i"])["ch"]
+            wrap = lambda head, *parts: F.concat(F.lit(head), *[x for p in parts for x in (F.lit("{"), p, F.lit("}"))])
+            numbers = F.array_sort(F.array_distinct(F.transform(F.filter(latex, lambda x: (x["parent"] == n["i"]) & (x["slot"] == "line")), lambda x: x["line"])))
+            lines = F.array_join(F.transform(numbers, lambda k: slot(n, "line", k)), r" \\ ")
+            sign = F.coalesce(F.element_at(signs, ch), ch)
+            sided = F.concat(F.when(ch.isin(*PAIRS), r"\left").otherwise(r"\right"), sign)
+            scripts = F.concat(marked(n, "sub", "_"), marked(n, "sup", "^"))
+            limits = F.concat(sign, marked(n, "lower", "_"), marked(n, "upper", "^"))
+            text = (
+                F.when(n["kind"] == "frac", wrap(r"\frac", slot(n, "num"), slot(n, "den")))
+                .when(n["kind"] == "sqrt", wrap(r"\sqrt", slot(n, "radicand")))
+                .when(n["kind"] == "bar", wrap(r"\bar", slot(n, "base")))
+                .when(n["kind"] == "accent", F.concat(F.lit("\\"), F.element_at(accents, ch), F.lit("{"), slot(n, "base"), F.lit("}")))
+                .when(n["kind"] == "operator", limits)
+                .when(n["kind"] == "cases", F.concat(F.lit(r"\begin{cases}"), lines, F.lit(r"\end{cases}")))
+                .when(F.array_contains("pairs", n["i"]), sided)
+                .otherwise(sign)
+            )
+            after = F.when(n["kind"] == "operator", F.concat(text, scripts, F.lit(" "))).otherwise(F.concat(text, scripts))
+            return F.struct(n["i"].alias("i"), n["parent"].alias("parent"), n["slot"].alias("slot"), n["line"].alias("line"), n["kind"].alias("kind"), after.alias("latex"))
+
+        return F.transform(latex, node)
+
+    rows = _trees(prims)
+    blank = F.transform("nodes", lambda n: F.struct(n["i"].alias("i"), n["parent"].alias("parent"), n["slot"].alias("slot"), n["line"].alias("line"), n["kind"].alias("kind"), F.lit("").alias("latex")))
+    turns = F.sequence(F.lit(0), F.size(F.array_distinct(F.transform("nodes", lambda n: n["parent"]))))
+    rows = rows.withColumn("done", F.aggregate(turns, blank, lambda a, _: written(a)))
+    whole = F.trim(F.array_join(F.transform(F.filter("done", lambda x: x["parent"] == -1), lambda x: x["latex"]), ""))
+    sure = F.greatest(F.lit(0.0), 1 - F.col("odd") / F.size("prims"))
+    return rows.select("zone_id", whole.alias("latex"), sure.alias("confidence")).withColumn("needs_escalation", F.col("confidence") < threshold)
 
-        walk(_read(zone)[0], None, "root", 0)
-        out = pd.DataFrame(rows, columns=["node_id", "parent_id", "slot", "ord", "kind", "prim_id"]).astype({"parent_id": "Int64", "prim_id": "Int64"})
-        return out.assign(zone_id=zone["zone_id"].iloc[0])[["zone_id", "node_id", "parent_id", "slot", "ord", "kind", "prim_id"]]
 
-    return prims.groupBy("zone_id").applyInPandas(read, f"zone_id {_schema(prims)}, node_id int, parent_id int, slot string, ord int, kind string, prim_id bigint")
+def formula_nodes(prims: DataFrame) -> DataFrame:
+    """The same trees as adjacency rows: zone_id, node_id, parent_id, slot, ord, kind, prim_id; slot is root at the top, ord counts in a slot."""
+    nodes = F.transform("nodes", lambda n: F.struct(n["i"].alias("node_id"), F.when(n["parent"] >= 0, n["parent"]).alias("parent_id"), n["slot"].alias("slot"), F.size(F.filter("nodes", lambda m: (m["parent"] == n["parent"]) & (m["slot"] == n["slot"]) & (m["i"] < n["i"]))).alias("ord"), n["kind"].alias("kind"), _p(n["i"])["prim_id"].alias("prim_id")))
+    return _trees(prims).select("zone_id", F.explode(nodes).alias("n")).select("zone_id", "n.*")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def figure_refs(images: DataFrame) -> DataFrame:
@@ -42,41 +41,32 @@ def gaps(cells: DataFrame, rules: DataFrame, snap: float = 2.0) -> DataFrame:
 
 
 def merged(cells: DataFrame, gaps: DataFrame) -> DataFrame:
-    """Cells with row and column spans: cells without a rule between them are one, as long as they fill a rectangle.
+    """Cells with row and column spans: cells without a rule between them are one, as long as they fill a rectangle; others stay apart.
 
-    Linking is iterative, so each table is one pandas group; a table's cells are bounded by its page.
+    A table's cells and gaps meet in one row, bounded by its page; groups are a fold over the gaps, each of which gives the cells on
+    its far side the smaller number of the two.
     """
     key = ["doc_id", "page_no", "table_id"]
-    open_ = gaps.groupBy(*key, "r", "c").agg(F.max((F.col("side") == "right").cast("int")).alias("right"), F.max((F.col("side") == "bottom").cast("int")).alias("below"))
-    rows = cells.join(open_, [*key, "r", "c"], "left").fillna(0, ["right", "below"])
-    kinds = dict(cells.dtypes)
-
-    def spans(table: pd.DataFrame) -> pd.DataFrame:
-        root = {(r, c): (r, c) for r, c in zip(table["r"], table["c"], strict=True)}
-
-        def top(x):
-            while root[x] != x:
-                x = root[x]
-            return x
-
-        for r, c, right, below in table.sort_values(["r", "c"])[["r", "c", "right", "below"]].itertuples(index=False):
-            for other in ([(r, c + 1)] if right else []) + ([(r + 1, c)] if below else []):
-                if other in root:
-                    a, b = sorted((top((r, c)), top(other)))
-                    root[b] = a
-        groups: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        for cell in root:
-            groups.setdefault(top(cell), []).append(cell)
-        out = []
-        for members in groups.values():
-            rs, cs = [r for r, _ in members], [c for _, c in members]
-            whole = (max(rs) - min(rs) + 1) * (max(cs) - min(cs) + 1) == len(members)
-            for r, c in [(min(rs), min(cs))] if whole else members:
-                out.append((r, c, max(rs) - r + 1 if whole else 1, max(cs) - c + 1 if whole else 1))
-        found = pd.DataFrame(out, columns=["r", "c", "rowspan", "colspan"])
-        return found.assign(**{k: table[k].iloc[0] for k in key})[[*key, "r", "c", "rowspan", "colspan"]].sort_values(["r", "c"])
-
-    return rows.groupBy(*key).applyInPandas(spans, f"doc_id {kinds['doc_id']}, page_no {kinds['page_no']}, table_id {kinds['table_id']}, r int, c int, rowspan int, colspan int")
+    kept = cells.select(*key, "r", "c", F.lit(None).cast("string").alias("side")).unionByName(gaps.select(*key, "r", "c", "side"))
+    place = F.struct(F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"))
+    rows = kept.groupBy(*key).agg(
+        F.array_sort(F.collect_set(F.when(F.col("side").isNull(), place))).alias("own"),
+        F.collect_set(F.when(F.col("side").isNotNull(), F.struct(place.alias("at"), "side"))).alias("open"),
+    )
+    number = lambda r, c: F.array_position("own", F.struct(r.alias("r"), c.alias("c"))).cast("int")  # noqa: E731  0: no such cell
+    edges = F.transform("open", lambda g: F.struct(number(g["at"]["r"], g["at"]["c"]).alias("a"), number(g["at"]["r"] + (g["side"] == "bottom").cast("int"), g["at"]["c"] + (g["side"] == "right").cast("int")).alias("b")))
+    rows = rows.withColumn("edges", F.filter(edges, lambda e: (e["a"] > 0) & (e["b"] > 0)))
+
+    def joined(roots: Column, e: Column) -> Column:
+        pair = F.array(F.struct(F.get(roots, e["a"] - 1).alias("x"), F.get(roots, e["b"] - 1).alias("y")))
+        return F.get(F.transform(pair, lambda p: F.transform(roots, lambda v: F.when(v == F.greatest(p["x"], p["y"]), F.least(p["x"], p["y"])).otherwise(v))), 0)
+
+    roots = F.aggregate("edges", F.transform("own", lambda _, i: (i + 1).cast("int")), joined)
+    each = rows.select(*key, F.explode(F.zip_with("own", roots, lambda p, v: F.struct(p["r"].alias("r"), p["c"].alias("c"), v.alias("root")))).alias("x")).select(*key, "x.*")
+    groups = each.groupBy(*key, "root").agg(F.min("r").alias("r0"), F.max("r").alias("r1"), F.min("c").alias("c0"), F.max("c").alias("c1"), F.collect_list(F.struct("r", "c", F.lit(1).alias("rowspan"), F.lit(1).alias("colspan"))).alias("members"))
+    height, width = F.col("r1") - F.col("r0") + 1, F.col("c1") - F.col("c0") + 1
+    whole = F.array(F.struct(F.col("r0").alias("r"), F.col("c0").alias("c"), height.alias("rowspan"), width.alias("colspan")))
+    return groups.select(*key, F.explode(F.when(height * width == F.size("members"), whole).otherwise(F.col("members"))).alias("x")).select(*key, "x.*")
 
 
 def members(chars: DataFrame, cells: DataFrame) -> DataFrame:

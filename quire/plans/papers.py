@@ -182,17 +182,19 @@ def formula_latex(spark: SparkSession, sf: str) -> DataFrame:
     return formula.formulas(_formula_prims(spark, sf))
 
 
-_NODES = """(0, 0, NULL, 'root', 0, 3), (0, 1, 0, 'num', 0, 1), (0, 2, 0, 'den', 1, 2), (1, 0, NULL, 'root', 0, 1), (1, 1, 0, 'radicand', 0, 3),
-  (4, 0, NULL, 'root', 0, 2), (4, 1, 0, 'base', 0, 1), (7, 0, NULL, 'root', 0, NULL), (7, 1, 0, 'item', 0, 1), (7, 2, 0, 'item', 1, 2),
-  (3, 0, NULL, 'root', 0, NULL), (3, 1, 0, 'item', 0, 1), (3, 2, 1, 'lower', 0, 3), (3, 3, 1, 'upper', 1, 2), (3, 4, 0, 'item', 1, 4),
-  (8, 0, NULL, 'root', 0, 3), (8, 1, 0, 'num', 0, NULL), (8, 2, 1, 'base', 0, 1), (8, 3, 1, 'sup', 1, 2), (8, 4, 0, 'den', 1, 4), (8, 5, 4, 'radicand', 0, 6)"""
+_NODES = """(0, 0, NULL, 'root', 0, 3), (0, 1, 0, 'num', 0, 1), (0, 2, 0, 'den', 0, 2), (1, 0, NULL, 'root', 0, 1), (1, 2, 0, 'radicand', 0, 3),
+  (2, 0, NULL, 'root', 0, 1), (2, 1, NULL, 'root', 1, 2), (2, 2, NULL, 'root', 2, 3), (2, 3, NULL, 'root', 3, 4), (2, 4, NULL, 'root', 4, 5),
+  (3, 0, NULL, 'root', 0, 1), (3, 1, 0, 'upper', 0, 2), (3, 2, 0, 'lower', 0, 3), (3, 3, NULL, 'root', 1, 4), (4, 0, NULL, 'root', 0, 2), (4, 1, 0, 'base', 0, 1),
+  (5, 0, NULL, 'root', 0, 1), (5, 1, 0, 'line', 0, 2), (5, 2, 0, 'line', 1, 5), (5, 3, 0, 'line', 2, 3), (5, 4, 0, 'line', 3, 6), (5, 5, 0, 'line', 4, 4), (5, 6, 0, 'line', 5, 7),
+  (6, 0, NULL, 'root', 0, 1), (6, 1, 0, 'sup', 0, 2), (6, 2, 0, 'sub', 0, 3), (6, 3, NULL, 'root', 1, 4), (6, 4, NULL, 'root', 2, 5), (7, 0, NULL, 'root', 0, 1), (7, 1, NULL, 'root', 1, 2),
+  (8, 0, NULL, 'root', 0, 3), (8, 1, 0, 'num', 0, 1), (8, 2, 0, 'den', 0, 4), (8, 3, 1, 'sup', 0, 2), (8, 5, 2, 'radicand', 0, 6)"""
 
 
 @query(f"""WITH {_PARTS}, t(kind, node_id, parent_id, slot, ord, prim_id) AS (VALUES {_NODES})
 SELECT zone_id, CAST(node_id AS BIGINT) AS node_id, CAST(parent_id AS BIGINT) AS parent_id, slot, CAST(ord AS BIGINT) AS ord, CAST(prim_id AS BIGINT) AS prim_id FROM pa JOIN t USING (kind)""")
 def formula_tree(spark: SparkSession, sf: str) -> DataFrame:
-    """S3.8: trees of six kinds of formulas as adjacency rows."""
-    found = formula.formula_nodes(_formula_prims(spark, sf).filter("zone_id % 9 IN (0, 1, 3, 4, 7, 8)"))
+    """S3.8: trees of all kinds of formulas as adjacency rows."""
+    found = formula.formula_nodes(_formula_prims(spark, sf))
     return found.select("zone_id", *[F.col(c).cast("long").alias(c) for c in ("node_id", "parent_id")], "slot", F.col("ord").cast("long").alias("ord"), "prim_id")
 
 

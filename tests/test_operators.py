@@ -93,6 +93,9 @@ ZONES = {
     r"\bar{x}": [sign(1, "x", 0, 5), sign(2, None, 0, 2, w=6, h=1, kind="rule")],
     r"\hat{y}": [sign(1, "y", 0, 10), sign(2, "^", 0, 6, 5)],
     r"\begin{cases}x=1 \\ y=2\end{cases}": [sign(1, "{", 0, 0, 30), *[sign(10 + i, c, 10 + 7 * i, 0) for i, c in enumerate("x=1")], *[sign(20 + i, c, 10 + 7 * i, 18) for i, c in enumerate("y=2")]],
+    r"\left(x\right)^{2}": [sign(1, "(", 0, 4), sign(2, "x", 6, 4), sign(3, ")", 12, 4), sign(4, "2", 18, 0, 6)],
+    r"x^{a_{b}}": [sign(1, "x", 0, 10), sign(2, "a", 6, 6, 6), sign(3, "b", 10, 11, 4)],
+    r"\frac{\frac{a}{b}}{c}": [sign(1, "a", 4, 0), sign(2, None, 2, 11, w=10, h=1, kind="rule"), sign(3, "b", 4, 13), sign(4, None, 0, 25, w=14, h=1, kind="rule"), sign(5, "c", 4, 28)],
     r"\frac{x^{2}}{\sqrt{b}}": [sign(1, "x", 2, 0), sign(2, "2", 8, -3, 6), sign(3, None, 0, 11, w=20, h=1, kind="rule"), sign(4, "√", 2, 14), sign(5, None, 8, 13, w=8, h=1, kind="rule"), sign(6, "b", 9, 15)],
 }
 
@@ -110,6 +113,9 @@ def test_formulas(spark):
     odd = spark.createDataFrame([(1, *sign(1, "(", 0, 0)), (1, *sign(2, None, 50, 50, w=9, h=1, kind="rule"))], ZONE)
     row = formula.formulas(odd).first()
     assert row.confidence == 0.0 and row.needs_escalation
+    twice = formula.formulas(prims.unionByName(prims.filter("zone_id = 0 and prim_id = 1"))).filter("zone_id = 0").first()
+    assert "x" in twice.latex  # repeated rows stay
+    assert formula.formulas(prims.limit(0)).count() == 0 and formula.formula_nodes(prims.limit(0)).count() == 0
 
 
 def test_scripts(spark):
