@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from quire.functions.geometry import area, share
 from quire.functions.text import CID, FFFD, PRIVATE, count_of
+from quire.session import small, stored
 
 # What a producer's name in a file's metadata looks like.
 PRODUCERS = (("XeTeX", "(?i)xetex|xdvipdfmx"), ("LaTeX", "(?i)latex|pdftex|tex output|dvips"), ("WPS", "(?i)wps"), ("Word", "(?i)microsoft.*word|word for"))
@@ -34,24 +35,26 @@ def producer(meta: Column) -> Column:
 def page_health(chars: DataFrame, pages: DataFrame, images: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """One row for each page: counts of bad characters, duplicates and outsiders, largest image cover, and the route.
 
-    `pages` has doc_id, page_no, width and height. Duplicates share a character, font and place (to `epsilon`).
-    Characters are shuffled once, by page, which a sheet of paper bounds; the join with the page sizes and the
-    aggregations by place and by page all keep to that partitioning. Few places repeat, so a partial aggregation before
-    the shuffle would only hash every row in vain. Pages without characters or images stay, by left joins on the page key.
+    `pages` has doc_id, page_no, width and height. Duplicates share a character, font and place (to `epsilon`); characters and images
+    whose page is null or not in `pages` are left out, and pages without any stay.
+    A character is cut down to a hash of what duplicates share and to flags before it is shuffled, once, by page,
+    which a sheet of paper bounds; the aggregations by place and by page keep to that partitioning. Few places repeat, so a
+    partial aggregation before the shuffle would only hash every row in vain.
     """
     page = ["doc_id", "page_no"]
-    sized = chars.repartition(*page).join(pages.select(*page, "width", "height"), page)
+    pages = stored(pages.select(*page, "width", "height"), "pages")
+    sized = chars.join(small(pages), page)
     outside = (F.col("x0") < 0) | (F.col("top") < 0) | (F.col("x1") > F.col("width")) | (F.col("bottom") > F.col("height"))
-    place = [F.round(F.col(c) / limits.epsilon).alias(f"at_{c}") for c in ("x0", "top")]
-    by_place = sized.groupBy(*page, "ch", "fontname", "has_unicode_map", *place).agg(F.count("*").alias("n"), F.count_if(outside).alias("out"))
-    of = lambda pattern: F.sum(F.when(F.col("ch").rlike(pattern), F.col("n")).otherwise(0))
+    at = [F.round(F.col(c) / limits.epsilon) for c in ("x0", "top")]
+    kind = F.when(F.col("ch").rlike(FFFD), 1).when(F.col("ch").rlike(PRIVATE), 2).when((F.length("ch") > 1) & F.col("ch").rlike(CID), 3).otherwise(0).cast("byte")
+    each = sized.select(*page, F.xxhash64("ch", "fontname", "has_unicode_map", *at).alias("place"), kind.alias("kind"), outside.alias("out"), F.when(~F.col("has_unicode_map"), F.col("fontname")).alias("font"))
+    by_place = each.repartition(*page).groupBy(*page, "place").agg(F.count("*").alias("n"), F.max("kind").alias("kind"), F.count_if("out").alias("out"), F.max("font").alias("font"))
+    of = lambda k: F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0))
     counts = by_place.groupBy(*page).agg(
-        F.sum("n").alias("n_chars"), of(CID).alias("n_cid"), of(FFFD).alias("n_fffd"), of(PRIVATE).alias("n_pua"),
-        F.count_distinct(F.when(~F.col("has_unicode_map"), F.col("fontname"))).alias("n_unmapped_fonts"),
-        F.sum(F.col("n") - 1).alias("n_dup"), F.sum("out").alias("n_oob"),
+        F.sum("n").alias("n_chars"), of(3).alias("n_cid"), of(1).alias("n_fffd"), of(2).alias("n_pua"), F.size(F.collect_set("font")).cast("long").alias("n_unmapped_fonts"), F.sum(F.col("n") - 1).alias("n_dup"), F.sum("out").alias("n_oob"),
     )
     box = area(F.col("x0"), F.col("top"), F.col("x1"), F.col("bottom"))
-    covers = images.join(pages.select(*page, "width", "height"), page).groupBy(*page).agg(F.max(share(box, F.col("width") * F.col("height"))).alias("max_img_cov"))
+    covers = images.join(small(pages), page).groupBy(*page).agg(F.max(share(box, F.col("width") * F.col("height"))).alias("max_img_cov"))
     rows = pages.select(*page).join(counts, page, "left").join(covers, page, "left")
     rows = rows.fillna(0, ["n_chars", "n_cid", "n_fffd", "n_pua", "n_unmapped_fonts", "n_dup", "n_oob"]).fillna(0.0, ["max_img_cov"])
     bad = F.col("n_cid") + F.col("n_fffd") + F.col("n_pua")

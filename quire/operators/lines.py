@@ -16,16 +16,20 @@ def line_clusters(chars: DataFrame, gap: float = 0.5) -> DataFrame:
 
     Characters of a page are taken in order of their middle; a middle that lies more than `gap` sizes below the one
     before starts a line. The order of the text layer plays no part, so a line broken after every character
-    is whole again. Text runs from left to right. One shuffle by page serves the window and the aggregation.
+    is whole again. Text runs from left to right. Characters of one middle are gathered before they are shuffled; only those gathered
+    levels, a few for each line, are ordered by a window.
     """
-    page = Window.partitionBy("doc_id", "page_no")
-    rows = chars.withColumn("middle", (F.col("top") + F.col("bottom")) / 2)
-    order = page.orderBy("middle", "x0", "prim_id")
-    rows = rows.withColumn("breaks", F.coalesce((F.col("middle") - F.lag("middle").over(order) > gap * F.col("size")).cast("int"), F.lit(1)))
+    middle = ((F.col("top") + F.col("bottom")) / 2).alias("middle")
+    levels = chars.groupBy("doc_id", "page_no", middle).agg(
+        F.min_by("size", F.struct("x0", "prim_id")).alias("size"), F.collect_list(F.struct("x0", "prim_id", "ch")).alias("signs"),
+        F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"),
+    )
+    order = Window.partitionBy("doc_id", "page_no").orderBy("middle")
+    rows = levels.withColumn("breaks", F.coalesce((F.col("middle") - F.lag("middle").over(order) > gap * F.col("size")).cast("int"), F.lit(1)))
     rows = rows.withColumn("line_no", F.sum("breaks").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("x0", "prim_id", "ch"))), lambda c: c["ch"]), "")
+    text = F.array_join(F.transform(F.array_sort(F.flatten(F.collect_list("signs"))), lambda c: c["ch"]), "")
     return rows.groupBy("doc_id", "page_no", "line_no").agg(
-        F.count("*").alias("n_chars"), F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"), text.alias("text")
+        F.sum(F.size("signs")).alias("n_chars"), F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"), text.alias("text")
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def figure_refs(images: DataFrame) -> DataFrame:
@@ -13,31 +13,34 @@ def figure_refs(images: DataFrame) -> DataFrame:
 def grid(rules: DataFrame, snap: float = 2.0) -> DataFrame:
     """Cells of each table (doc_id, page_no, table_id, r, c, x0, top, x1, bottom) between neighbouring rules.
 
-    `rules` has table_id. Places within `snap` are one. Cells are row intervals joined to column intervals by the table's
-    key: as many as the table has cells.
+    `rules` has table_id. Places within `snap` are one. A table's places are collected as two sets, combined before the one shuffle, by
+    table; its cells are the pairs of neighbours of either, as many as a page holds.
     """
     key = ["doc_id", "page_no", "table_id"]
-    at = lambda kind, c: rules.filter(F.col("orientation") == kind).select(*key, (F.round(F.col(c) / snap) * snap).alias("at")).distinct()
-
-    def intervals(marks: DataFrame, names: tuple[str, str, str]) -> DataFrame:
-        order = Window.partitionBy(*key).orderBy("at")
-        rows = marks.select("*", F.lead("at").over(order).alias("next"), (F.row_number().over(order) - 1).alias("n"))
-        return rows.filter("next is not null").toDF(*key, names[1], names[2], names[0])
-
-    return intervals(at("horizontal", "top"), ("r", "top", "bottom")).join(intervals(at("vertical", "x0"), ("c", "x0", "x1")), key)
+    at = lambda kind, c: F.array_sort(F.collect_set(F.when(F.col("orientation") == kind, F.round(F.col(c) / snap) * snap)))
+    places = rules.groupBy(*key).agg(at("horizontal", "top").alias("hs"), at("vertical", "x0").alias("vs"))
+    spans = lambda of, n, low, high: F.transform(F.slice(of, F.lit(2), F.size(of)), lambda v, i: F.struct(i.cast("int").alias(n), F.get(of, i).alias(low), v.alias(high)))
+    rows = places.select(*key, F.explode(spans(F.col("hs"), "r", "top", "bottom")).alias("h"), "vs").select(*key, "h", F.explode(spans(F.col("vs"), "c", "x0", "x1")).alias("v"))
+    return rows.select(*key, "h.r", "h.top", "h.bottom", "v.c", "v.x0", "v.x1")
 
 
 def gaps(cells: DataFrame, rules: DataFrame, snap: float = 2.0) -> DataFrame:
-    """Sides of cells that no rule covers: (table key, r, c, side), side right or bottom. Anti joins inside the table's key."""
+    """Sides of cells that no rule covers: (table key, r, c, side), side right or bottom.
+
+    The cells and rules of a table meet in one row, by one shuffle, and each inner side is looked for among the rules.
+    """
     key = ["doc_id", "page_no", "table_id"]
-    last = Window.partitionBy(*key)
-    inner = cells.withColumn("rows", F.max("r").over(last)).withColumn("cols", F.max("c").over(last))
-    on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in key]
-    v = rules.filter("orientation = 'vertical'").alias("b")
-    h = rules.filter("orientation = 'horizontal'").alias("b")
-    right = inner.filter("c < cols").alias("a").join(v, [*on, F.abs(F.col("a.x1") - F.col("b.x0")) <= snap, F.col("b.top") <= F.col("a.top") + snap, F.col("b.bottom") >= F.col("a.bottom") - snap], "left_anti")
-    below = inner.filter("r < rows").alias("a").join(h, [*on, F.abs(F.col("a.bottom") - F.col("b.top")) <= snap, F.col("b.x0") <= F.col("a.x0") + snap, F.col("b.x1") >= F.col("a.x1") - snap], "left_anti")
-    return right.select(*key, "r", "c", F.lit("right").alias("side")).unionByName(below.select(*key, "r", "c", F.lit("bottom").alias("side")))
+    cell = F.struct("r", "c", "x0", "top", "x1", "bottom")
+    rule = F.struct("orientation", "x0", "top", "x1", "bottom")
+    both = cells.select(*key, cell.alias("cell"), F.lit(None).cast("struct<orientation:string,x0:double,top:double,x1:double,bottom:double>").alias("rule")).unionByName(rules.select(*key, rule.alias("rule")), allowMissingColumns=True)
+    rows = both.groupBy(*key).agg(F.collect_list("cell").alias("cells"), F.collect_set("rule").alias("rules"))
+    rows = rows.withColumn("rows", F.array_max("cells.r")).withColumn("cols", F.array_max("cells.c"))
+    v = lambda x: F.exists("rules", lambda b: (b["orientation"] == "vertical") & (F.abs(x["x1"] - b["x0"]) <= snap) & (b["top"] <= x["top"] + snap) & (b["bottom"] >= x["bottom"] - snap))
+    h = lambda x: F.exists("rules", lambda b: (b["orientation"] == "horizontal") & (F.abs(x["bottom"] - b["top"]) <= snap) & (b["x0"] <= x["x0"] + snap) & (b["x1"] >= x["x1"] - snap))
+    side = lambda x, name: F.struct(x["r"].alias("r"), x["c"].alias("c"), F.lit(name).alias("side"))
+    right = F.transform(F.filter("cells", lambda x: (x["c"] < F.col("cols")) & ~v(x)), lambda x: side(x, "right"))
+    below = F.transform(F.filter("cells", lambda x: (x["r"] < F.col("rows")) & ~h(x)), lambda x: side(x, "bottom"))
+    return rows.select(*key, F.explode(F.concat(right, below)).alias("g")).select(*key, "g.*")
 
 
 def merged(cells: DataFrame, gaps: DataFrame) -> DataFrame:
