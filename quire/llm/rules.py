@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -76,12 +77,28 @@ def margin() -> Column:
     return F.least(*[(low - value[k]) / (low - high) for k, (low, high) in PATH.items()])
 
 
+def _log_factorial(x: Column) -> Column:
+    """Logarithm of x!, by Stirling's series from ten further on, where it is right to twelve places."""
+    y = x + 10.0
+    series = y * F.log(y) - y + 0.5 * F.log(2 * math.pi * y) + 1 / (12 * y) - 1 / (360 * F.pow(y, 3)) + 1 / (1260 * F.pow(y, 5)) - 1 / (1680 * F.pow(y, 7))
+    between = x + 1.0
+    for k in range(2, 11):
+        between = between * (x + float(k))
+    return series - F.log(between)
+
+
 def _tail(k: Column, n: Column, alpha: float) -> Column:
-    """P(at most k of n) at rejection rate alpha, exactly; 1 where k is above its mean."""
-    start = F.struct((n * F.log(F.lit(1 - alpha))).alias("log"), F.lit(0.0).alias("sum"))
-    odds = F.log(F.lit(alpha / (1 - alpha)))
-    step = lambda a, i: F.struct((a["log"] + F.log((n - i) / (i + 1.0)) + odds).alias("log"), (a["sum"] + F.exp(a["log"])).alias("sum"))
-    return F.when(k > alpha * n, 1.0).otherwise(F.aggregate(F.sequence(F.lit(0).cast("long"), k), start, step, lambda a: a["sum"]))
+    """P(at most k of n) at rejection rate alpha, exactly; 1 where k is above its mean.
+
+    Below the mean the terms fall faster and faster, so they are added from the k-th down, as far as twelve standard deviations:
+    what is left has no place in a double. The number of terms grows with the square root of n only.
+    """
+    top = F.exp(_log_factorial(n) - _log_factorial(k) - _log_factorial(n - k) + k * math.log(alpha) + (n - k) * math.log(1 - alpha))
+    terms = F.least(k, F.ceil(40 + 12 * F.sqrt(n * alpha * (1 - alpha))))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(0.0).alias("sum"))
+    ratio = lambda i: i * ((1 - alpha) / alpha) / (n - i + 1.0)
+    step = lambda a, j: F.struct((a["term"] * ratio(k - j)).alias("term"), (a["sum"] + a["term"]).alias("sum"))
+    return F.when(k > alpha * n, 1.0).otherwise(top * F.aggregate(F.sequence(F.lit(0).cast("long"), terms), start, step, lambda a: a["sum"]))
 
 
 def cutoffs(good: DataFrame, alpha: float = ALPHA, delta: float = DELTA, steps: int = STEPS) -> DataFrame:
