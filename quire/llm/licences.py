@@ -25,6 +25,10 @@ COMMON = 0.01
 SHARED, SURE, HALF, BRIEF = 0.6, 0.9, 0.4, 8
 
 
+#: Words of a piece of a paragraph, in which n-grams are looked up; a piece has one word more, for its last pair.
+PIECE = 256
+
+
 @dataclass(frozen=True)
 class Model:
     """Weights of the n-grams that have any, by family; intercepts; the logistic calibration of the margin; templates."""
@@ -171,9 +175,13 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     weights = [{"gram": g, "weight": w} for g, w in model.grams.items()] or [{"gram": "", "weight": []}]
     weights = _table(spark, weights, "gram string, weight array<double>").select(F.xxhash64("gram").alias("code"), "weight")
     rows = _paragraphs(docs.select("doc_id", "text"))
-    pair = lambda t, i: F.when(i + 1 < F.size(t), F.xxhash64(F.concat_ws(" ", F.get(t, i), F.get(t, i + 1))))
-    codes = _let(words(F.col("passage")), lambda t: F.array_distinct(F.concat(F.transform(t, lambda w: F.xxhash64(w)), F.transform(t, lambda _, i: pair(t, i)))))
-    at = rows.select("doc_id", "paragraph", F.xxhash64("passage").alias("same"), F.explode(codes).alias("code"))
+    tokens = words(F.col("passage"))
+    pieces = F.transform(F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.floor((F.size(tokens) - 1) / PIECE).cast("int"))), lambda k: F.slice(tokens, k * PIECE + 1, PIECE + 1))
+    at = rows.select("doc_id", "paragraph", F.xxhash64("passage").alias("same"), F.explode_outer(pieces).alias("tokens"))
+    at = at.select("*", F.posexplode_outer("tokens").alias("pos", "token"))
+    following = F.get(F.col("tokens"), F.col("pos") + 1)
+    codes = F.explode(F.array(F.xxhash64("token"), F.when(following.isNotNull(), F.xxhash64(F.concat_ws(" ", "token", following)))))
+    at = at.select("doc_id", "paragraph", "same", codes.alias("code")).filter("code is not null")
     once = at.join(F.broadcast(weights), "code").groupBy("doc_id", "paragraph", "same", "code").agg(F.first("weight").alias("weight"))
     sums = [F.sum(F.get("weight", F.lit(k))).alias(f"z{k}") for k in range(len(model.families))]
     z = [F.col(f"z{k}") + F.lit(model.intercept[k]) for k in range(len(model.families))]
