@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Rows and bytes up to which a side may be broadcast once both have been measured.
 BROADCAST_ROWS, BROADCAST_BYTES = 300_000, 128 << 20
+#: Bytes of a batch that goes to a Python worker; without a bound, 10,000 long texts are one batch.
+BATCH_BYTES = 32 << 20
 
 
 def build_session(app: str = "quire", cores: str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -35,6 +37,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """From now on batches to Python workers are bounded by bytes, unless the session has a lower bound of its own."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    digits = "".join(filter(str.isdigit, spark.conf.get(name, "") or ""))
+    if not digits or int(digits) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
