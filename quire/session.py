@@ -38,10 +38,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """From now on batches to Python workers are bounded by bytes, unless the session has a lower bound of its own."""
+    """From now on batches to Python workers are bounded by bytes, unless the session has a bound of its own."""
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    digits = "".join(filter(str.isdigit, spark.conf.get(name, "") or ""))
-    if not digits or int(digits) > BATCH_BYTES:
+    if spark.conf.get(name, None) is None:
         spark.conf.set(name, str(BATCH_BYTES))
 
 
