@@ -46,7 +46,7 @@ def test_random_ids_decode_as_in_the_library(own, library):
 
 
 def test_each_prefix_has_the_last_token_of_its_own_encoding(own, library):
-    for word in ("▁internationalisation", "▁▁▁unbelievable", "▁x漢字yz"):
+    for word in ("▁internationalisation", "▁▁▁unbelievable", "▁xyzzy"):
         last = own._last(word)
         assert last[2:] == [library.encode(word[1:n].replace("▁", " "))[-1] for n in range(2, len(word) + 1)]
 
