@@ -1,10 +1,12 @@
 import hashlib
 import random
+import re
 
 import public_tokenizers
 import pytest
 import sentencepiece
 
+from quire.llm import pieces
 from quire.llm.pieces import PieceModel, decoded, encoded, op11_pieces
 
 SF = "/root/testdata/sf0.001"
@@ -32,10 +34,13 @@ def test_ids_and_texts_of_odd_texts(own, library):
 
 def test_random_texts_of_pieces_and_characters(own, library):
     rnd = random.Random(5)
-    pieces, letters = [*own.piece.values()], "abtheing  \n.,0€🙃漢é ▁<s>"
+    shown, letters = [*own.piece.values()], "abtheing  \n.,0€🙃漢é ▁<s>"
+    texts = []
     for _ in range(4_000):
-        text = "".join(rnd.choice(pieces) if rnd.random() < 0.5 else rnd.choice(letters) for _ in range(rnd.randint(1, 12)))
-        assert own.encode(text).tolist() == library.encode(text, add_eos=True), text
+        text = "".join(rnd.choice(shown) if rnd.random() < 0.5 else rnd.choice(letters) for _ in range(rnd.randint(1, 12)))
+        texts.append(text)
+    for text, ids in zip(texts, own.encode_all(texts), strict=True):
+        assert ids.tolist() == library.encode(text, add_eos=True), text
 
 
 def test_random_ids_decode_as_in_the_library(own, library):
@@ -52,19 +57,27 @@ def test_each_prefix_has_the_last_token_of_its_own_encoding(own, library):
 
 
 def test_words_do_not_depend_on_the_cut(own):
-    import regex
-
     whole = PieceModel(PATH)
-    whole.cut = regex.compile(r"(?s).+")
+    whole.cut = re.compile(r"(?s).+")
     for text in (*ODD[:9], "The quick  brown fox, jumps over 12 dogs.\n  Twice "):
         assert whole.encode(text).tolist() == own.encode(text).tolist()
 
 
-def test_memory_of_words_and_pairs_may_be_forgotten(library):
+def test_words_together_and_one_by_one(own, library):
+    rnd = random.Random(3)
+    texts = [" ".join("".join(rnd.choice("theingaou🙃漢x0.") for _ in range(rnd.choice([1, 3, 9, 20, 63, 64, 90]))) for _ in range(30)) for _ in range(40)]
+    got = PieceModel(PATH).encode_all([*texts, None, ""])
+    assert [x.tolist() for x in got] == [*library.encode(texts, add_eos=True), [2], [2]]
+    assert all(own._ids("▁" + w) == library.encode(w) for t in texts[:5] for w in t.split(" "))
+
+
+def test_memory_of_words_and_pairs_may_be_forgotten(library, monkeypatch):
+    monkeypatch.setattr(pieces, "WORDS", 4)
+    monkeypatch.setattr(pieces, "TABLE", 2)
     small = PieceModel(PATH)
-    small.known.most = small.fits.most = 3
-    text = "one two three four five six seven one two three"
-    assert small.encode(text).tolist() == library.encode(text, add_eos=True)
+    small.fits.most = 3
+    for text in ("one two three four five six seven one two three", "two nine", "one two"):
+        assert small.encode(text).tolist() == library.encode(text, add_eos=True)
 
 
 def test_rows_with_nulls_repeats_and_clashing_columns(spark, library):
