@@ -48,39 +48,40 @@ def coverage(boxes: DataFrame, pages: DataFrame) -> DataFrame:
     return pages.join(found, page, "left").select(*page, F.coalesce(F.try_divide("covered", whole), F.lit(0.0)).alias("coverage"))
 
 
-def balanced(latex: Column) -> Column:
-    """Whether braces of a LaTeX string match and it has known commands only; a stand-in for a full parser.
-
-    Escaped braces do not count. The depth is a fold over the braces alone.
-    """
-    braces = F.regexp_extract_all(F.regexp_replace(latex, r"\\[{}\\]", ""), F.lit(r"([{}])"), F.lit(1))
-    start = F.struct(F.lit(0).alias("depth"), F.lit(True).alias("ok"))
-    step = lambda a, b: F.struct((a["depth"] + F.when(b == "{", 1).otherwise(-1)).alias("depth"), (a["ok"] & (a["depth"] + F.when(b == "{", 1).otherwise(-1) >= 0)).alias("ok"))
-    closed = F.aggregate(braces, start, step, lambda a: a["ok"] & (a["depth"] == 0))
-    known = F.array(*map(F.lit, COMMANDS))
-    return closed & (F.size(F.array_except(F.regexp_extract_all(latex, F.lit(r"\\([A-Za-z]+)"), F.lit(1)), known)) == 0)
-
-
-# Commands that formulas are written with.
-COMMANDS = ("frac", "sqrt", "sum", "prod", "int", "left", "right", "bar", "hat", "vec", "tilde", "begin", "end", "cases", "alpha", "beta", "pi", "theta", "times", "div", "le", "ge", "ne", "infty", "cdot")
-
-
 def round_trip(formulas: DataFrame, chars: DataFrame, render: Callable[[list[str]], list[list[tuple]]], tolerance: float = 0.9) -> DataFrame:
-    """Formulas (zone_id, latex) set again by `render` and held against their source characters (zone_id, ch, box).
-
-    `render` gives (ch, x0, top, x1, bottom) lists, relative to the zone. A zone passes when every source character
-    meets a set one with the same sign and a box overlap of `tolerance` or more.
+    """Formulas (zone_id, latex) set again by `render` and held against their source characters (zone_id, ch, box), one to one.
+
+    `render` gives (ch, x0, top, x1, bottom) lists, relative to the zone. In a zone, a source and a set glyph of one sign whose boxes
+    overlap may be partners; pairs are taken from the largest share of their union down, each glyph once (what rounds of mutual best pairs
+    give, as equal shares are told apart by the glyphs' places). Returns zone_id, n_pairs, n_missing (source glyphs without a partner),
+    n_shared (those of them whose every candidate is another's partner), n_extra (set glyphs without a partner), least_iou, and ok: every
+    glyph has its partner and no pair overlaps by less than `tolerance`. A zone with glyphs on neither side passes, with a null least_iou;
+    zones of either side are kept, each row of both is a glyph of its own, and so is one with a null sign or box, which has no partner.
+    One shuffle of each side by zone; a zone is part of a page, and its matching is a fold in one row.
     """
+    glyph = "array<struct<ch:string,x0:double,top:double,x1:double,bottom:double>>"
 
     def set_again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(z, *g) for z, made in zip(batch["zone_id"], render(batch["latex"].tolist()), strict=True) for g in made]
-            yield pd.DataFrame(rows, columns=["zone_id", "ch", "u0", "utop", "u1", "ubottom"])
+            shown = [render([t])[0] if t is not None else [] for t in batch["latex"]] if batch["latex"].isna().any() else render(batch["latex"].tolist())
+            yield pd.DataFrame({"zone_id": batch["zone_id"], "made": [[dict(zip(("ch", "x0", "top", "x1", "bottom"), g, strict=True)) for g in made] for made in shown]})
 
     kind = dict(formulas.dtypes)["zone_id"]
-    made = formulas.mapInPandas(set_again, f"zone_id {kind}, ch string, u0 double, utop double, u1 double, ubottom double")
-    both = chars.join(made, ["zone_id", "ch"], "left")
-    inner = area(F.greatest("x0", "u0"), F.greatest("top", "utop"), F.least("x1", "u1"), F.least("bottom", "ubottom"))
-    outer = area(F.col("x0"), F.col("top"), F.col("x1"), F.col("bottom")) + area(F.col("u0"), F.col("utop"), F.col("u1"), F.col("ubottom")) - inner
-    best = both.groupBy("zone_id", "prim_id").agg(F.max(F.coalesce(F.try_divide(inner, outer), F.lit(0.0))).alias("iou"))
-    return best.groupBy("zone_id").agg(F.min("iou").alias("least_iou"), (F.min("iou") >= tolerance).alias("ok"))
+    made = formulas.select("zone_id", "latex").mapInPandas(set_again, f"zone_id {kind}, made {glyph}").groupBy("zone_id").agg(F.array_sort(F.flatten(F.collect_list("made"))).alias("made"))
+    own = chars.groupBy(F.col("zone_id").alias("zone__")).agg(F.array_sort(F.collect_list(F.struct("ch", *[F.col(c).cast("double").alias(c) for c in ("x0", "top", "x1", "bottom")]))).alias("own"))
+    rows = made.join(own, F.col("zone_id").eqNullSafe(F.col("zone__")), "full").select(F.coalesce("zone_id", "zone__").alias("zone_id"), *[F.coalesce(c, F.array().cast(glyph)).alias(c) for c in ("own", "made")])
+
+    def iou(s: Column, t: Column) -> Column:
+        inner = area(F.greatest(s["x0"], t["x0"]), F.greatest(s["top"], t["top"]), F.least(s["x1"], t["x1"]), F.least(s["bottom"], t["bottom"]))
+        return F.try_divide(inner, area(s["x0"], s["top"], s["x1"], s["bottom"]) + area(t["x0"], t["top"], t["x1"], t["bottom"]) - inner)
+
+    pairs = F.flatten(F.transform("own", lambda s, i: F.transform(F.filter(F.transform("made", lambda t, j: F.struct((-iou(s, t)).alias("less"), i.alias("s"), j.alias("t"), (s["ch"] == t["ch"]).alias("same"))), lambda p: p["same"] & (p["less"] < 0)), lambda p: F.struct(p["less"], p["s"], p["t"]))))
+    free = lambda a, p: ~F.exists(a, lambda q: (q["s"] == p["s"]) | (q["t"] == p["t"]))
+    none = F.array().cast("array<struct<less:double,s:int,t:int>>")
+    rows = rows.withColumn("pairs", F.array_sort(pairs)).withColumn("taken", F.aggregate("pairs", none, lambda a, p: F.when(free(a, p), F.concat(a, F.array(p))).otherwise(a)))
+    missing = F.filter(F.sequence(F.lit(0), F.size("own")), lambda i: (i < F.size("own")) & ~F.exists("taken", lambda q: q["s"] == i))
+    rows = rows.withColumn("missing", missing).select(
+        "zone_id", F.size("taken").alias("n_pairs"), F.size("missing").alias("n_missing"), F.size(F.filter("missing", lambda i: F.exists("pairs", lambda p: p["s"] == i))).alias("n_shared"),
+        (F.size("made") - F.size("taken")).alias("n_extra"), (-F.array_max(F.transform("taken", lambda q: q["less"]))).alias("least_iou"),
+    )
+    return rows.withColumn("ok", (F.col("n_missing") == 0) & (F.col("n_extra") == 0) & F.coalesce(F.col("least_iou") >= tolerance, F.lit(True)))
