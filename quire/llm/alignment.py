@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from quire.session import bounded_batches, removed, small, stored
+from quire.llm.pieces import grouped
+from quire.session import bounded_batches, small, stored
 
 #: Labels of a byte: no token ends with it, one of A, one of B, one of both.
 NONE, ENDS_A, ENDS_B, BOTH = b"nabc"
@@ -23,7 +24,9 @@ SPAN = re.compile(rb"[nab]*+c")
 #: A text is cut before a space between two characters that neither library takes for white space: no token of either crosses it.
 CUT = re.compile(r" (?<=[^\s▁] )(?=[^\s▁])")
 #: Segments that a worker remembers before it forgets those that the batch at hand does not hold.
-SEGMENTS = 300_000
+SEGMENTS = 200_000
+#: Segments that are encoded together, and characters of texts that are taken together.
+CHUNK, GROUP = 10_000, 1 << 20
 #: A link is kept as id of A * PAIR + id of B. Pairs linked most often, HOT of them at most, are broadcast to be looked up.
 PAIR, HOT = 1 << 32, 200_000
 
@@ -54,7 +57,7 @@ class _Pair:
         self.known: dict[str, tuple] = {}
 
     def learn(self, segments: list[str]) -> None:
-        """Aligns segments, each without the space before it: n_a, n_b, groups as written, links; None if the bytes differ."""
+        """Aligns segments, each without the space before it: n_a, n_b, groups as written, links as bytes; None if the bytes differ."""
         wanted = [f" {s}" for s in segments]
         ids_a = [e.ids for e in self.a.encode_batch_fast(wanted, add_special_tokens=False)]
         ids_b = self.b.encode(segments, num_threads=1)
@@ -76,14 +79,14 @@ class _Pair:
         labels[ends[1] - 1] = np.where(labels[ends[1] - 1] == ENDS_A, BOTH, ENDS_B)
         spans = SPAN.findall(labels.tobytes())
         of_a, of_b = (np.cumsum([span.count(c) + 1 for span in spans]) for c in (b"a", b"b"))
-        links = (np.array(flat_a, np.int64)[of_a - 1] * PAIR + np.array(flat_b, np.int64)[of_b - 1]).tolist()
+        links = (np.array(flat_a, np.int64)[of_a - 1] * PAIR + np.array(flat_b, np.int64)[of_b - 1]).tobytes()
         # a segment ends with a span, as the tokens of both do
         ends_of = np.searchsorted(of_a, last[0], "right").tolist()
         shown_a, shown_b = [*map(str, flat_a)], [*map(str, flat_b)]
         of_a, of_b = of_a.tolist(), of_b.tolist()
         groups = [f"{shown_a[n - 1] if n - i == 1 else ','.join(shown_a[i:n])}|{shown_b[m - 1] if m - j == 1 else ','.join(shown_b[j:m])}" for i, n, j, m in zip([0, *of_a], of_a, [0, *of_b], of_b, strict=False)]
         for s, a, b, low, high in zip(segments, ids_a, ids_b, [0, *ends_of], ends_of, strict=False):
-            self.known[s] = len(a), len(b), ";".join(groups[low:high]), links[low:high]
+            self.known[s] = len(a), len(b), ";".join(groups[low:high]), links[8 * low : 8 * high]
 
     @staticmethod
     def text(known: dict[int, bytes], ids: list[int]) -> bytes:
@@ -96,8 +99,8 @@ class _Pair:
         new = list(wanted - self.known.keys())
         if len(self.known) + len(new) > SEGMENTS:
             self.known = {s: self.known[s] for s in wanted & self.known.keys()}
-        if new:
-            self.learn(new)
+        for k in range(0, len(new), CHUNK):
+            self.learn(new[k : k + CHUNK])
         for parts in cut:
             times = Counter(parts)
             own = [*map(self.known.__getitem__, times)]
@@ -106,8 +109,8 @@ class _Pair:
                 continue
             n_a, n_b, _, linked = zip(*own, strict=True)
             n = np.fromiter(times.values(), np.int64)
-            pairs, where = np.unique(np.fromiter(chain.from_iterable(linked), np.int64), return_inverse=True)
-            often = np.bincount(where, np.repeat(n, [*map(len, linked)])).astype(np.int32)
+            pairs, where = np.unique(np.frombuffer(b"".join(linked), np.int64), return_inverse=True)
+            often = np.bincount(where, np.repeat(n, [len(x) // 8 for x in linked])).astype(np.int32)
             yield int(n @ np.array(n_a)), int(n @ np.array(n_b)), ";".join([self.known[s][2] for s in parts]), pairs, often
 
 
@@ -131,7 +134,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(path_a, path_b)
         for batch in batches:
-            n_a, n_b, groups, pairs, times = zip(*pair.align(batch.column("text").to_pylist()), strict=True) if len(batch) else ((),) * 5
+            found = [x for group in grouped(batch.column("text").to_pylist(), GROUP) for x in pair.align(group)]
+            n_a, n_b, groups, pairs, times = zip(*found, strict=True) if found else ((),) * 5
             ends = pa.array(np.cumsum([0, *map(len, pairs)]), pa.int32())
             links, often = pa.array(np.concatenate([*pairs, np.empty(0, np.int64)])), pa.array(np.concatenate([*times, np.empty(0, np.int32)]))
             columns = [batch.column("doc_id"), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(groups, pa.string()), pa.ListArray.from_arrays(ends, links), pa.ListArray.from_arrays(ends, often)]

@@ -294,16 +294,17 @@ def _with(rows: DataFrame, new: dict[str, str], made: Callable[[pa.RecordBatch],
     return rows.mapInArrow(add, ", ".join(f"`{c}` {t}" for c, t in kinds))
 
 
-def _groups(texts: list[str | None]) -> Iterator[list[str | None]]:
-    """Runs of texts of about GROUP characters."""
-    held, size = [], 0
+def grouped(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
+    """Runs of texts of about `size` characters."""
+    held, chars = [], 0
     for t in texts:
         held.append(t)
-        size += len(t or "")
-        if size >= GROUP:
+        chars += len(t or "")
+        if chars >= size:
             yield held
-            held, size = [], 0
-    yield held
+            held, chars = [], 0
+    if held:
+        yield held
 
 
 def encoded(docs: DataFrame, path: str, end: bool = True, back: bool = False) -> DataFrame:
@@ -316,7 +317,7 @@ def encoded(docs: DataFrame, path: str, end: bool = True, back: bool = False) ->
 
     def made(batch: pa.RecordBatch) -> list[pa.Array]:
         own = model(path)
-        found = [ids for group in _groups(batch.column("text").to_pylist()) for ids in own.encode_all(group, end)]
+        found = [ids for group in grouped(batch.column("text").to_pylist(), GROUP) for ids in own.encode_all(group, end)]
         ends = np.cumsum([0, *map(len, found)])
         ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*found, np.empty(0, np.int32)]), pa.int32()))
         return [ids, pa.array([own.decode(x.tolist()) for x in found], pa.string())] if back else [ids]
