@@ -166,13 +166,37 @@ def math_seeds(chars: DataFrame, rules: DataFrame, reach: float = 1.5) -> DataFr
     return fonts.unionByName(signs).unionByName(bars.select("doc_id", "page_no", "prim_id", F.lit("fraction").alias("reason")))
 
 
-def zones(seeds: DataFrame, prims: DataFrame, reach: float = 12.0) -> DataFrame:
-    """Zones of each page: seeds whose boxes, widened by `reach`, follow one another, with box and reasons."""
-    rows = seeds.join(prims.select("doc_id", "page_no", "prim_id", "x0", "top", "x1", "bottom").dropDuplicates(["doc_id", "page_no", "prim_id"]), ["doc_id", "page_no", "prim_id"])
-    order = Window.partitionBy("doc_id", "page_no").orderBy("top", "x0", "prim_id", "reason")
-    so_far = F.max("bottom").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("starts", F.coalesce((F.col("top") > so_far + reach).cast("int"), F.lit(1)))
-    rows = rows.withColumn("zone_id", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy("doc_id", "page_no", "zone_id").agg(
-        F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"), F.array_sort(F.collect_set("reason")).alias("seeds")
+def zones(seeds: DataFrame, prims: DataFrame, reach: float = 12.0, cell: float = 60.0) -> DataFrame:
+    """Zones of each page: seeds whose boxes lie within `reach` of one another in both directions, directly or through others.
+
+    Boxes are widened by half of `reach` and written to the cells of a grid of `cell` points that they touch; boxes that overlap in a
+    cell are joined there, so a seed meets its neighbours only, however many a page has. The components of these links are found in
+    one row for each page, by handing on the smallest number among neighbours and then that of its holder, until nothing changes.
+    Returns doc_id, page_no, zone_id (from 1 on, by top, then x0), box and reasons. Seeds without a box are left out; equal ones count once.
+    """
+    page = ["doc_id", "page_no"]
+    box = ["x0", "top", "x1", "bottom"]
+    rows = seeds.join(prims.select(*page, "prim_id", *box).dropDuplicates([*page, "prim_id"]), [*page, "prim_id"]).dropna(subset=[*page, *box])
+    rows = rows.groupBy(*page).agg(F.array_sort(F.collect_set(F.struct("top", "x0", "x1", "bottom", "prim_id", "reason"))).alias("own"))
+    each = rows.select(*page, F.posexplode("own").alias("n", "r")).select(*page, "n", *[(F.col(f"r.{c}") + (reach / 2 if c in ("x1", "bottom") else -reach / 2)).alias(c) for c in box])
+    span = lambda low, high: F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))
+    dealt = each.withColumn("cx", F.explode(span("x0", "x1"))).withColumn("cy", F.explode(span("top", "bottom")))
+    a, b = dealt.alias("a"), dealt.alias("b")
+    near = (F.col("a.n") < F.col("b.n")) & (F.col("a.x0") <= F.col("b.x1")) & (F.col("b.x0") <= F.col("a.x1")) & (F.col("a.top") <= F.col("b.bottom")) & (F.col("b.top") <= F.col("a.bottom"))
+    on = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in (*page, "cx", "cy")]
+    links = a.join(b, on + [near]).select(*[F.col(f"a.{c}").alias(c) for c in page], F.col("a.n").alias("u"), F.col("b.n").alias("v")).distinct()
+    both = links.unionByName(links.select(*page, F.col("v").alias("u"), F.col("u").alias("v"))).groupBy(*page, "u").agg(F.collect_list("v").alias("v"))
+    tied = both.groupBy(*page).agg(F.map_from_entries(F.collect_list(F.struct("u", "v"))).alias("near"))
+    rows = rows.join(tied, page, "left").withColumn("near", F.coalesce("near", F.create_map().cast("map<int,array<int>>")))
+    start = F.struct(F.transform("own", lambda _, i: i).alias("label"), F.lit(True).alias("moves"))
+
+    def turn(s: Column, _: Column) -> Column:
+        least = F.transform(s["label"], lambda v, i: F.array_min(F.transform(F.concat(F.array(i), F.coalesce(F.try_element_at("near", i), F.array().cast("array<int>"))), lambda j: F.get(s["label"], j))))
+        new = F.transform(F.array(least), lambda x: F.transform(x, lambda v: F.get(x, v)))[0]
+        return F.when(s["moves"], F.struct(new.alias("label"), (new != s["label"]).alias("moves"))).otherwise(s)
+
+    label = F.aggregate(F.sequence(F.lit(0), F.size("own")), start, turn, lambda s: s["label"])
+    rows = rows.withColumn("label", label).select(*page, F.explode(F.arrays_zip("own", F.transform("label", lambda v: F.size(F.filter(F.array_distinct("label"), lambda w: w <= v))).alias("zone_id"))).alias("x"))
+    return rows.groupBy(*page, F.col("x.zone_id").alias("zone_id")).agg(
+        F.min("x.own.x0").alias("x0"), F.min("x.own.top").alias("top"), F.max("x.own.x1").alias("x1"), F.max("x.own.bottom").alias("bottom"), F.array_sort(F.collect_set("x.own.reason")).alias("seeds")
     )

@@ -129,8 +129,10 @@ def seed_reasons(spark: SparkSession, sf: str) -> DataFrame:
     return _seeds(spark, sf)[0].select("doc_id", "prim_id", "reason")
 
 
-@query(f"""{_SEEDED}, w AS (SELECT *, CASE WHEN top > max(bottom) OVER (PARTITION BY k ORDER BY top, x0, i, reason ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) + 12 THEN 1 ELSE 0 END AS starts FROM se),
-z AS (SELECT *, 1 + sum(starts) OVER (PARTITION BY k ORDER BY top, x0, i, reason ROWS UNBOUNDED PRECEDING) AS zone_id FROM w)
+@query(f"""{_SEEDED.replace("WITH o AS", "WITH RECURSIVE o AS")}, n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY top, x0, x1, bottom, i, reason) AS n FROM se),
+near AS (SELECT a.k, a.n AS u, b.n AS v FROM n a JOIN n b ON a.k = b.k AND a.x0 - 12 <= b.x1 AND b.x0 - 12 <= a.x1 AND a.top - 12 <= b.bottom AND b.top - 12 <= a.bottom),
+re(k, u, v) AS (SELECT k, n, n FROM n UNION SELECT re.k, re.u, near.v FROM re JOIN near ON near.k = re.k AND near.u = re.v), root AS (SELECT k, u, min(v) AS r FROM re GROUP BY k, u),
+z AS (SELECT n.*, dense_rank() OVER (PARTITION BY n.k ORDER BY r) AS zone_id FROM n JOIN root ON root.k = n.k AND root.u = n.n)
 SELECT k AS doc_id, CAST(zone_id AS BIGINT) AS zone_id, min(x0) AS x0, min(top) AS top, max(x1) AS x1, max(bottom) AS bottom, string_agg(DISTINCT reason, '+' ORDER BY reason) AS seeds FROM z GROUP BY k, zone_id""")
 def math_zones(spark: SparkSession, sf: str) -> DataFrame:
     """S2.1-S2.3: zones that seeds near one another make, with their reasons."""
@@ -149,6 +151,23 @@ def line_columns(spark: SparkSession, sf: str) -> DataFrame:
     return lines.column_of(rows, bands).select("doc_id", "line_no", "band_no")
 
 
+@query(f"""WITH {_O}, q AS (SELECT k, 1 + k % 3 AS n FROM o), x AS (SELECT k, n, unnest(range(n)) AS c FROM q), y AS (SELECT k, n, c, unnest(range(2 + (k + c) % 3)) AS j FROM x),
+l AS (SELECT k, 900 AS line_no, 0 AS c, 0 AS j, 1 AS region_no FROM q UNION ALL SELECT k, c * 10 + j, c + 1, j, CASE WHEN n = 1 THEN 1 ELSE c + 2 END FROM y UNION ALL SELECT k, 901, 9, 0, CASE WHEN n = 1 THEN 1 ELSE n + 2 END FROM q)
+SELECT k AS doc_id, line_no::BIGINT AS line_no, region_no::BIGINT AS region_no, row_number() OVER (PARTITION BY k ORDER BY c, j) AS order_no FROM l""")
+def reading_order(spark: SparkSession, sf: str) -> DataFrame:
+    """S2.4, S4.2, S4.6: papers with one to three columns, of unequal length and not level, between a heading and a foot as wide as the page."""
+    k, n, c = F.col("k"), F.col("n"), F.col("c__")
+    pages = _orders(spark, sf).select("k", (1 + k % 3).alias("n"))
+    width = F.when(n == 1, 400.0).when(n == 2, 180.0).otherwise(110.0)
+    rows = pages.withColumn("c__", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), 1 + (k + c) % 3)))
+    box = lambda line, x0, top, x1: [k.alias("doc_id"), F.lit(0).alias("page_no"), line.cast("long").alias("line_no"), x0.alias("x0"), top.cast("double").alias("top"), x1.alias("x1"), (top + 10.0).cast("double").alias("bottom")]
+    left = 50 + c * (width + 40)
+    wide = lambda line, top: pages.select(*box(F.lit(line), F.lit(50.0), F.lit(top), F.lit(450.0)))
+    boxes = rows.select(*box(c * 10 + F.col("j"), left, 14 + 12 * F.col("j") + c, left + width)).unionByName(wide(900, 0.0)).unionByName(wide(901, 80.0))
+    found = lines.reading_order(boxes)
+    return found.select("doc_id", "line_no", F.col("region_no").cast("long").alias("region_no"), F.col("order_no").cast("long").alias("order_no"))
+
+
 # S3: formulas. A part is a formula of one of nine kinds, over a letter and a digit of its size.
 
 #: Characters and bars of each kind: prim_id, sign, size, x0, top, width, height; A and N stand for letter and digit, a null sign is a bar.

@@ -72,6 +72,8 @@ def test_math_seeds_and_zones(spark):
     seeds = lines.math_seeds(chars, rules)
     assert sorted((r.prim_id, r.reason) for r in seeds.collect()) == [(1, "font"), (2, "operator"), (9, "fraction")]
     found = lines.zones(seeds, chars.select(*BOX_COLUMNS).unionByName(rules.select(*BOX_COLUMNS))).collect()
+    assert [r.seeds for r in found] == [["font"], ["operator"], ["fraction"]]  # 34 points and more apart on their line
+    found = lines.zones(seeds, chars.select(*BOX_COLUMNS).unionByName(rules.select(*BOX_COLUMNS)), reach=60.0).collect()
     assert len(found) == 1 and found[0].seeds == ["font", "fraction", "operator"]
 
 
