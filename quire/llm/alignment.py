@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -23,7 +22,8 @@ NONE, ENDS_A, ENDS_B, BOTH = b"nabc"
 SPAN = re.compile(rb"[nab]*+c")
 #: A text is cut before a space between two characters that neither library takes for white space: no token of either crosses it.
 CUT = re.compile(r" (?<=[^\s▁] )(?=[^\s▁])")
-#: Segments that a worker remembers before it forgets those that the batch at hand does not hold.
+PLAIN = re.compile(r"(?s)[^\s▁](?:.*[^\s▁])?\Z")
+#: Segments that a worker remembers, about; then it forgets those that it has met once only.
 SEGMENTS = 200_000
 #: Segments that are encoded together, and characters of texts that are taken together.
 CHUNK, GROUP = 10_000, 1 << 20
@@ -54,39 +54,74 @@ class _Pair:
         self.bytes_a = dict.fromkeys(range(self.a.get_vocab_size()), b"") | {i: bytes(map(byte.__getitem__, t)) for t, i in vocabulary.items() if byte.keys() >= set(t)}
         piece = lambda i: bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
         self.bytes_b = {i: piece(i) for i in range(self.b.get_piece_size())}
-        self.known: dict[str, tuple] = {}
-
-    def learn(self, segments: list[str]) -> None:
-        """Aligns segments, each without the space before it: n_a, n_b, groups as written, links as bytes; None if the bytes differ."""
-        wanted = [f" {s}" for s in segments]
-        ids_a = [e.ids for e in self.a.encode_batch_fast(wanted, add_special_tokens=False)]
-        ids_b = self.b.encode(segments, num_threads=1)
-        flat_a, flat_b = [*chain.from_iterable(ids_a)], [*chain.from_iterable(ids_b)]
-        sizes = [np.fromiter(map(len, map(known.__getitem__, flat)), np.int64) for known, flat in ((self.bytes_a, flat_a), (self.bytes_b, flat_b))]
-        ends = [np.cumsum(x) for x in sizes]
-        last = [np.cumsum([len(x) for x in ids]) for ids in (ids_a, ids_b)]
-        whole = np.cumsum([len(s.encode()) for s in wanted])
-        joined = "".join(wanted).encode()
-        same = all(b"".join(map(known.__getitem__, flat)) == joined for known, flat in ((self.bytes_a, flat_a), (self.bytes_b, flat_b)))
-        if not (same and all((np.append(0, x)[n] == whole).all() for x, n in zip(ends, last, strict=True))):
-            bad = {s for s, a, b in zip(segments, ids_a, ids_b, strict=True) if not self.text(self.bytes_a, a) == self.text(self.bytes_b, b) == f" {s}".encode()}
-            self.known.update(dict.fromkeys(bad))
-            if rest := [s for s in segments if s not in bad]:
-                self.learn(rest)
+        self.size_a, self.size_b = (np.array([len(known[i]) for i in range(len(known))]) for known in (self.bytes_a, self.bytes_b))
+        self.index: dict[str, int] = {}
+        self.forget([])
+
+    def forget(self, kept: list[int]) -> None:
+        """Only segments of these numbers stay."""
+        shown = [*self.index] if kept else []
+        self.index = {shown[k]: n for n, k in enumerate(kept)}
+        if kept:
+            first, count = self.first[kept], self.count[kept]
+            self.links = self.links[np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())]
+            self.first, self.count, self.sizes, self.groups = np.cumsum(count) - count, count, self.sizes[kept], [self.groups[k] for k in kept]
+        else:
+            self.links, self.first, self.count, self.groups = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), []
+            self.sizes = np.empty((0, 2), np.int64)  # tokens of A and B; -1 where their bytes differ from the segment's
+        self.met = np.zeros(len(kept), bool)
+
+    def learn(self, segments: list[str], alone: bool = False) -> None:
+        """Aligns segments, each without the space before it. Those that both begin and end with a visible character are encoded
+        as one text, as no token crosses the space between two of them; others, and all if the bytes differ, one by one."""
+        if not alone:
+            joins = [s for s in segments if PLAIN.match(s)]
+            if len(joins) < len(segments):
+                self.learn(joins)
+                self.learn([s for s in segments if not PLAIN.match(s)], True)
+                return
+        if not segments:
             return
-        labels = np.full(len(joined), NONE, np.uint8)
+        wanted = [f" {s}" for s in segments]
+        joined = "".join(wanted)
+        if alone:
+            ids_a = [e.ids for e in self.a.encode_batch_fast(wanted, add_special_tokens=False)]
+            ids_b = self.b.encode(segments, num_threads=1)
+            good = [self.text(self.bytes_a, a) == self.text(self.bytes_b, b) == w.encode() for a, b, w in zip(ids_a, ids_b, wanted, strict=True)]
+            for s in (s for s, g in zip(segments, good, strict=True) if not g):
+                self.add([s], np.full((1, 2), -1), np.zeros(1, np.int64), np.empty(0, np.int64), [""])
+            segments, ids_a, ids_b, wanted = ([x for x, g in zip(xs, good, strict=True) if g] for xs in (segments, ids_a, ids_b, wanted))
+            if not segments:
+                return
+            joined, flat_a, flat_b = "".join(wanted), [*chain.from_iterable(ids_a)], [*chain.from_iterable(ids_b)]
+        else:
+            flat_a, flat_b = self.a.encode(joined, add_special_tokens=False).ids, self.b.encode(joined[1:])
+            if not self.text(self.bytes_a, flat_a) == self.text(self.bytes_b, flat_b) == joined.encode():
+                self.learn(segments, True)
+                return
+        flat = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+        ends = np.cumsum(self.size_a[flat[0]]), np.cumsum(self.size_b[flat[1]])
+        labels = np.full(ends[0][-1], NONE, np.uint8)
         labels[ends[0] - 1] = ENDS_A
         labels[ends[1] - 1] = np.where(labels[ends[1] - 1] == ENDS_A, BOTH, ENDS_B)
         spans = SPAN.findall(labels.tobytes())
         of_a, of_b = (np.cumsum([span.count(c) + 1 for span in spans]) for c in (b"a", b"b"))
-        links = (np.array(flat_a, np.int64)[of_a - 1] * PAIR + np.array(flat_b, np.int64)[of_b - 1]).tobytes()
+        links = flat[0][of_a - 1] * PAIR + flat[1][of_b - 1]
+        shown_a, shown_b, last_a, last_b = [*map(str, flat_a)], [*map(str, flat_b)], of_a.tolist(), of_b.tolist()
+        groups = [f"{shown_a[n - 1] if n - i == 1 else ','.join(shown_a[i:n])}|{shown_b[m - 1] if m - j == 1 else ','.join(shown_b[j:m])}" for i, n, j, m in zip([0, *last_a], last_a, [0, *last_b], last_b, strict=False)]
         # a segment ends with a span, as the tokens of both do
-        ends_of = np.searchsorted(of_a, last[0], "right").tolist()
-        shown_a, shown_b = [*map(str, flat_a)], [*map(str, flat_b)]
-        of_a, of_b = of_a.tolist(), of_b.tolist()
-        groups = [f"{shown_a[n - 1] if n - i == 1 else ','.join(shown_a[i:n])}|{shown_b[m - 1] if m - j == 1 else ','.join(shown_b[j:m])}" for i, n, j, m in zip([0, *of_a], of_a, [0, *of_b], of_b, strict=False)]
-        for s, a, b, low, high in zip(segments, ids_a, ids_b, [0, *ends_of], ends_of, strict=False):
-            self.known[s] = len(a), len(b), ";".join(groups[low:high]), links[8 * low : 8 * high]
+        whole = np.cumsum([len(w.encode()) for w in wanted])
+        own_a, own_b = (np.searchsorted(e, whole, "right") for e in ends)
+        own = np.searchsorted(of_a, own_a, "right")
+        low = [0, *own.tolist()]
+        self.add(segments, np.stack([np.diff(own_a, prepend=0), np.diff(own_b, prepend=0)], 1), np.diff(own, prepend=0), links, [";".join(groups[i:j]) for i, j in zip(low, low[1:], strict=False)])
+
+    def add(self, segments: list[str], sizes: np.ndarray, count: np.ndarray, links: np.ndarray, groups: list[str]) -> None:
+        self.index.update(zip(segments, range(len(self.index), len(self.index) + len(segments)), strict=True))
+        self.first = np.append(self.first, len(self.links) + np.cumsum(count) - count)
+        self.links, self.count, self.sizes = np.append(self.links, links), np.append(self.count, count), np.concatenate([self.sizes, sizes])
+        self.groups += groups
+        self.met = np.append(self.met, np.zeros(len(segments), bool))
 
     @staticmethod
     def text(known: dict[int, bytes], ids: list[int]) -> bytes:
@@ -96,22 +131,23 @@ class _Pair:
         """n_a, n_b, groups, distinct links and how often each occurs, of each text."""
         cut = [CUT.split(t) if t else () for t in texts]
         wanted = set(chain.from_iterable(cut))
-        new = list(wanted - self.known.keys())
-        if len(self.known) + len(new) > SEGMENTS:
-            self.known = {s: self.known[s] for s in wanted & self.known.keys()}
+        if len(self.index) > SEGMENTS:
+            kept = np.flatnonzero(self.met)
+            self.forget(kept.tolist() if 2 * len(kept) < SEGMENTS else [])
+        self.met[[self.index[s] for s in wanted if s in self.index]] = True
+        new = [s for s in wanted if s not in self.index]
         for k in range(0, len(new), CHUNK):
             self.learn(new[k : k + CHUNK])
         for parts in cut:
-            times = Counter(parts)
-            own = [*map(self.known.__getitem__, times)]
-            if not own or None in own:
+            own = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
+            sizes, count = self.sizes[own], self.count[own]
+            if not len(own) or sizes.min() < 0:
                 yield 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int32)
                 continue
-            n_a, n_b, _, linked = zip(*own, strict=True)
-            n = np.fromiter(times.values(), np.int64)
-            pairs, where = np.unique(np.frombuffer(b"".join(linked), np.int64), return_inverse=True)
-            often = np.bincount(where, np.repeat(n, [len(x) // 8 for x in linked])).astype(np.int32)
-            yield int(n @ np.array(n_a)), int(n @ np.array(n_b)), ";".join([self.known[s][2] for s in parts]), pairs, often
+            links = self.links[np.repeat(self.first[own] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+            pairs, often = np.unique(links, return_counts=True)
+            n_a, n_b = sizes.sum(0).tolist()
+            yield n_a, n_b, ";".join(map(self.groups.__getitem__, own.tolist())), pairs, often.astype(np.int32)
 
 
 @lru_cache(maxsize=1)
