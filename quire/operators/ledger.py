@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,10 +15,12 @@ from quire.functions.geometry import area
 def conservation(prims: DataFrame, consumption: DataFrame, keys: list[str]) -> DataFrame:
     """Every primitive with its number of consumers and a state: once, orphan or duplicate.
 
-    Consumers are counted by key before the join, so a primitive that is consumed often stays one row.
+    Consumers are counted by key before the join, so a primitive that is consumed often stays one row. A null in a key is a value like
+    any other; a column `uses` is replaced.
     """
-    used = consumption.groupBy(*keys).agg(F.count("*").alias("uses"))
-    rows = prims.join(used, keys, "left").withColumn("uses", F.coalesce("uses", F.lit(0)))
+    used = consumption.groupBy(*[F.col(k).alias(f"{k}__") for k in keys]).agg(F.count("*").alias("uses__"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}__")) for k in keys])
+    rows = prims.join(used, same, "left").withColumn("uses", F.coalesce("uses__", F.lit(0))).drop("uses__", *[f"{k}__" for k in keys])
     return rows.withColumn("state", F.when(F.col("uses") == 1, "once").when(F.col("uses") == 0, "orphan").otherwise("duplicate"))
 
 

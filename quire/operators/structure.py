@@ -4,18 +4,77 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from quire.functions.text import score_of, token_kind, token_label
+from quire.functions.text import score_of, token_kind, token_label, token_number
+
+
+#: What a marker is worth if it goes on with its level's numbers, if it does not, and if it is read as text.
+EXPECTED, BROKEN, BACKWARDS, AS_TEXT = 3.0, -2.0, -4.0, -1.0
+#: What it is worth besides: a lower-case letter behind the marker, as in the middle of a sentence, and points for the question.
+MIDWAY, POINTS = -1.5, 1.0
+
+
+def _best_reading(kinds: list[str], numbers: list[int], worth: list[float]) -> list[int]:
+    """Places of the markers that the best reading of a paper takes: Viterbi over (section, question, subquestion, option, section since the last question)."""
+    best: dict[tuple, tuple[float, tuple]] = {(0, 0, 0, 0, False): (0.0, ())}  # of each state: the score with its sign changed, and what is taken
+    for at, (kind, n, more) in enumerate(zip(kinds, numbers, worth, strict=True)):
+        after: dict[tuple, tuple[float, tuple]] = {}
+        for state, (less, taken) in best.items():
+            section, q, sub, option, fresh = state
+            if kind == "section":
+                gain, to = EXPECTED if n == section + 1 else BROKEN, (n, q, 0, 0, True)
+            elif kind == "question":
+                gain, to = more + (EXPECTED if n == q + 1 or (n == 1 and fresh) else BROKEN if n > q else BACKWARDS), (section, n, 0, 0, False)
+            elif kind == "subquestion":
+                gain, to = EXPECTED if q and n == sub + 1 else BROKEN, (section, q, n, 0, fresh)
+            else:
+                gain, to = EXPECTED if q and n == option + 1 else BROKEN, (section, q, sub, n, fresh)
+            for key, value in ((state, (less - AS_TEXT, taken)), (to, (less - gain, (*taken, at)))):
+                if key not in after or value < after[key]:
+                    after[key] = value
+        best = after
+    return [*min(best.values())[1]]
+
+
+def decoded(blocks: DataFrame) -> DataFrame:
+    """Blocks (doc_id, block_no, text) with kind: markers that the numbering of the paper bears out, all else is text.
+
+    Every marker is a candidate of its kind or text. For each state (section, question, subquestion, option, whether a section has begun
+    since the last question), the best reading of a paper's candidates so far is kept, in the order of block_no: numbers that
+    follow their level's counter gain EXPECTED, others lose, and so does a marker that is read as text. The best reading at the end decides;
+    of equals, the one that takes the earlier markers. All states are kept, so the result is the best path. Blocks without a
+    marker do not travel; a paper's candidates meet in one row. Rows alike in block_no and text have one kind; null texts are text.
+    """
+    kind, number = token_kind(F.col("text")), token_number(F.col("text"))
+    rest = F.regexp_replace(F.ltrim("text"), r"^[0-9]{1,3}[.．、]\s*", "")
+    worth = F.when((kind == "question") & rest.rlike("^[a-z]"), MIDWAY).otherwise(0.0) + F.when((kind == "question") & score_of(F.col("text")).isNotNull(), POINTS).otherwise(0.0)
+    name = F.xxhash64("block_no", "text")
+    marks = blocks.filter(kind != "text").select("doc_id", F.struct("block_no", "text", name.alias("name"), kind.alias("kind"), number.alias("n"), worth.alias("worth")).alias("mark"))
+    papers = marks.groupBy(F.col("doc_id").alias("doc__")).agg(F.array_sort(F.collect_set("mark")).alias("marks"))
+    papers = papers.select("doc__", *[F.col(f"marks.{c}").alias(c) for c in ("name", "kind", "n", "worth")])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, *marks = (batch.column(c).to_pylist() for c in ("name", "kind", "n", "worth"))
+            kept = [[own[k] for k in _best_reading(*m)] for own, *m in zip(names, *marks, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc__"), pa.array(kept, pa.list_(pa.int64()))], ["doc__", "kept__"])
+
+    found = papers.mapInArrow(read, f"doc__ {papers.schema['doc__'].dataType.simpleString()}, kept__ array<long>")
+    rows = blocks.join(found, F.col("doc_id").eqNullSafe(F.col("doc__")), "left")
+    real = F.coalesce(F.array_contains("kept__", name), F.lit(False))
+    return rows.select(*[F.col(f"`{c}`") for c in blocks.columns if c != "kind"], F.when(real, kind).otherwise("text").alias("kind"))
 
 
 def numbered(blocks: DataFrame) -> DataFrame:
     """Blocks with kind, label, section_no, q_no and sub_no: running counts whose inner levels start anew in each outer one.
 
-    The grammar's levels are nested running sums over one order, so a question may cross pages.
+    Kinds are those of decoded(), so a stray number is text and opens no question. The grammar's levels are nested running sums over one
+    order, so a question may cross pages.
     """
-    rows = blocks.select("*", token_kind(F.col("text")).alias("kind"), token_label(F.col("text")).alias("label"), score_of(F.col("text")).alias("score"))
+    label = F.when(F.col("kind") == "text", "").otherwise(token_label(F.col("text")))
+    rows = decoded(blocks).select("*", label.alias("label"), score_of(F.col("text")).alias("score"))
     up_to = lambda *keys: Window.partitionBy("doc_id", *keys).orderBy("block_no").rowsBetween(Window.unboundedPreceding, 0)
     count = lambda kind, *keys: F.sum((F.col("kind") == kind).cast("int")).over(up_to(*keys))
     rows = rows.withColumn("section_no", count("section")).withColumn("q_no", count("question"))
@@ -29,18 +88,23 @@ def region(rows: DataFrame, within: list[str], order: list[str], starts: Column,
 
 
 def labelled(spans: DataFrame, label: Callable[[list[str]], list[str]], threshold: float = 0.8) -> DataFrame:
-    """Spans (span_id, text, kind, confidence), those of low confidence labelled anew; their text is never changed.
+    """Spans (text, kind, confidence, ...), those of low confidence labelled anew in place; their text is never changed.
 
-    Only the low ones reach the labeller: they are filtered before mapInPandas, and joined back by id.
+    Only the low ones reach the labeller. Rows stay as they are, with null and repeated ids; a null confidence is low.
     """
-    low = spans.filter(F.col("confidence") < threshold).select("span_id", "text")
+    low = F.coalesce(F.col("confidence") < threshold, F.lit(True))
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pd.DataFrame({"span_id": batch["span_id"], "new_kind": label(batch["text"].tolist())})
-
-    named = low.mapInPandas(ask, f"span_id {dict(spans.dtypes)['span_id']}, new_kind string")
-    return spans.join(named, "span_id", "left").withColumn("kind", F.coalesce("new_kind", "kind")).drop("new_kind")
+            kinds, texts = batch.column("kind").to_pylist(), batch.column("text").to_pylist()
+            own = [k for k, low in enumerate(batch.column("low__").to_pylist()) if low]
+            for k, new in zip(own, label([texts[k] for k in own]) if own else (), strict=True):
+                kinds[k] = new
+            at = batch.schema.get_field_index("kind")
+            yield batch.set_column(at, "kind", pa.array(kinds, pa.string())).select(names)
+
+    names = spans.columns
+    return spans.withColumn("low__", low).mapInArrow(ask, spans.schema)
 
 
 def questions(blocks: DataFrame, options: DataFrame) -> DataFrame:

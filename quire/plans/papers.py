@@ -64,14 +64,16 @@ _METAS = {"1-URGENT": "pdfTeX-1.40.21", "2-HIGH": "Microsoft® Word 2016", "3-ME
 
 @query(f"""WITH {_PAGE_CHARS}, d AS (SELECT k, max(route) AS route FROM routed GROUP BY k)
 SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'LaTeX' WHEN '2-HIGH' THEN 'Word' WHEN '3-MEDIUM' THEN 'WPS' WHEN '4-NOT SPECIFIED' THEN 'XeTeX' ELSE 'other' END AS producer, route, count(*) AS n_docs
-FROM d JOIN orders ON k = o_orderkey WHERE route <> 'A' GROUP BY ALL""")
+FROM d JOIN orders ON k = o_orderkey GROUP BY ALL""")
 def health_report(spark: SparkSession, sf: str) -> DataFrame:
-    """S0.10, S0.12: producer from metadata and the worst page's route; the report is written by route, and two of its folders are read."""
+    """S0.10, S0.12: producer from metadata and the worst page's route; the report is written by route. Documents to escalate are counted
+    by reading their two folders alone, the others apart."""
     docs = _health(spark, sf).groupBy("doc_id").agg(F.max("route").alias("route"))
     meta = F.create_map(*[F.lit(x) for kv in _METAS.items() for x in kv])[F.col("p")]
     path = scratch(spark, "health")
     health.write_health(docs.join(_orders(spark, sf).select(F.col("k").alias("doc_id"), health.producer(meta).alias("producer")), "doc_id"), path)
-    return spark.read.parquet(path).filter("route <> 'A'").groupBy("producer", "route").agg(F.count("*").alias("n_docs"))
+    counted = lambda found: found.groupBy("producer", "route").agg(F.count("*").alias("n_docs"))
+    return counted(spark.read.parquet(path).filter("route <> 'A'")).unionByName(counted(spark.read.parquet(path).filter("route = 'A'")))
 
 
 # S1: primitives and their store
@@ -252,6 +254,23 @@ def paper_blocks(spark: SparkSession, sf: str) -> DataFrame:
     return _paper(spark, sf).select("doc_id", "block_no", "kind", "label", "section_no", "q_no", "sub_no", "ignore_reason")
 
 
+#: A paper with numbers that are none: S stands for one of these, set in at a place that the order's key gives.
+_STRAY = ("3.5 metres long", "2. of the two", "(7) cases", "9. of them", "D. Smith said", "十、最后")
+_REAL = ("一、选择题", "1. first", "A. w", "B. x", "2. second (5 分)", "(1) sub", "(2) sub", "二、填空题", "3. third", "4. fourth")
+
+
+@query(f"""WITH {_O}, b AS (SELECT k, i, [{", ".join(f"'{x}'" for x in _REAL)}][i + 1] AS text, ['section', 'question', 'option', 'option', 'question', 'subquestion', 'subquestion', 'section', 'question', 'question'][i + 1] AS kind FROM o, (SELECT unnest(range(10)) AS i)),
+t AS (SELECT k, i * 2 AS block_no, text, kind FROM b UNION ALL SELECT k, (k % 10) * 2 + 1, [{", ".join(f"'{x}'" for x in _STRAY)}][k % 6 + 1], 'text' FROM o)
+SELECT k AS doc_id, block_no::BIGINT AS block_no, kind, sum(CASE WHEN kind = 'question' THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY block_no)::BIGINT AS q_no FROM t""")
+def paper_grammar(spark: SparkSession, sf: str) -> DataFrame:
+    """S6.1, S6.2: real markers by the numbering that they make together; decimals, numbers in sentences and stray letters are text."""
+    k = F.col("k")
+    real = F.transform(F.array(*map(F.lit, _REAL)), lambda x, i: F.struct((i * 2).cast("long").alias("block_no"), x.alias("text")))
+    stray = F.struct((k % 10 * 2 + 1).alias("block_no"), F.get(F.array(*map(F.lit, _STRAY)), (k % 6).cast("int")).alias("text"))
+    rows = _orders(spark, sf).select(k.alias("doc_id"), F.explode(F.concat(real, F.array(stray))).alias("x")).select("doc_id", "x.*")
+    return structure.numbered(rows).select("doc_id", "block_no", "kind", "q_no")
+
+
 @query(f"WITH {_O}, q AS (SELECT *, unnest([1, 2, 3]) AS q FROM o) SELECT k AS doc_id, q::BIGINT AS q_no, {_JSON} AS json FROM q")
 def paper_questions(spark: SparkSession, sf: str) -> DataFrame:
     """S4.3, S4.5, S6.1, S6.5, S6.6: from blocks to question JSON with sections, stems, scores, options and doubts."""
@@ -264,10 +283,12 @@ def option_cells(spark: SparkSession, sf: str) -> DataFrame:
     return blocks.option_grid(_paper(spark, sf).select("doc_id", "q_no", F.col("block_no").alias("line_no"), "text"))
 
 
-@query(f"""WITH {_O} SELECT k AS doc_id, 3::BIGINT AS q_no, '<section id="q3"><p>3. <span class="math" data-latex="x^{{2}}"></span> &lt; ' || c || '</p></section>' AS html FROM o""")
+@query(f"""WITH {_O} SELECT k AS doc_id, 3::BIGINT AS q_no, '<section id="q3"><p>3. <span class="math" data-latex="x^{{2}}"></span> &lt; ' || c || '</p></section>' AS html FROM o
+UNION ALL SELECT k, 2, '<section id="q2"><p>2. q' || c || chr(10) || '(1) sub ' || k || '</p></section>' FROM o
+UNION ALL SELECT k, 1, '<section id="q1"><p>1. ' || p || ' (5 分)</p><ol><li data-label="A">w</li><li data-label="B">x</li><li data-label="C">' || c || '</li>' || CASE WHEN k % 5 = 0 THEN '</ol><mark class="uncertain">options are not A to D</mark>' ELSE '<li data-label="D">z</li></ol>' END || '</section>' FROM o""")
 def math_html(spark: SparkSession, sf: str) -> DataFrame:
-    """S9.1, S9.2: formulas as spans that carry their LaTeX, in escaped text."""
-    return render.question_html(_questions(spark, sf)).filter("q_no = 3")
+    """S9.1-S9.3: formulas as spans that carry their LaTeX, in escaped text, options and doubts, of every question."""
+    return render.question_html(_questions(spark, sf))
 
 
 @query(f"WITH {_O} SELECT k AS doc_id, 0 AS page_no, 1::BIGINT AS line_no, CASE WHEN k % 60 < 30 THEN CASE WHEN k % 60 = 0 THEN 'if ' || '$x_{{' || c || '}}$' ELSE 'if $x_{{' || c || '}}$' END || ' then' ELSE 'if  then$x_{{' || c || '}}$' END AS text FROM o")

@@ -153,9 +153,9 @@ def answer_region(spark: SparkSession, sf: str) -> DataFrame:
     return structure.region(rows, ["conv_id"], ["turn"], F.col("role") == "assistant", F.col("role") == "user", "in_answer").select("conv_id", "turn", "in_answer")
 
 
-@query(f"""WITH {_LINES}, t AS (SELECT ltrim(text, ' ') AS x FROM lines), k AS (SELECT CASE WHEN regexp_matches(x, '^[一二三四五六七八九十]+、') THEN 'section' WHEN regexp_matches(x, '^([0-9]{{1,3}})[.．、]') THEN 'question'
+@query(f"""WITH {_LINES}, t AS (SELECT ltrim(text, ' ') AS x FROM lines), k AS (SELECT CASE WHEN regexp_matches(x, '^[一二三四五六七八九十]+、') THEN 'section' WHEN regexp_matches(x, '^([0-9]{{1,3}})[.．、]([^0-9]|$)') THEN 'question'
   WHEN regexp_matches(x, '^[(（]([0-9]{{1,2}})[)）]') THEN 'subquestion' WHEN regexp_matches(x, '^([A-D])[.．、]') THEN 'option' ELSE 'text' END AS kind,
-  regexp_extract(x, '^([0-9]{{1,3}})[.．、]', 1) || regexp_extract(x, '^[(（]([0-9]{{1,2}})[)）]', 1) || regexp_extract(x, '^([A-D])[.．、]', 1) AS label FROM t) SELECT kind, label, count(*) AS n FROM k GROUP BY ALL""")
+  regexp_extract(x, '^([0-9]{{1,3}})[.．、]([^0-9]|$)', 1) || regexp_extract(x, '^[(（]([0-9]{{1,2}})[)）]', 1) || regexp_extract(x, '^([A-D])[.．、]', 1) AS label FROM t) SELECT kind, label, count(*) AS n FROM k GROUP BY ALL""")
 def line_tokens(spark: SparkSession, sf: str) -> DataFrame:
     """S6.2: grammar tokens of all lines."""
     rows = standins.lines(spark, sf).select(token_kind(F.col("text")).alias("kind"), token_label(F.col("text")).alias("label"))
