@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Stand-in layout of plain text: points of a character and a line, lines of a page.
 STEP, LEADING, PAGE_LINES = 6.0, 12.0, 40
@@ -39,16 +43,73 @@ def duplicates(prims: DataFrame, keys: list[str]) -> DataFrame:
     return prims.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
-def write_store(tables: dict[str, DataFrame], path: str, version: int) -> None:
-    """Append one version of the primitive store: a folder for each kind and version."""
+def write_store(tables: dict[str, DataFrame], path: str, version: int) -> bool:
+    """Write one version of the primitive store, all its kinds or nothing; False if that version is there already, which then stays.
+
+    Kinds are written to folders of their own, which nobody reads until a manifest names them; the manifest is moved into its place in one
+    step that fails where another one stands. So a version that is written twice, at the same time or after a crash, is read
+    once and whole. Folders that no manifest names are left by writers that died: see cleaned().
+    """
+    spark = next(iter(tables.values())).sparkSession
+    if version in versions(spark, path):
+        return False
+    run = uuid.uuid4().hex
+    entries = {}
     for kind in KINDS:
         if kind in tables:
-            tables[kind].withColumn("store_version", F.lit(version)).write.mode("append").partitionBy("store_version").parquet(f"{path}/{kind}")
-
-
-def read_store(spark, path: str, kind: str, version: int) -> DataFrame:
-    """One kind of primitives of one version; the other versions' folders are not read."""
-    return spark.read.parquet(f"{path}/{kind}").filter(F.col("store_version") == version)
+            entries[kind] = f"data/{kind}-{version}-{run}"
+            tables[kind].write.parquet(f"{path}/{entries[kind]}")
+    staged, final = (_path(spark, f"{path}/manifests/{name}") for name in (f"_{run}", f"{version}.json"))
+    files = final.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(final.getParent())
+    out = files.create(staged)
+    out.write(json.dumps({"version": version, "kinds": entries}).encode())
+    out.close()
+    jvm = spark._jvm
+    try:
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark._jsc.hadoopConfiguration())
+        context.rename(staged, final, spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0))
+    except Py4JJavaError:
+        if not files.exists(final):
+            raise
+        files.delete(staged, False)
+        for folder in entries.values():
+            files.delete(_path(spark, f"{path}/{folder}"), True)
+        return False
+    return True
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _manifest(spark: SparkSession, path: str, version: int) -> dict[str, str]:
+    return json.loads(spark.read.text(f"{path}/manifests/{version}.json", wholetext=True).first().value)["kinds"]
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Versions of a store, in order."""
+    at = _path(spark, f"{path}/manifests/*.json")
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return sorted(int(f.getPath().getName().removesuffix(".json")) for f in found or [])
+
+
+def read_store(spark: SparkSession, path: str, kind: str, version: int | None = None) -> DataFrame:
+    """One kind of primitives of one version, the newest by default, with store_version; no other version's files are touched."""
+    if version is None:
+        version = max(versions(spark, path))
+    return spark.read.parquet(f"{path}/{_manifest(spark, path, version)[kind]}").withColumn("store_version", F.lit(version))
+
+
+def cleaned(spark: SparkSession, path: str) -> int:
+    """Delete folders that no manifest names and manifests that were never moved; their number. Only while nobody writes."""
+    named = {f.rpartition("/")[2] for v in versions(spark, path) for f in _manifest(spark, path, v).values()}
+    files = _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+    lost = [f.getPath() for f in files.globStatus(_path(spark, f"{path}/data/*")) or [] if f.getPath().getName() not in named]
+    lost += [f.getPath() for f in files.globStatus(_path(spark, f"{path}/manifests/_*")) or []]
+    for f in lost:
+        files.delete(f, True)
+    return len(lost)
 
 
 def primitives(chars: DataFrame, rules: DataFrame, images: DataFrame) -> DataFrame:

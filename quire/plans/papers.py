@@ -86,7 +86,7 @@ v AS (SELECT k AS doc_id, i AS prim_id, CASE space WHEN 'gray' THEN f WHEN 'rgb'
 
 @query(f"{_STYLED} SELECT doc_id, prim_id, round(green, 9) AS green, x0, x1, top, bottom, 2 AS store_version FROM v")
 def primitive_store(spark: SparkSession, sf: str) -> DataFrame:
-    """S1.4, S1.6: colour and transform of each character (plain, turned by a right angle, scaled); the store's second version is read back."""
+    """S1.4, S1.6: colour and transform of each character (plain, turned by a right angle, scaled); the store's second version, written twice, is read back."""
     rows = _each(_orders(spark, sf), 3)
     f, s = (F.col("c") % 10) / 10.0, (F.col("i") + 1).cast("double")
     kind = F.get(F.array(F.lit("gray"), F.lit("rgb"), F.lit("cmyk"), F.lit(None)), ((F.col("k") + F.col("i")) % 4).cast("int"))
@@ -97,7 +97,8 @@ def primitive_store(spark: SparkSession, sf: str) -> DataFrame:
     drawn = rows.select(F.col("k").alias("doc_id"), F.lit(0).alias("page_no"), F.col("i").alias("prim_id"), kind.alias("space"), fill.alias("fill"), matrix.alias("transform"), F.lit(5.0).alias("width"), F.lit(10.0).alias("height"), F.lit(800.0).alias("page_height"))
     path = scratch(spark, "store")
     primitives.write_store({"chars": primitives.styled(drawn.filter("prim_id = 0"))}, path, 1)
-    primitives.write_store({"chars": primitives.styled(drawn)}, path, 2)
+    for _ in range(2):  # the second time changes nothing
+        primitives.write_store({"chars": primitives.styled(drawn)}, path, 2)
     found = primitives.read_store(spark, path, "chars", 2)
     return found.select("doc_id", "prim_id", F.round(F.col("colour")[1], 9).alias("green"), "x0", "x1", "top", "bottom", "store_version")
 
@@ -464,13 +465,20 @@ def math_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 # S8: the ladder
 
-@query(f"""WITH {_O}, a AS (SELECT k, p, unnest([0, 1, 2]) AS rung FROM o)
-SELECT k AS node_id, rung, ['200 dpi', '300 dpi padded', 'model'][rung + 1] AS engine, p || rung AS payload, k % 4 = rung AS invariants_ok, (rung + 1) / 4.0::DOUBLE AS score FROM a WHERE rung <= k % 4""")
+@query(f"""WITH {_O}, a AS (SELECT k, p, unnest([0, 1, 2]) AS rung FROM o), f AS (SELECT *, k % 97 = 0 AND rung = 0 AS fails FROM a)
+SELECT k AS node_id, rung, ['200 dpi', '300 dpi padded', 'model'][rung + 1] AS engine, CASE WHEN NOT fails THEN p || rung END AS payload, k % 4 = rung AND NOT fails AS invariants_ok, CASE WHEN NOT fails THEN (rung + 1) / 4.0::DOUBLE END AS score,
+  CASE WHEN fails THEN 'ValueError: unreadable' END AS error FROM f WHERE rung <= k % 4 OR (k % 97 = 0 AND k % 4 = 0)""")
 def ladder_attempts(spark: SparkSession, sf: str) -> DataFrame:
-    """S8.1, S8.2, S8.6: three engines, here fakes, rung by rung; each sees only what none before it has solved."""
+    """S8.1, S8.2, S8.6: three engines, here fakes, rung by rung; each sees only what none before it has solved, and failures are attempts."""
     nodes = _orders(spark, sf).select(F.col("k").alias("node_id"), F.concat(F.col("k").cast("string"), F.lit("|"), F.col("p")).alias("source"))
-    return escalation.climb(nodes, [(name, _engine(rung)) for rung, name in enumerate(("200 dpi", "300 dpi padded", "model"))])
+    return escalation.climb(nodes, [(name, escalation.Engine(lambda rung=rung: _engine(rung))) for rung, name in enumerate(("200 dpi", "300 dpi padded", "model"))])
 
 
-def _engine(rung: int) -> escalation.Engine:
-    return lambda sources: [(f"{s.split('|')[1]}{rung}", int(s.split("|")[0]) % 4 == rung, (rung + 1) / 4) for s in sources]
+def _engine(rung: int) -> escalation.Call:
+    def call(sources: list[str]) -> list[tuple[str, bool, float]]:
+        keys = [int(s.split("|")[0]) for s in sources]
+        if rung == 0 and any(k % 97 == 0 for k in keys):
+            raise ValueError("unreadable")
+        return [(f"{s.split('|')[1]}{rung}", k % 4 == rung, (rung + 1) / 4) for s, k in zip(sources, keys, strict=True)]
+
+    return call
