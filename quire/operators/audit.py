@@ -32,6 +32,41 @@ def calibration(rows: DataFrame, confidence: Column, correct: Column, bins: int
     return made.groupBy("bin").agg(F.count("*").alias("n"), F.avg("correct").alias("accuracy"))
 
 
+def isotonic(rows: DataFrame, confidence: Column, correct: Column, bins: int = 1_000) -> DataFrame:
+    """A calibrated confidence: low, high, n, calibrated, the steps of the monotone curve that fits the share of correct ones best.
+
+    Rows are first summed in `bins` equal bins of confidence from 0 to 1, so that whatever their number a table of `bins` rows goes to one
+    place; there adjacent bins whose shares fall are pooled until none does (pool adjacent violators), as a fold with a stack. `low` and `high` are
+    the least and the largest confidence of a step's rows. Rows with a null in either are left out; no rows give no steps.
+    """
+    at = F.least(F.greatest(F.floor(confidence * bins), F.lit(0)), F.lit(bins - 1)).cast("int")
+    sums = rows.select(at.alias("bin"), confidence.cast("double").alias("x"), correct.cast("double").alias("y")).filter("x is not null and y is not null")
+    sums = sums.groupBy("bin").agg(F.count("*").cast("double").alias("n"), F.sum("y").alias("s"), F.min("x").alias("low"), F.max("x").alias("high"))
+    step = "struct<low:double,high:double,n:double,s:double>"
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("bin", "low", "high", "n", "s"))), lambda b: F.struct(b["low"], b["high"], b["n"], b["s"]))
+    both = lambda p, q: F.struct(p["low"].alias("low"), q["high"].alias("high"), (p["n"] + q["n"]).alias("n"), (p["s"] + q["s"]).alias("s"))
+
+    def pushed(a: Column, b: Column) -> Column:
+        """The steps of a, then b, which takes in as many of the last steps as lie above it."""
+        down = F.aggregate(F.reverse(a), F.struct(F.lit(0).alias("taken"), b.alias("top"), F.lit(True).alias("open")), lambda s, p: F.when(s["open"] & (p["s"] * s["top"]["n"] >= s["top"]["s"] * p["n"]), F.struct((s["taken"] + 1).alias("taken"), both(p, s["top"]).alias("top"), F.lit(True).alias("open"))).otherwise(F.struct(s["taken"].alias("taken"), s["top"].alias("top"), F.lit(False).alias("open"))))
+        return F.transform(F.array(down), lambda d: F.concat(F.slice(a, F.lit(1), F.size(a) - d["taken"]), F.array(d["top"])))[0]
+
+    curve = F.aggregate("bins", F.array().cast(f"array<{step}>"), pushed)
+    found = sums.agg(ordered.alias("bins")).select(F.explode(curve).alias("x"))
+    return found.select("x.low", "x.high", F.col("x.n").cast("long").alias("n"), (F.col("x.s") / F.col("x.n")).alias("calibrated"))
+
+
+def calibrated(curve: DataFrame, rows: DataFrame, confidence: Column, name: str = "calibrated") -> DataFrame:
+    """Rows with the confidence that a curve of isotonic() gives them: that of the last step that begins at or below theirs, or of the first.
+
+    The curve has a step for each bin at most, so it goes along as one broadcast row. A null confidence, or a curve without steps, gives null.
+    """
+    own = curve.agg(F.array_sort(F.collect_list(F.struct("low", F.col("calibrated").alias("value")))).alias("steps__"))
+    below = F.filter("steps__", lambda s: s["low"] <= F.col("conf__"))
+    value = F.when(F.col("conf__").isNotNull(), F.coalesce(F.try_element_at(below, F.lit(-1)), F.get("steps__", F.lit(0)))["value"])
+    return rows.drop(name).withColumn("conf__", confidence.cast("double")).join(F.broadcast(own)).withColumn(name, value).drop("conf__", "steps__")
+
+
 def silent_errors(questions: DataFrame, wrong: Column, uncertain: Column) -> DataFrame:
     """Share of questions that are wrong and not marked; questions are the denominator, not pages."""
     return questions.agg(F.count("*").alias("n_questions"), F.count_if(wrong & ~uncertain).alias("n_silent")).withColumn("silent_rate", share(F.col("n_silent"), F.col("n_questions")))

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from quire.operators.audit import calibrated, isotonic
 from quire.session import stored
 
 #: Rung 0 and two retries at most.
@@ -56,6 +57,15 @@ def queue(formulas: DataFrame, threshold: float = 0.8) -> DataFrame:
     return formulas.filter(F.coalesce(F.col("confidence"), F.lit(0.0)) < threshold)
 
 
+def calibrated_queue(nodes: DataFrame, judged: DataFrame, correct: float = 0.8, bins: int = 1_000) -> DataFrame:
+    """Nodes (confidence, ...) whose confidence stands for less than a share of `correct` right ones, by a curve fitted to `judged` (confidence, correct).
+
+    With `calibrated`, that share; nodes with an unknown confidence are in, and without judged rows all are.
+    """
+    curve = isotonic(judged, F.col("confidence"), F.col("correct"), bins)
+    return calibrated(curve, nodes, F.col("confidence")).filter(F.coalesce(F.col("calibrated"), F.lit(0.0)) < correct)
+
+
 def climb(nodes: DataFrame, engines: list[tuple[str, Engine | Call]]) -> DataFrame:
     """Attempts (node_id, rung, engine, payload, invariants_ok, score, error) of the nodes (node_id, source), rung by rung.
 

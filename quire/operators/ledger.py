@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from quire.functions.geometry import area
+from quire.session import small, stored
 
 
 def conservation(prims: DataFrame, consumption: DataFrame, keys: list[str]) -> DataFrame:
@@ -24,6 +25,67 @@ def conservation(prims: DataFrame, consumption: DataFrame, keys: list[str]) -> D
     return rows.withColumn("state", F.when(F.col("uses") == 1, "once").when(F.col("uses") == 0, "orphan").otherwise("duplicate"))
 
 
+def _content(keys: list[str]) -> Column:
+    """Two 64-bit digests of a row's keys, which tell nulls from values."""
+    own = [x for k in keys for x in (F.col(k), F.col(k).isNull())]
+    return F.struct(F.xxhash64(*own).alias("a"), F.xxhash64(*own, F.lit(1)).alias("b"))
+
+
+def digests(rows: DataFrame, by: list[str], keys: list[str]) -> DataFrame:
+    """by, n, a, b: the size and the digest of the multiset of keys of each group, which can be merged by adding.
+
+    A digest is the sum of the rows' hashes modulo 2**64, taken twice, so the order of rows plays no part, and a row that is there twice
+    counts twice; sums of parts are the sum of the whole. Groups are combined before the shuffle, so a row of three numbers travels for each.
+    """
+    halves = lambda h: [F.sum(F.col(f"h.{h}").bitwiseAND(0xFFFFFFFF)).alias(f"{h}_low"), F.sum(F.shiftrightunsigned(f"h.{h}", 32)).alias(f"{h}_high")]
+    sums = rows.select(*by, _content(keys).alias("h")).groupBy(*by).agg(F.count("*").alias("n"), *halves("a"), *halves("b"))
+    return sums.select(*by, "n", *[F.struct(f"{h}_low", f"{h}_high").alias(h) for h in "ab"])
+
+
+def unequal(prims: DataFrame, consumption: DataFrame, by: list[str], keys: list[str]) -> DataFrame:
+    """Groups (by) whose primitives and consumed primitives are not the same multiset: all others balance, and need no join of rows.
+
+    Two different multisets of one size have equal digests with a chance of about 2**-128.
+    """
+    return _unequal(digests(prims, by, keys), digests(consumption, by, keys), by)
+
+
+def _unequal(mine: DataFrame, other: DataFrame, by: list[str]) -> DataFrame:
+    other = other.select(*[F.col(c).alias(f"{c}__") for c in other.columns])
+    on = reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}__")) for c in by])
+    same = F.col("n").eqNullSafe(F.col("n__")) & F.col("a").eqNullSafe(F.col("a__")) & F.col("b").eqNullSafe(F.col("b__"))
+    # a group that only one side has is found by its null count on the other
+    return mine.join(other, on, "full").filter(~same).select(*[F.when(F.col("n").isNotNull(), F.col(c)).otherwise(F.col(f"{c}__")).alias(c) for c in by])
+
+
+def unbalanced(prims: DataFrame, consumption: DataFrame, levels: list[str], keys: list[str]) -> DataFrame:
+    """Rows of conservation() that are not consumed exactly once, found from the whole to the part.
+
+    `levels`, from the outermost (doc_id, then page_no, ...), are columns of both sides and keys of a primitive. Digests are made for the
+    innermost groups only, in one pass over each side, and merged outwards; only outer groups that differ have their inner ones compared, and only
+    rows of inner groups that differ are joined by primitive. Clean documents shuffle one row of digests for each inner group and no primitive.
+    Consumption of what is no primitive is returned too, with state `unknown`. Groups of a null level are groups like any other.
+    """
+    mine, other = (stored(digests(side, levels, keys), "digests") for side in (prims, consumption))
+    merged = lambda d, by: d.groupBy(*by).agg(F.sum("n").alias("n"), *[F.struct(F.sum(f"{h}.{h}_low").alias(f"{h}_low"), F.sum(f"{h}.{h}_high").alias(f"{h}_high")).alias(h) for h in "ab"])
+    for depth in range(1, len(levels) + 1):
+        by = levels[:depth]
+        odd = stored(_unequal(merged(mine, by), merged(other, by), by), "unequal")
+        if depth < len(levels):
+            mine, other = (_of(d, odd, by) for d in (mine, other))
+    prims, consumption = (_of(side, odd, levels) for side in (prims, consumption))
+    rows = conservation(prims, consumption, keys).filter("state <> 'once'")
+    known = prims.select(*[F.col(k).alias(f"{k}__") for k in keys])
+    strange = consumption.join(known, reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}__")) for k in keys]), "left_anti").groupBy(*keys).agg(F.count("*").alias("uses")).withColumn("state", F.lit("unknown"))
+    return rows.unionByName(strange, allowMissingColumns=True)
+
+
+def _of(rows: DataFrame, odd: DataFrame, by: list[str]) -> DataFrame:
+    """Rows of the groups in `odd`, which is broadcast if it is small."""
+    named = odd.select(*[F.col(c).alias(f"{c}__") for c in by])
+    return rows.join(small(named), reduce(and_, [F.col(c).eqNullSafe(F.col(f"{c}__")) for c in by]), "left_semi")
+
+
 def broken(ledger: DataFrame, node: str) -> DataFrame:
     """Nodes with a primitive that is not consumed exactly once: what goes to escalation."""
     return ledger.groupBy(node).agg(F.count_if(F.col("state") == "orphan").alias("orphans"), F.count_if(F.col("state") == "duplicate").alias("duplicates")).filter("orphans + duplicates > 0")

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quire.operators import blocks, escalation, formula, health, ledger, lines, primitives, render, structure, tables
+from quire.operators import audit, blocks, escalation, formula, health, ledger, lines, primitives, render, structure, tables
 from quire.operators.latex import parses
 from quire.plans.catalog import query
 from quire.session import scratch, table
@@ -373,6 +373,34 @@ def ledger_kinds(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.conservation(prims, used, ["doc_id", "prim_id"]).select("doc_id", "kind", "uses", "state")
 
 
+_CONSUMED = """WITH u AS (SELECT l_orderkey AS doc_id, l_linenumber AS page_no, l_partkey AS prim_id, CASE WHEN l_orderkey % 9 = 0 AND l_returnflag = 'R' THEN 0 WHEN l_orderkey % 9 = 4 AND l_linestatus = 'F' THEN 2 ELSE 1 END AS uses FROM lineitem)"""
+
+
+@query(f"{_CONSUMED} SELECT doc_id, page_no, prim_id, uses, CASE uses WHEN 0 THEN 'orphan' ELSE 'duplicate' END AS state FROM u WHERE uses <> 1")
+def ledger_differences(spark: SparkSession, sf: str) -> DataFrame:
+    """S7.1-S7.3, X.7: what is not consumed exactly once, by digests of documents and pages; balanced documents shuffle no primitive."""
+    key = F.col("l_orderkey") % 9
+    uses = F.when((key == 0) & (F.col("l_returnflag") == "R"), 0).when((key == 4) & (F.col("l_linestatus") == "F"), 2).otherwise(1)
+    prims = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page_no"), F.col("l_partkey").alias("prim_id"), uses.alias("times"))
+    used = prims.withColumn("by", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select("doc_id", "page_no", "prim_id")
+    found = ledger.unbalanced(prims.drop("times"), used, ["doc_id", "page_no"], ["doc_id", "page_no", "prim_id"])
+    return found.select("doc_id", "page_no", "prim_id", "uses", "state")
+
+
+_CURVE = """WITH RECURSIVE p AS (SELECT floor(least(c, 0.9999::DOUBLE) * 50)::INT AS bin, c, y FROM (SELECT l_discount * 5 + (l_orderkey % 100) / 200.0::DOUBLE AS c, CASE WHEN l_partkey % 100 < (l_discount * 500) + l_suppkey % 30 THEN 1 ELSE 0 END AS y FROM lineitem)),
+b AS (SELECT bin, count(*)::DOUBLE AS n, sum(y)::DOUBLE AS s, row_number() OVER (ORDER BY bin) AS i FROM p GROUP BY bin)"""
+
+
+@query(f"""{_CURVE}, m AS (SELECT b.i, b.bin, b.n, (SELECT max(least_) FROM (SELECT x.i AS i, (SELECT min((SELECT sum(s) / sum(n) FROM b z WHERE z.i BETWEEN x.i AND y.i)) FROM b y WHERE y.i >= b.i) AS least_ FROM b x WHERE x.i <= b.i)) AS v FROM b)
+SELECT round(v, 9) AS calibrated, CAST(sum(n) AS BIGINT) AS n, CAST(min(bin) AS BIGINT) AS first_bin FROM m GROUP BY round(v, 9)""")
+def calibrated_confidence(spark: SparkSession, sf: str) -> DataFrame:
+    """X.4, S3.10: the monotone curve of right ones over confidence, which equals the largest of the least means of all runs of bins around each."""
+    c = F.least(F.col("l_discount") * 5 + F.col("l_orderkey") % 100 / 200.0, F.lit(0.9999))
+    y = F.col("l_partkey") % 100 < F.col("l_discount") * 500 + F.col("l_suppkey") % 30
+    curve = audit.isotonic(table(spark, sf, "lineitem"), c, y, 50)
+    return curve.select(F.round("calibrated", 9).alias("calibrated"), "n", F.floor(F.col("low") * 50).alias("first_bin"))
+
+
 @query("""WITH b AS (SELECT l_orderkey AS k, l_linenumber * 3 AS x0, l_linenumber * 3 + (l_quantity % 7)::INT AS x1, l_suppkey % 10 AS top, l_suppkey % 10 + l_partkey % 6 AS bottom FROM lineitem),
 u AS (SELECT k, unnest(range(x0, x1)) AS x, top, bottom FROM b), c AS (SELECT DISTINCT k, x, y FROM (SELECT k, x, unnest(range(top, bottom)) AS y FROM u))
 SELECT o_orderkey AS doc_id, 0 AS page_no, count(x) / 800.0::DOUBLE AS coverage FROM orders LEFT JOIN c ON k = o_orderkey GROUP BY 1""")
