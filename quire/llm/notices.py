@@ -1,4 +1,4 @@
-"""Notices by licence family, as licences and their users word them, and sentences that use such words for other things."""
+"""Notices by licence family, as licences and their users word them, names and identifiers, and sentences that use such words for other things."""
 
 # Texts of public licences.
 TEMPLATES = {
@@ -132,3 +132,31 @@ OTHER = (
     "Die Lizenz wird mit dem Antrag bei der Behörde gestellt.",
     "La licence de pêche est valable pour une saison entière.",
 )
+
+# Names of licences in short notices, and identifiers of the SPDX list, by family.
+NAMES = {
+    "Apache-2.0": ("Apache License 2.0", "Apache 2.0", "Apache-2.0", "Apache License, Version 2.0"),
+    "MIT": ("MIT", "MIT License", "Expat License"),
+    "BSD": ("BSD", "BSD License", "BSD 3-Clause License", "BSD-3-Clause", "BSD 2-Clause License"),
+    "GPL": ("GPL", "GPL v3", "GPL v2", "GPL-3.0", "GNU GPL", "GNU General Public License", "GNU General Public License v3"),
+    "LGPL": ("LGPL", "LGPL v3", "LGPL v2.1", "LGPL-2.1", "GNU LGPL", "GNU Lesser General Public License", "GNU Lesser General Public License v3"),
+    "AGPL": ("AGPL", "AGPL v3", "AGPL-3.0", "GNU AGPL", "GNU Affero General Public License", "GNU Affero General Public License v3"),
+    "MPL": ("MPL", "MPL 2.0", "MPL-2.0", "Mozilla Public License", "Mozilla Public License 2.0"),
+    "CC-BY": ("CC BY 4.0", "CC BY", "Creative Commons Attribution", "Creative Commons Attribution 4.0"),
+    "CC-BY-SA": ("CC BY-SA 4.0", "CC BY-SA", "Creative Commons Attribution-ShareAlike", "Creative Commons Attribution-ShareAlike 4.0"),
+    "CC-BY-NC": ("CC BY-NC 4.0", "CC BY-NC", "Creative Commons Attribution-NonCommercial", "Creative Commons Attribution-NonCommercial 4.0"),
+    "CC0": ("CC0", "CC0 1.0"),
+}
+IDENTIFIERS = {
+    "Apache-2.0": ("Apache-2.0",), "MIT": ("MIT", "MIT-0"), "BSD": ("BSD-2-Clause", "BSD-3-Clause", "0BSD"), "GPL": ("GPL-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0", "GPL-3.0-only", "GPL-3.0-or-later"),
+    "LGPL": ("LGPL-2.1", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0", "LGPL-3.0-only", "LGPL-3.0-or-later"), "AGPL": ("AGPL-3.0", "AGPL-3.0-only", "AGPL-3.0-or-later"), "MPL": ("MPL-1.1", "MPL-2.0"),
+    "CC-BY": ("CC-BY-3.0", "CC-BY-4.0"), "CC-BY-SA": ("CC-BY-SA-3.0", "CC-BY-SA-4.0"), "CC-BY-NC": ("CC-BY-NC-3.0", "CC-BY-NC-4.0"), "CC0": ("CC0-1.0",),
+}
+#: Words that tell licences apart: a notice that has one of them is not confirmed by a text without it.
+MARKS = ("mit", "expat", "apache", "bsd", "gpl", "gnu", "lgpl", "lesser", "agpl", "affero", "mpl", "mozilla", "cc", "by", "sa", "nc", "creative", "commons", "attribution", "sharealike", "noncommercial", "cc0")
+#: Short notices, in which a name stands for {}.
+WORDINGS = (
+    "This package is licensed under the {}.", "This program is {} licensed.", "License: {}", "Distributed under the {}; see the LICENSE file.", "Released under the terms of the {}.", "The code is available under the {}.",
+    "Licensed under {} or later.", "{} licensed.", "You may use this work under the {}.", "Source code is under the {} license.", "All files are covered by the {}.", "Published under {}.",
+)
+SHORT = {family: tuple(w.format(n) for w in WORDINGS for n in names) for family, names in NAMES.items()}

@@ -4,8 +4,8 @@ import textwrap
 
 import pytest
 
-from quire.llm.licences import BRIEF, HALF, SHARED, SURE, examples, op10_licences, scan, train
-from quire.llm.notices import OTHER, TEMPLATES
+from quire.llm.licences import BRIEF, GATE, HALF, NAME, SHARED, SURE, examples, op10_licences, scan, train
+from quire.llm.notices import MARKS, NAMES, OTHER, SHORT, TEMPLATES, WORDINGS
 
 SF = "/root/testdata/sf0.01"
 
@@ -15,9 +15,14 @@ def model(spark):
     return train(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
 
 
+def words(passage):
+    text = re.sub("((?:gp|mp)l)v(?=[0-9])", r"\1 v", re.sub("licen[cs]e", "license", passage.lower()))
+    return re.findall(r"cc0|[^\W\d_]+|\d+", text)
+
+
 def grams(passage):
-    words = re.findall(r"[^\W_]+", passage.lower())
-    return {*words, *(" ".join(p) for p in zip(words, words[1:], strict=False))}
+    own = words(passage)
+    return {*own, *(" ".join(p) for p in zip(own, own[1:], strict=False))}
 
 
 def paragraphs(text):
@@ -40,11 +45,22 @@ def plain(model, passage):
     if not own & set(model.grams):
         return None
     z = [b + sum(model.grams[g][k] for g in own & set(model.grams)) for k, b in enumerate(model.intercept)]
-    best = max(range(1, len(z)), key=lambda k: z[k])
-    p = 1 / (1 + math.exp(-(model.slope * (z[best] - z[0]) + model.offset)))
-    shares = [(len(grams(t) & own) / len(grams(t)), len(grams(t))) for t in TEMPLATES[model.families[best]]]
-    share = max(s / 2 if n < BRIEF and s < 1 else s for s, n in shares)
-    return (model.families[best], p, share) if p >= 0.5 and (share >= SHARED or p >= SURE and share >= HALF) else None
+    p = 1 / (1 + math.exp(-(model.slope * (max(z[1:]) - z[0]) + model.offset)))
+    best = (0.0, 0.0, "")
+    for family, forms in [*TEMPLATES.items(), *SHORT.items()]:
+        for form in map(grams, forms):
+            share, pairs = len(form & own) / len(form), [g for g in form if " " in g]
+            both, all_ = (sum(" " in g for g in x) for x in (form & own, own))
+            part = min(len(form & own) / max(1, len(own)), both / all_ if all_ else 1.0) if {*MARKS} & form else 0.0
+            share = 0.0 if {*MARKS} & form - own else max(part, share / 2 if len(form) < BRIEF and share < 1 else share)
+            best = max(best, (share, max(part, len({*pairs} & own) / len(pairs) if pairs else 1.0), family))
+    for family, names in NAMES.items():
+        for form in map(grams, names):
+            if form <= own:
+                share = NAME + len(form) / 1_000
+                best = max(best, (share, max(share, 1.0), family))
+    share, pairs, family = best
+    return (family, p, share) if p >= GATE and pairs >= HALF and (share >= SHARED or p >= SURE and share >= HALF) else None
 
 
 def scanned(spark, model, texts):
@@ -62,13 +78,29 @@ def test_whole_notices_are_kept_for_the_calibration(spark):
     assert not any(t in r.passage for r in corpus for ts in TEMPLATES.values() for t in ts)
 
 
-def test_notices_kept_from_learning_are_found(spark, model):
+def test_notices_kept_from_learning_and_comparison_are_found(spark, model):
     held = [(f, t) for f, ts in TEMPLATES.items() for k, t in enumerate(ts) if k % 4 == 3]
-    got = scanned(spark, model, [t for _, t in held])
-    assert sum(k in got and got[k].family == f for k, (f, _) in enumerate(held)) >= 0.6 * len(held)
+    held += [(f, t) for f, ts in SHORT.items() for k, t in enumerate(ts) if k // (len(ts) // len(WORDINGS)) % 4 == 3]
+    texts = spark.createDataFrame(list(enumerate(t for _, t in held)), "doc_id long, text string")
+    got = {r.doc_id: r.family for r in scan(texts, model, all_=False).collect()}
+    right = sum(got.get(k) == f for k, (f, _) in enumerate(held))
+    assert right >= 0.9 * len(held), [(h, got.get(k)) for k, h in enumerate(held) if got.get(k) != h[0]]
     all_ = [(f, t) for f, ts in TEMPLATES.items() for t in ts]
     got = scanned(spark, model, [t for _, t in all_])
-    assert sum(k in got and got[k].family == f for k, (f, _) in enumerate(all_)) >= 0.85 * len(all_)
+    missed = [t for k, (f, t) in enumerate(all_) if k not in got or got[k].family != f]
+    assert len(missed) <= 1 and not [r for k, r in got.items() if r.family != all_[k][0]], missed
+
+
+def test_short_notices_in_words_never_seen(spark, model):
+    texts = {
+        "This package is MIT licensed.": "MIT", "License: Apache-2.0": "Apache-2.0", "Licensed under GPLv3 or later.": "GPL", "Licensed under the GNU GPL v3.": "GPL", "SPDX-License-Identifier: MIT": "MIT", "// SPDX-License-Identifier: (LGPL-2.1-or-later OR MIT)": "LGPL",
+        "Our library is made available under the Mozilla Public License 2.0.": "MPL", "The text of this page is licensed under CC BY-SA 4.0.": "CC-BY-SA", "Images: CC BY-NC 4.0 license.": "CC-BY-NC", "The tool is distributed under the AGPLv3 licence.": "AGPL",
+        "Code in this folder is under the BSD 3-Clause License.": "BSD", "The data is released under CC0.": "CC0", "Licenced under the LGPL v2.1.": "LGPL", "This repository is licensed under the Apache License 2.0.": "Apache-2.0", "All scripts are MIT licensed, see LICENSE.": "MIT", "Available under the GNU Affero General Public License v3.": "AGPL",
+    }
+    got = scanned(spark, model, texts)
+    wrong = {t: got[k].family if k in got else None for k, (t, f) in enumerate(texts.items()) if k not in got or got[k].family != f}
+    assert len(wrong) <= 2, wrong  # MIT as one word of a short sentence, which German has too
+    assert got[3].family == "GPL" and got[3].confirmed
 
 
 def test_notices_in_other_words_and_wrapped(spark, model):
@@ -95,12 +127,14 @@ def test_other_uses_of_such_words_are_unknown(spark, model):
         "The committee met on Monday.\nA driving license is needed.\nGeneral remarks on the public version.\nDer Zug mit dem Ziel kommt mit und ohne Halt.",
         "The library closed its doors; the license was granted to the owner of the bar in public.",
         "He said all rights to the film were reserved by the studio.",
+        "The Apache helicopter, version 2.0, was shown to the public.",
+        "This package is licensed under the Artistic Bakery Terms.",
         "The committee released the report to the public under law.",
         " ".join(sorted(TEMPLATES["MIT"][1].lower().split()))[:60],
         *OTHER,
     ]
     assert scanned(spark, model, texts) == {}
-    assert 20 < len(model.grams) < 1_000
+    assert 20 < len(model.grams) < 2_000
 
 
 def test_odd_rows(spark, model):
