@@ -18,8 +18,9 @@ SEED = 42
 LARGE = 32
 #: Node pairs that wait on the stack of a task are cut into pieces of so many.
 PIECE = 1 << 18
-#: Trie nodes with more distinct fingerprints are dealt out as pairs of their children HOT_BITS below.
-HOT_NODE = 1_000_000
+#: Trie nodes with more distinct fingerprints are dealt out as pairs of their children HOT_BITS below; those with over 2 ** HOT_BITS times as many,
+#: of their children twice as far below.
+HOT_NODE = 50_000
 HOT_BITS = 4
 #: A pair of children is kept as smaller * PAIR + larger.
 PAIR = 256
@@ -162,7 +163,7 @@ def links(prints: DataFrame, budget: int = 4, hot_node: int = HOT_NODE) -> DataF
     size of the input. Below such a node, pairs of nodes are walked together, differing bits add up, and a pair
     over the budget is pruned; so is one whose leaves are all linked already, as the links returned have to
     span every group, not to list its pairs. A node with over `hot_node` fingerprints is dealt out as pairs of
-    its children. Null fingerprints are ignored; an empty table gives no links.
+    nodes below it, four bits or, for a larger one, eight bits further down. Null fingerprints are ignored; an empty table gives no links.
     """
     blocks = _blocks(budget)
     turned = [
@@ -171,11 +172,14 @@ def links(prints: DataFrame, budget: int = 4, hot_node: int = HOT_NODE) -> DataF
     ]
     rows = prints.filter("fp is not null").select(F.explode(F.array(*turned)).alias("x")).select("x.*")
     rows = rows.withColumn("node", F.expr(f"k * {1 << 32}L + shiftrightunsigned(key, {BITS} - w)"))
-    hot = stored(rows.groupBy("node").count().filter(F.col("count") > hot_node).select("node", F.lit(True).alias("hot")), "hot")
-    rows = rows.join(small(hot), "node", "left").withColumn("child", F.expr(f"cast(shiftrightunsigned(key, {BITS - HOT_BITS} - w) % {1 << HOT_BITS} as int)"))
-    pairs = F.expr(f"""transform(filter(sequence(0, {(1 << HOT_BITS) - 1}), o -> bit_count(o ^ child) <= {budget}),
+    many = F.col("count")
+    hot = rows.groupBy("node").count().filter(many > hot_node).select("node", F.when(many > (hot_node << HOT_BITS), 2 * HOT_BITS).otherwise(HOT_BITS).alias("bits"))
+    hot = stored(hot, "hot")
+    rows = rows.join(small(hot), "node", "left").withColumn("bits", F.coalesce("bits", F.lit(0)))
+    rows = rows.withColumn("child", F.expr(f"cast(shiftrightunsigned(key, {BITS} - w - bits) % shiftleft(1, bits) as int)"))
+    pairs = F.expr(f"""transform(filter(sequence(0, shiftleft(1, bits) - 1), o -> bit_count(o ^ child) <= {budget}),
                        o -> least(o, child) * {PAIR} + greatest(o, child))""")
-    rows = rows.select("k", "node", "key", F.expr(f"w + if(hot, {HOT_BITS}, 0)").alias("depth"), F.explode(F.when(F.col("hot"), pairs).otherwise(F.array(F.lit(0)))).alias("pair"))
+    rows = rows.select("k", "node", "key", F.expr("w + bits").alias("depth"), F.explode(pairs).alias("pair"))
     shift = np.array([s for s, _ in blocks], np.uint64)
 
     def spanning(rows: pd.DataFrame) -> pd.DataFrame:

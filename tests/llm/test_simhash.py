@@ -51,7 +51,7 @@ def test_components_of_a_long_chain(spark):
     assert components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
-@pytest.mark.parametrize("hot_node", [1_000_000, 50])
+@pytest.mark.parametrize("hot_node", [1_000_000, 50, 1])
 def test_links_against_all_pairs(spark, hot_node):
     rnd = random.Random(3)
     seeds = [rnd.getrandbits(64) for _ in range(40)]
