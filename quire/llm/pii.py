@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import unicodedata
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,8 +16,8 @@ KEY = "not-a-secret"
 SHAPES = {
     "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]++@[\p{L}\p{M}\p{N}-]++(?:\.[\p{L}\p{M}\p{N}-]++)++",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
-    "secret": r"(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)",
-    "ip": r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
+    "secret": r"[0-9A-Fa-f]{32,}+",
+    "ip": r"(?<![0-9]\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
     "date": r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}[/.][0-9]{1,2}[/.][0-9]{4})",
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
     "phone": r"(?:\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})",
@@ -30,8 +32,29 @@ EARLY, LATE = (12, 1, 160, 180), (19, 13, 200, 228)
 WALK = 24
 #: Draws that a digest yields.
 DRAWS = 25
-#: Code points that are permuted among themselves: digits, Latin, Cyrillic, Han, Hangul. Others keep to their aligned block of 16.
-ALPHABETS = ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x410, 0x42F), (0x430, 0x44F), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+def _runs() -> list[tuple[int, int]]:
+    """Code points that are permuted among themselves: runs of letters, or of digits, in a row, as Unicode 3.2 has them, which every later version
+    keeps. Capitals and small letters keep apart, but where they alternate."""
+    kind = {"Lu": "Lu", "Ll": "Ll", "Lo": "Lo", "Nd": "Nd"}
+    runs: list[list] = []  # kind, first, last
+    for c in range(0x10000):
+        own = kind.get(unicodedata.ucd_3_2_0.category(chr(c)))
+        if own and unicodedata.category(chr(c))[0] == own[0]:  # a few have become marks since
+            if runs and runs[-1][0] == own and runs[-1][2] == c - 1 and (own != "Nd" or c - runs[-1][1] < 10):
+                runs[-1][2] = c
+            else:
+                runs.append([own, c, c])
+    out: list[list] = []
+    for own, first, last in runs:
+        short = own != "Nd" and last - first < 7
+        if short and out and out[-1][3] and out[-1][2] == first - 1:
+            out[-1][2] = last
+        else:
+            out.append([own, first, last, short])
+    return [(first, last) for _, first, last, _ in out if last > first]
+
+
+RUNS = _runs()
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -92,13 +115,13 @@ _HEX = "0123456789abcdef"
 
 
 def _by_class(text: Column, tweak: Column, key: str) -> Column:
-    """Letters, digits and marks beyond ASCII permuted within their alphabet or block; ASCII marks stay. Any length, any script."""
+    """Letters and digits permuted within their alphabet, whatever the script; marks stay, and letters that came after Unicode 3.2. Any length."""
+    ascii_, others = (F.from_json(F.lit(json.dumps([{"a": a, "b": b} for a, b in RUNS if (a < 128) == low])), "array<struct<a:int,b:int>>") for low in (True, False))
 
     def place(c: Column) -> Column:
-        base, many = F.when(c < 128, c).otherwise(c - c % 16), F.when(c < 128, 1).otherwise(16)
-        for low, high in reversed(ALPHABETS):
-            own = c.between(low, high)
-            base, many = F.when(own, low).otherwise(base), F.when(own, high - low + 1).otherwise(many)
+        of = lambda own: F.get(F.filter(own, lambda r: c.between(r["a"], r["b"])), 0)
+        run = F.when(c < 128, of(ascii_)).otherwise(of(others))
+        base, many = F.coalesce(run["a"], c), F.coalesce(run["b"] - run["a"] + 1, F.lit(1))
         return F.struct((c - base).cast("long").alias("v"), many.cast("long").alias("r"), base.alias("base"))
 
     def moved(places: Column) -> Column:
@@ -113,7 +136,12 @@ def _by_class(text: Column, tweak: Column, key: str) -> Column:
 def _hex(shown: Column, key: str) -> Column:
     new = permuted(F.transform(_chars(shown), lambda c: F.instr(F.lit(_HEX), F.lower(c)).cast("long") - 1), F.transform(_chars(shown), lambda c: F.lit(16).cast("long")), F.lit("secret"), key)
     low = F.array_join(F.transform(new, lambda v: F.substr(F.lit(_HEX), v.cast("int") + 1, F.lit(1))), "")
-    return F.when(shown.rlike("[A-F]"), F.upper(low)).otherwise(low)
+    # where both cases occur, digits, small letters and capitals are permuted among themselves, each a place of its own radix
+    place = F.transform(_chars(shown), lambda c: F.struct((F.instr(F.lit("0123456789abcdefABCDEF"), c) - 1).alias("at")))
+    place = F.transform(place, lambda p: F.when(p["at"] < 10, F.struct(p["at"].alias("v"), F.lit(10).alias("r"), F.lit(0).alias("from"))).when(p["at"] < 16, F.struct((p["at"] - 10).alias("v"), F.lit(6).alias("r"), F.lit(10).alias("from"))).otherwise(F.struct((p["at"] - 16).alias("v"), F.lit(6).alias("r"), F.lit(16).alias("from"))))
+    each = lambda c: F.transform(place, lambda p: p[c].cast("long"))
+    mixed = F.array_join(F.zip_with(permuted(each("v"), each("r"), F.lit("mixed secret"), key), each("from"), lambda v, a: F.substr(F.lit("0123456789abcdefABCDEF"), (v + a + 1).cast("int"), F.lit(1))), "")
+    return F.when(shown.rlike("[A-F]") & shown.rlike("[a-f]"), mixed).when(shown.rlike("[A-F]"), F.upper(low)).otherwise(low)
 
 
 def _luhn_digit(payload: Column) -> Column:
@@ -222,9 +250,11 @@ def _iban(shown: Column, key: str) -> Column:
 
 
 def _email(shown: Column, key: str) -> Column:
-    """The name is permuted; the domain stays readable, as it rarely tells who someone is."""
+    """The name is permuted; the domain stays readable, as it rarely tells who someone is. Names of one to three characters have a permutation for each domain."""
     name = F.substring_index(shown, "@", 1)
-    return F.concat(_by_class(name, F.lit("email"), key), F.substr(shown, F.length(name) + 1))
+    domain = F.substr(shown, F.length(name) + 1)
+    tweak = F.when(F.length(name) > 3, "email").otherwise(F.concat(F.lit("email"), F.lower(domain)))
+    return F.concat(_by_class(name, tweak, key), domain)
 
 
 _MAKERS = {"email": _email, "iban": _iban, "secret": _hex, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
@@ -251,7 +281,7 @@ def pseudonymised(docs: DataFrame, key: str = KEY, count: str | None = None) ->
     shown = F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
     parts = F.transform(F.array(shown), lambda m: F.struct(F.split(text, PATTERN, -1).alias("between"), m.alias("shown"), F.transform(m, lambda x: pseudonym(x, key)).alias("new")))
     # an explode of one row: the parts are made once, though used several times below
-    rows = docs.withColumn("part__", F.explode(F.array(F.when(text.rlike("[0-9@]|[a-f]{32}|[A-F]{32}"), F.get(parts, 0)))))
+    rows = docs.withColumn("part__", F.explode(F.array(F.when(text.rlike("[0-9@]|[A-Fa-f]{32}"), F.get(parts, 0)))))
     new = F.array_join(F.zip_with("part__.between", "part__.new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
     if count:
         changed = F.filter(F.zip_with("part__.shown", "part__.new", lambda a, b: a != b), lambda c: c)

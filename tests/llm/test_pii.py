@@ -2,11 +2,12 @@ import datetime
 import hashlib
 import random
 import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
 
-from quire.llm.pii import KEY, op2_pii, permuted, pseudonymised
+from quire.llm.pii import KEY, RUNS, op2_pii, permuted, pseudonymised
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,24 +75,39 @@ def test_every_kind_keeps_its_format_and_links(spark):
     assert masked(spark, ["4929963689861572"], "other")[0][0] != new["4929963689861572"]
 
 
-ALPHABETS = ((0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x410, 0x42F), (0x430, 0x44F), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3))
+def plain_name(name, back=False, domain="@example.org"):
+    at = [next((r for r in RUNS if r[0] <= ord(c) <= r[1]), (ord(c), ord(c))) for c in name]
+    new = plain([ord(c) - low for c, (low, _) in zip(name, at, strict=True)], [high - low + 1 for low, high in at], "email" if len(name) > 3 else f"email{domain}", back)
+    return "".join(chr(low + v) for v, (low, _) in zip(new, at, strict=True))
 
 
-def plain_name(name, back=False):
-    at = [next((r for r in ALPHABETS if r[0] <= ord(c) <= r[1]), (ord(c), ord(c)) if ord(c) < 128 else (ord(c) // 16 * 16, ord(c) // 16 * 16 + 15)) for c in name]
-    new = plain([ord(c) - low for c, (low, _) in zip(name, at, strict=True)], [high - low + 1 for low, high in at], "email", back)
-    return "".join(chr(low + v) for v, (low, _) in zip(new, at, strict=True))
+def test_runs_are_letters_or_digits_of_one_script(spark):
+    assert len({c for a, b in RUNS for c in range(a, b + 1)}) == sum(b - a + 1 for a, b in RUNS)
+    for a, b in RUNS:
+        kinds = {unicodedata.category(chr(c))[0] for c in range(a, b + 1)}
+        assert len(kinds) == 1 and kinds <= {"L", "N"}
+    assert (0x5D0, 0x5EA) in RUNS and (0xFF10, 0xFF19) in RUNS and (0x660, 0x669) in RUNS and any(a <= 0x3B1 and b >= 0x3C9 for a, b in RUNS)
 
 
 def test_names_and_secrets_of_any_length_and_script(spark):
-    names = ["иван.петров", "李雷", "김철수", "jürgen.müller", "γιώργος", "वि.के", "a" * 10_000, "x9" * 80, "😀a".replace("😀", "𝒜")]
+    names = ["иван.петров", "李雷", "김철수", "jürgen.müller", "γιώργος", "वि.के", "a" * 10_000, "x9" * 80, "𝒜a", "יוסף", "５１２３", "ａｂｃ", "محمد٣", "ひらカタ", "x", "y", "Łukasz"]
     secrets = ["0123456789abcdef" * 8, "a" * 65, "F" * 500]
     got = masked(spark, [f"{n}@example.org" for n in names] + secrets)
-    for n, (new, count) in zip(names, got, strict=False):
-        assert count == 1 and new == f"{plain_name(n)}@example.org" and plain_name(new[: -len("@example.org")], back=True) == n
+    again = masked(spark, [t for t, _ in got])
+    for n, (new, count), (_, found) in zip(names, got, again, strict=False):
+        assert count == found == 1 and new == f"{plain_name(n)}@example.org" and plain_name(new[: -len("@example.org")], back=True) == n
+        assert [unicodedata.category(c)[0] for c in new] == [unicodedata.category(c)[0] for c in f"{n}@example.org"]
     for s, (new, count) in zip(secrets, got[len(names) :], strict=True):
         half = plain([int(c, 16) for c in s], [16] * len(s), "secret")
         assert count == 1 and new.lower() == "".join(f"{v:x}" for v in half) and new.isupper() == s.isupper()
+    mixed = "0aF9" * 10
+    (new, count), (dotted, none) = masked(spark, [mixed, "1.2.3.4.5 and 1.2.3.4."])
+    letters = "0123456789abcdefABCDEF"
+    of = lambda c: (0, 10) if c.isdigit() else (10, 6) if c.islower() else (16, 6)
+    back = plain([letters.index(c) - of(c)[0] for c in new], [of(c)[1] for c in new], "mixed secret", back=True)
+    assert count == 1 and new != mixed and "".join(letters[of(c)[0] + v] for c, v in zip(new, back, strict=True)) == mixed
+    assert none == 1 and dotted.startswith("1.2.3.4.5 and ")
+    assert len({new[0] for new, _ in masked(spark, [f"x@{d}.org" for d in "abcde"])}) > 1
     long = got[6][0][:10_000]
     assert all(long[k : k + 60] not in long[k + 1 :] for k in range(0, 9_000, 500))  # no period
 
