@@ -17,8 +17,8 @@ BUCKET_ROWS = 20_000
 SEED = 11
 #: Units of each size class, a power of two of words, that the last flight leaves to the landing.
 LADDER = 32
-#: Share of a source's words that its landing may miss; beyond it, the last units (so many) end where the words come nearest.
-MISS, LAST = 0.002, 12
+#: Units that are landed together, by a linear programme over all of their ends.
+LAST = 12
 #: A row that is repeated more often than this is repeated by several tasks.
 BLOCK = 10_000
 _TINY = 1e-9
@@ -96,19 +96,41 @@ def _fly(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.ndarr
     return np.array(values)
 
 
+def _ends(p: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ends (rows of 0 and 1) and their chances, so that each unit keeps its expectation and the expected miss of words is the least there is.
+
+    A linear programme over all ends of a few units, by the simplex method. It starts from ends that contain one another, from none to all
+    units in the order of their chances, whose chances are the steps from one to the next.
+    """
+    n = len(p)
+    ends = (np.arange(1 << n)[:, None] >> np.arange(n)) & 1
+    rows = np.vstack([ends.T, np.ones(1 << n)]).astype(float)
+    cost, wanted = np.abs((ends - p) @ size) / max(1.0, size.sum()), np.append(p, 1.0)
+    order = np.argsort(-p, kind="stable")
+    basis = np.append(0, np.cumsum(1 << order))
+    for turn in range(5_000):
+        chances = np.linalg.solve(rows[:, basis], wanted)
+        less = cost - np.linalg.solve(rows[:, basis].T, cost[basis]) @ rows
+        # the steepest first; later the first of all, which cannot go round in circles
+        new = int(np.argmin(less)) if turn < 500 else int(np.argmax(less < -1e-9))
+        if less[new] >= -1e-9:
+            break
+        step = np.linalg.solve(rows[:, basis], rows[:, new])
+        room = np.where(step > 1e-9, np.maximum(chances, 0.0) / np.where(step > 1e-9, step, 1.0), np.inf)
+        basis[np.lexsort((basis, room))[0]] = new
+    chances = np.maximum(np.linalg.solve(rows[:, basis], wanted), 0.0)
+    return ends[basis], chances / chances.sum()
+
+
 def _land(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.ndarray:
     """Landing of the few fractional units left: the total of documents is given up, that of words kept as long as it can be.
 
     The largest unit moves against all others, each in proportion to its variance, along a line that keeps the words, until one of
-    them is whole; a last unit is drawn. Smaller units take up what larger ones need, so the last one is small. Each unit keeps its
-    expectation, but for sources with too few small units for that: where the words would miss theirs by more than MISS,
-    the end of the LAST units that comes nearest is taken instead.
+    them is whole; smaller units take up what larger ones need. The LAST units end together, as _ends() says. Each unit keeps its
+    expectation, whatever the source's size.
     """
     out = p.copy()
-    before = None
-    while len(left := np.flatnonzero((out > 0) & (out < 1))) > 1:
-        if len(left) <= LAST and before is None:
-            before = out.copy()
+    while len(left := np.flatnonzero((out > 0) & (out < 1))) > LAST:
         big = left[np.argmax(size[left])]
         rest = left[left != big]
         spread = out[rest] * (1 - out[rest]) * (0.5 + draw.random(len(rest)))  # at random, lest units of equal chances end together
@@ -116,8 +138,8 @@ def _land(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.ndar
             rest, u = rest[:1], np.array([1.0, -1.0])
         elif spread @ size[rest] > 0:
             u = np.append(1.0, -size[big] * spread / (spread @ size[rest]))
-        else:
-            break  # the others have no words
+        else:  # the others have no words
+            rest, u = rest[:0], np.array([1.0])
         moved = np.append(big, rest)
         room_up, room_down = np.where(u > 0, 1 - out[moved], out[moved]), np.where(u > 0, out[moved], 1 - out[moved])
         some = u != 0
@@ -128,13 +150,9 @@ def _land(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np.ndar
             k = int(np.argmin(np.minimum(x, 1 - x)))
             x[k] = round(x[k])
         out[moved] = x
-    for i in np.flatnonzero((out > 0) & (out < 1)):
-        out[i] = float(draw.random() < out[i])
-    if before is not None and abs((out - p) @ size) > MISS * (p @ size):
-        out, left = before, np.flatnonzero((before > 0) & (before < 1))
-        ends = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
-        missed = np.abs(ends @ size[left] - (p @ size - np.where((out > 0) & (out < 1), 0, out) @ size))
-        out[left] = ends[int(np.argmin(missed))]
+    if len(left):
+        ends, chances = _ends(out[left], size[left].astype(float))
+        out[left] = ends[int(np.searchsorted(np.cumsum(chances), draw.random() * (1 - 1e-12), "right"))]
     return out
 
 
