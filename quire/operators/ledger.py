@@ -61,7 +61,7 @@ def _unequal(mine: DataFrame, other: DataFrame, by: list[str]) -> DataFrame:
 def unbalanced(prims: DataFrame, consumption: DataFrame, levels: list[str], keys: list[str]) -> DataFrame:
     """Rows of conservation() that are not consumed exactly once, found from the whole to the part.
 
-    `levels`, from the outermost (doc_id, then page_no, ...), are columns of both sides and keys of a primitive. Digests are made for the
+    `levels`, from the outermost (doc_id, then page_no, ...), are columns of both sides and keys of a primitive; keys are unique among primitives. Digests are made for the
     innermost groups only, in one pass over each side, and merged outwards; only outer groups that differ have their inner ones compared, and only
     rows of inner groups that differ are joined by primitive. Clean documents shuffle one row of digests for each inner group and no primitive.
     Consumption of what is no primitive is returned too, with state `unknown`. Groups of a null level are groups like any other.

@@ -373,15 +373,16 @@ def ledger_kinds(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.conservation(prims, used, ["doc_id", "prim_id"]).select("doc_id", "kind", "uses", "state")
 
 
-_CONSUMED = """WITH u AS (SELECT l_orderkey AS doc_id, l_linenumber AS page_no, l_partkey AS prim_id, CASE WHEN l_orderkey % 9 = 0 AND l_returnflag = 'R' THEN 0 WHEN l_orderkey % 9 = 4 AND l_linestatus = 'F' THEN 2 ELSE 1 END AS uses FROM lineitem)"""
+_CONSUMED = """WITH u AS (SELECT l_orderkey AS doc_id, l_linenumber AS page_no, l_partkey AS prim_id, CASE WHEN l_orderkey % 9 = 0 AND max(l_returnflag) = 'R' THEN 0 WHEN l_orderkey % 9 = 4 AND max(l_linestatus) = 'F' THEN 2 ELSE 1 END AS uses FROM lineitem GROUP BY 1, 2, 3)"""
 
 
 @query(f"{_CONSUMED} SELECT doc_id, page_no, prim_id, uses, CASE uses WHEN 0 THEN 'orphan' ELSE 'duplicate' END AS state FROM u WHERE uses <> 1")
 def ledger_differences(spark: SparkSession, sf: str) -> DataFrame:
     """S7.1-S7.3, X.7: what is not consumed exactly once, by digests of documents and pages; balanced documents shuffle no primitive."""
     key = F.col("l_orderkey") % 9
-    uses = F.when((key == 0) & (F.col("l_returnflag") == "R"), 0).when((key == 4) & (F.col("l_linestatus") == "F"), 2).otherwise(1)
-    prims = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page_no"), F.col("l_partkey").alias("prim_id"), uses.alias("times"))
+    uses = F.when((key == 0) & (F.col("flag") == "R"), 0).when((key == 4) & (F.col("status") == "F"), 2).otherwise(1)
+    items = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber", "l_partkey").agg(F.max("l_returnflag").alias("flag"), F.max("l_linestatus").alias("status"))
+    prims = items.select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page_no"), F.col("l_partkey").alias("prim_id"), uses.alias("times"))
     used = prims.withColumn("by", F.explode(F.array_repeat(F.lit(1), F.col("times")))).select("doc_id", "page_no", "prim_id")
     found = ledger.unbalanced(prims.drop("times"), used, ["doc_id", "page_no"], ["doc_id", "page_no", "prim_id"])
     return found.select("doc_id", "page_no", "prim_id", "uses", "state")
