@@ -11,6 +11,7 @@ from quire.operators import audit, blocks, escalation, formula, health, ledger,
 from quire.operators.latex import parses
 from quire.plans.catalog import query
 from quire.session import scratch, table
+from quire.sources import archives
 
 _O = "o AS (SELECT o_orderkey AS k, o_custkey AS c, o_orderpriority AS p FROM orders)"
 
@@ -103,6 +104,17 @@ def primitive_store(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "prim_id", F.round(F.col("colour")[1], 9).alias("green"), "x0", "x1", "top", "bottom", "store_version")
 
 
+@query("""SELECT l_suppkey::VARCHAR AS doc_id, l_linenumber AS page_no, count(*) AS n, CAST(sum(l_partkey) AS BIGINT) AS parts FROM lineitem WHERE l_linenumber IN (2, 3) GROUP BY ALL""")
+def archive_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """S0.1, S1.6: every supplier's items as an archive with a member for each page; two pages of each are read back by a pushed filter."""
+    one = F.lit(0.0)
+    prims = table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("doc_id"), F.col("l_linenumber").cast("int").alias("page_no"), F.col("l_partkey").alias("prim_id"), F.lit("char").alias("kind"), F.lit("x").alias("ch"), *[one.alias(c) for c in ("x0", "top", "x1", "bottom")])
+    path = scratch(spark, "archives")
+    archives.write_archives(prims, path, folders=64)
+    found = archives.read_archives(spark, path).filter("page_no in (2, 3)")
+    return found.groupBy("doc_id", "page_no").agg(F.count("*").alias("n"), F.sum("prim_id").alias("parts"))
+
+
 # S2: seeds, zones, columns
 
 _SEEDED = f"""WITH {_O}, ch AS (SELECT k, i, CASE WHEN (k + i) % 5 = 0 THEN 'CMMI10' ELSE 'Times' END AS font, CASE WHEN (k + i) % 7 = 0 THEN '∑' ELSE 'a' END AS ch, i * 10::DOUBLE AS x0, (k * (i + 1) % 5) * 20::DOUBLE AS top FROM o, (SELECT unnest([0, 1, 2, 3, 4, 5]) AS i)),

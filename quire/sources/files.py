@@ -28,28 +28,32 @@ def write_questions(questions: DataFrame, path: str) -> None:
 
 
 def write_html(documents: DataFrame, path: str, folders: int = FOLDERS) -> None:
-    """doc_id, html -> one file for each document, `path`/<folder>/<doc_id>.html, in `folders` folders by a hash of the id.
+    """doc_id, html -> one file for each document, `path`/<folder>/<doc_id>.html; see write_files(). A null html is an empty file."""
+    write_files(documents.select("doc_id", F.coalesce("html", F.lit("")).cast("binary").alias("content")), path, "html", folders)
+
+
+def write_files(documents: DataFrame, path: str, extension: str, folders: int = FOLDERS) -> None:
+    """doc_id, content (binary) -> one file for each document, `path`/<folder>/<doc_id>.<extension>, in `folders` folders by a hash of the id.
 
     Each folder is written by one task, to a place of its own, and moved where it belongs when all tasks are done; a job that fails
     leaves nothing. A folder that was there before is replaced, so a second run of the same documents gives the same files. Of repeated
-    ids the first html in code-point order stays; null ids are left out, a null html is an empty file.
+    ids the first content in byte order stays; null ids are left out.
     """
-    spark = documents.sparkSession
-    spark.dataSource.register(HtmlFiles)
+    documents.sparkSession.dataSource.register(DocumentFiles)
     name = F.col("doc_id").cast("string")
-    rows = documents.filter("doc_id is not null").select(F.format_string("%04x", F.pmod(F.xxhash64(name), F.lit(folders)).cast("int")).alias("folder"), name.alias("name"), F.coalesce("html", F.lit("")).alias("html"))
-    rows.repartition("folder").sortWithinPartitions("folder", "name", "html").write.format("html_files").mode("append").save(path)
+    rows = documents.filter("doc_id is not null").select(F.format_string("%04x", F.pmod(F.xxhash64(name), F.lit(folders)).cast("int")).alias("folder"), name.alias("name"), "content")
+    rows.repartition("folder").sortWithinPartitions("folder", "name", "content").write.format("document_files").option("extension", extension).mode("append").save(path)
 
 
-class HtmlFiles(DataSource):
-    """Sink of rows (folder, name, html), sorted by these and each folder in one task."""
+class DocumentFiles(DataSource):
+    """Sink of rows (folder, name, content), sorted by these and each folder in one task."""
 
     @classmethod
     def name(cls) -> str:
-        return "html_files"
+        return "document_files"
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
-        return _HtmlWriter(self.options["path"])
+        return _FileWriter(self.options["path"], self.options["extension"])
 
 
 @dataclass
@@ -58,11 +62,11 @@ class _Written(WriterCommitMessage):
     folders: list[str]
 
 
-class _HtmlWriter(DataSourceWriter):
+class _FileWriter(DataSourceWriter):
     """Tasks write below a folder of the job; commit() moves whole folders, whose number is bounded, and abort() deletes the job's."""
 
-    def __init__(self, path: str):
-        self.path, self.job = path, f"_job-{uuid.uuid4().hex}"
+    def __init__(self, path: str, extension: str):
+        self.path, self.extension, self.job = path, extension, f"_job-{uuid.uuid4().hex}"
 
     def _at(self) -> tuple[FileSystem, str]:
         return FileSystem.from_uri(self.path if "://" in self.path else self.path.removeprefix("file:"))
@@ -75,8 +79,8 @@ class _HtmlWriter(DataSourceWriter):
                 folders.append(r.folder)
                 files.create_dir(f"{root}/{place}/{r.folder}", recursive=True)
             if (r.folder, r.name) != last:
-                with files.open_output_stream(f"{root}/{place}/{r.folder}/{quote(r.name, safe='')}.html") as out:
-                    out.write(r.html.encode())
+                with files.open_output_stream(f"{root}/{place}/{r.folder}/{quote(r.name, safe='')}.{self.extension}") as out:
+                    out.write(r.content)
             last = r.folder, r.name
         return _Written(place, folders)
 
