@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quire.functions.geometry import overlap
+from quire.operators.primitives import by_page
 
 # Fonts and signs of mathematics.
 MATH_FONTS = r"(?i)cmmi|cmsy|cmex|msam|msbm|cambria ?math|stix|mtextra|mt-?extra|euclid|symbol"
@@ -17,24 +18,27 @@ def line_clusters(chars: DataFrame, gap: float = 0.5, gutter: float | None = Non
     Characters of a page are taken in order of their middle; a middle that lies more than `gap` sizes below the one
     before starts a line. The order of the text layer plays no part, so a line broken after every character
     is whole again. Text runs from left to right; a space wider than `gutter` sizes cuts a line in pieces, so that columns beside each
-    other are not one line (reading_order() puts the pieces in order). Pages are dealt out once; levels, lines and pieces of a page
-    are made where it is.
+    other are not one line (reading_order() puts the pieces in order). Characters may come as pages (doc_id, page_no, glyphs: see by_page());
+    nothing is shuffled then. Otherwise pages are dealt out once. A page is one row: its characters are sorted and cut into lines there.
     """
     page = ["doc_id", "page_no"]
-    middle = ((F.col("top") + F.col("bottom")) / 2).alias("middle")
-    levels = chars.repartition(*page).groupBy(*page, middle).agg(
-        F.min_by("size", F.struct("x0", "prim_id")).alias("size"), F.collect_list(F.struct("x0", "prim_id", "ch", *(["x1", "top", "bottom"] if gutter else []))).alias("signs"),
-        F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"),
-    )
-    order = Window.partitionBy(*page).orderBy("middle")
-    rows = levels.withColumn("breaks", F.coalesce((F.col("middle") - F.lag("middle").over(order) > gap * F.col("size")).cast("int"), F.lit(1)))
-    rows = rows.withColumn("line_no", F.sum("breaks").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    lines = rows.groupBy(*page, "line_no").agg(
-        F.sum(F.size("signs")).alias("n_chars"), F.min("x0").alias("x0"), F.min("top").alias("top"), F.max("x1").alias("x1"), F.max("bottom").alias("bottom"),
-        F.array_sort(F.flatten(F.collect_list("signs"))).alias("signs"), F.min_by("size", "middle").alias("size"),
+    sign = lambda c: F.struct(((c["top"] + c["bottom"]) / 2).alias("middle"), *[c[x].alias(x) for x in ("x0", "prim_id", "ch", "size", "x1", "top", "bottom")])
+    rows = by_page(chars).select(*page, F.sort_array(F.transform("glyphs", sign)).alias("signs"))
+    # a level's size is that of its first character
+    below = lambda p, c: F.when(c["middle"].eqNullSafe(p["middle"]), False).otherwise(F.coalesce(c["middle"] - p["middle"] > gap * c["size"], F.lit(True)))
+    starts = F.filter(F.sequence(F.lit(0), F.size("signs") - 1), lambda i: (i == 0) | below(F.get("signs", i - 1), F.get("signs", i)))
+    own = F.transform("starts", lambda s, i: F.slice("signs", s + 1, F.coalesce(F.get("starts", i + 1), F.size("signs")) - s))
+    lines = rows.withColumn("starts", F.when(F.size("signs") > 0, starts)).select(*page, F.posexplode(own).alias("at", "own"))
+    # a line of several levels is sorted again as one
+    first = F.get("own", F.lit(0))
+    level = lambda c: F.struct(first["middle"].alias("middle"), *[c[x].alias(x) for x in ("x0", "prim_id", "ch", "size", "x1", "top", "bottom")])
+    signs = F.when(first["middle"].eqNullSafe(F.element_at("own", -1)["middle"]), F.col("own")).otherwise(F.sort_array(F.transform("own", level)))
+    lines = lines.select(*page, (F.col("at") + 1).cast("long").alias("line_no"), first["size"].alias("size"), signs.alias("signs"))
+    lines = lines.select(
+        *page, "line_no", "size", "signs", F.size("signs").cast("long").alias("n_chars"), F.array_min("signs.x0").alias("x0"), F.array_min("signs.top").alias("top"), F.array_max("signs.x1").alias("x1"), F.array_max("signs.bottom").alias("bottom"),
     )
     if gutter is None:
-        return lines.select(*page, "line_no", "n_chars", "x0", "top", "x1", "bottom", F.array_join(F.transform("signs", lambda c: c["ch"]), "").alias("text"))
+        return lines.select(*page, "line_no", "n_chars", "x0", "top", "x1", "bottom", F.array_join("signs.ch", "").alias("text"))
     far = lambda i: F.get("signs", i)["x0"] - F.array_max(F.transform(F.slice("signs", F.lit(1), i), lambda c: c["x1"])) > gutter * F.col("size")
     at = F.sequence(F.lit(1), F.size("signs"))
     cuts = F.concat(F.array(F.lit(0)), F.filter(at, lambda i: (i < F.size("signs")) & far(i)), F.array(F.size("signs")))
@@ -129,14 +133,29 @@ def reading_order(boxes: DataFrame, gutter: float = 12.0, slack: float = 1.0, de
 def bands(boxes: DataFrame, bin_width: float = 6.0, min_gap: int = 2) -> DataFrame:
     """Columns of each page: runs of x bins that boxes fill, apart by `min_gap` empty bins or more.
 
-    Boxes are counted by bin before anything is sorted, so the window runs over a page's bins, not over its characters.
+    Boxes may come as pages (see by_page()); nothing is shuffled then. Otherwise they are counted by bin before they are dealt out. A
+    page's bins are sorted in one row and cut where they lie apart.
     """
-    spread = F.explode(F.sequence(F.floor(F.col("x0") / bin_width), F.greatest(F.floor(F.col("x0") / bin_width), F.ceil(F.col("x1") / bin_width) - 1)))
-    filled = boxes.select("doc_id", "page_no", spread.alias("bin")).groupBy("doc_id", "page_no", "bin").agg(F.count("*").alias("n"))
-    order = Window.partitionBy("doc_id", "page_no").orderBy("bin")
-    rows = filled.withColumn("starts", F.coalesce((F.col("bin") - F.lag("bin").over(order) > min_gap).cast("int"), F.lit(1)))
-    rows = rows.withColumn("band_no", F.sum("starts").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return rows.groupBy("doc_id", "page_no", "band_no").agg((F.min("bin") * bin_width).alias("x0"), ((F.max("bin") + 1) * bin_width).alias("x1"), F.sum("n").alias("n"))
+    page = ["doc_id", "page_no"]
+    low = lambda x0: F.floor(x0 / bin_width)
+    high = lambda x0, x1: F.greatest(low(x0), F.ceil(x1 / bin_width) - 1)
+    if "glyphs" in boxes.columns:
+        wide = F.filter("glyphs", lambda c: high(c["x0"], c["x1"]) > low(c["x0"]))
+        whole = F.filter("glyphs", lambda c: c["x0"].isNotNull() & c["x1"].isNotNull())
+        each = F.concat(F.transform(whole, lambda c: low(c["x0"])), F.flatten(F.transform(wide, lambda c: F.sequence(low(c["x0"]) + 1, high(c["x0"], c["x1"])))))
+        counted = boxes.select(*page, F.sort_array(each).alias("bins"))
+    else:
+        filled = boxes.select(*page, F.explode(F.sequence(low(F.col("x0")), high(F.col("x0"), F.col("x1")))).alias("bin")).groupBy(*page, "bin").agg(F.count("*").alias("n"))
+        counted = filled.groupBy(*page).agg(F.sort_array(F.collect_list(F.struct("bin", "n"))).alias("own")).select(*page, F.col("own.bin").alias("bins"), F.col("own.n").alias("ns"))
+    starts = F.filter(F.sequence(F.lit(0), F.size("bins") - 1), lambda i: (i == 0) | (F.get("bins", i) - F.get("bins", i - 1) > min_gap))
+    total = lambda s, n: n if "ns" not in counted.columns else F.aggregate(F.slice("ns", s + 1, n.cast("int")), F.lit(0).cast("long"), lambda a, v: a + v)
+
+    def band(s: Column, i: Column) -> Column:
+        after = F.coalesce(F.get("starts", i + 1), F.size("bins"))
+        return F.struct((i + 1).cast("long").alias("band_no"), (F.get("bins", s) * bin_width).alias("x0"), ((F.get("bins", after - 1) + 1) * bin_width).alias("x1"), total(s, (after - s).cast("long")).alias("n"))
+
+    rows = counted.withColumn("starts", F.when(F.size("bins") > 0, starts))
+    return rows.select(*page, F.explode(F.transform("starts", band)).alias("b")).select(*page, "b.*")
 
 
 def column_of(lines: DataFrame, bands: DataFrame) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Stand-in layout of plain text: points of a character and a line, lines of a page.
 STEP, LEADING, PAGE_LINES = 6.0, 12.0, 40
@@ -28,6 +29,34 @@ def glyphs(docs: DataFrame) -> DataFrame:
     )
 
 
+def glyph_pages(docs: DataFrame, keep: Callable[[dict[str, Column]], list[Column]] | None = None) -> DataFrame:
+    """The characters of glyphs() as a parser hands them over, page by page: doc_id, page_no, glyphs, an array of line_no, col, ch and box.
+
+    One map over the documents, without a shuffle: a page's characters are never apart. Pages without a glyph have no row; a doc_id has to be one
+    row. `keep` makes other fields from the columns of a glyph, so that nothing is made that nobody reads.
+    """
+    lines = docs.select("doc_id", F.split("text", "\n").alias("lines"))
+    own = lambda lines, p: F.struct(p.alias("page_no"), F.slice(lines, p * PAGE_LINES + 1, PAGE_LINES).alias("lines"))
+    pages = F.transform(F.sequence(F.lit(0), F.floor((F.size("lines") - 1) / PAGE_LINES).cast("int")), lambda p: own(F.col("lines"), p))
+    rows = lines.filter("lines is not null").select("doc_id", F.explode(pages).alias("p")).select("doc_id", "p.page_no", "p.lines")
+
+    def glyph(ch: Column, col: Column, i: Column) -> Column:
+        made = {"line_no": F.col("page_no") * PAGE_LINES + i, "col": col, "ch": ch, "x0": col * STEP, "top": i * LEADING, "x1": (col + 1) * STEP, "bottom": (i + 1) * LEADING}
+        return F.struct(*(keep(made) if keep else [v.alias(k) for k, v in made.items()]))
+
+    made = F.flatten(F.transform("lines", lambda line, i: F.transform(F.when(line != "", F.split(line, "")).otherwise(F.array().cast("array<string>")), lambda ch, col: glyph(ch, col, i))))
+    return rows.filter(F.exists("lines", lambda line: line != "")).select("doc_id", "page_no", made.alias("glyphs"))
+
+
+def by_page(chars: DataFrame) -> DataFrame:
+    """Characters as pages (doc_id, page_no, glyphs), dealt out once; pages stay as they are."""
+    if "glyphs" in chars.columns:
+        return chars
+    page = ["doc_id", "page_no"]
+    own = F.struct(*[F.col(f"`{c}`") for c in chars.columns if c not in page])
+    return chars.repartition(*page).groupBy(*page).agg(F.collect_list(own).alias("glyphs"))
+
+
 def deduplicated(prims: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row for each key, the first in `order`, which has to be total: the choice never depends on partitioning.
 

@@ -41,9 +41,9 @@ SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, CAST(sum(n) AS BIGINT) AS n_c
   CASE WHEN sum(CASE WHEN (col + 1) * 6 > 612 THEN n ELSE 0 END) > 0 THEN 'B' ELSE 'A' END AS route FROM p GROUP BY doc_id, page_no""")
 def page_profile(spark: SparkSession, sf: str) -> DataFrame:
     """S0.2, S0.7, S0.8, S0.11 over the glyph pages: duplicates, outsiders and route."""
-    chars = standins.chars(spark, sf).withColumns({"fontname": F.lit("grid"), "has_unicode_map": F.lit(True)})
+    font = lambda g: [g["ch"].alias("ch"), F.lit("grid").alias("fontname"), F.lit(True).alias("has_unicode_map"), *[g[c].alias(c) for c in ("x0", "top", "x1", "bottom")]]
     none = spark.createDataFrame([], "doc_id long, page_no int, x0 double, top double, x1 double, bottom double")
-    found = health.page_health(chars, standins.page_sizes(standins.lines(spark, sf)), none)
+    found = health.page_health(None, standins.pages(spark, sf, font), none)
     return found.select("doc_id", F.col("page_no").cast("long").alias("page_no"), "n_chars", "n_dup", "n_oob", "route")
 
 
@@ -82,7 +82,8 @@ def prim_duplicates(spark: SparkSession, sf: str) -> DataFrame:
   (ln % 40) * 12::DOUBLE AS top, length(text) * 6::DOUBLE AS x1, text FROM lines""")
 def line_cluster(spark: SparkSession, sf: str) -> DataFrame:
     """S1.1, S2.4, S2.5, S4.8: lines found again from glyph geometry alone."""
-    found = lines.line_clusters(standins.chars(spark, sf))
+    prim = lambda g: [(g["line_no"].cast("long") * 1_000_000 + g["col"]).alias("prim_id"), g["ch"].alias("ch"), F.lit(standins.LEADING).alias("size"), *[g[c].alias(c) for c in ("x0", "top", "x1", "bottom")]]
+    found = lines.line_clusters(standins.pages(spark, sf, prim))
     return found.select("doc_id", F.col("page_no").cast("long").alias("page_no"), "line_no", "n_chars", "top", "x1", "text")
 
 
@@ -92,7 +93,8 @@ k AS (SELECT *, sum(starts) OVER (PARTITION BY doc_id, page_no ORDER BY col ROWS
 SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, CAST(band_no AS BIGINT) AS band_no, min(col) * 6::DOUBLE AS x0, (max(col) + 1) * 6::DOUBLE AS x1, CAST(sum(n) AS BIGINT) AS n FROM k GROUP BY doc_id, page_no, band_no""")
 def column_bands(spark: SparkSession, sf: str) -> DataFrame:
     """S2.6: bands of filled columns on each page."""
-    found = lines.bands(standins.chars(spark, sf).filter("ch <> ' '"))
+    box = lambda g: [F.when(g["ch"] != " ", g["x0"]).alias("x0"), g["x1"].alias("x1")]  # noqa: E731  a space has no box
+    found = lines.bands(standins.pages(spark, sf, box))
     return found.select("doc_id", F.col("page_no").cast("long").alias("page_no"), "band_no", "x0", "x1", "n")
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
 
-from quire.operators.primitives import LEADING, PAGE_LINES, STEP, glyphs
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from quire.operators.primitives import LEADING, PAGE_LINES, STEP, by_page, glyph_pages, glyphs
 from quire.session import table
 
 WIDTH, HEIGHT = 612.0, PAGE_LINES * LEADING
@@ -16,6 +18,17 @@ def chars(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("prim_id", F.col("line_no").cast("long") * 1_000_000 + F.col("col")).withColumn("size", F.lit(LEADING))
 
 
+def pages(spark: SparkSession, sf: str, keep: Callable[[dict[str, Column]], list[Column]]) -> DataFrame:
+    """The same glyphs page by page, with the fields that `keep` makes, and the page's size. Documents that share a doc_id share its pages, so they meet by page first."""
+    docs = table(spark, sf, "documents")
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        found = glyph_pages(docs, keep)
+    else:
+        rows = glyphs(docs)
+        found = by_page(rows.select("doc_id", "page_no", *keep({c: F.col(c) for c in rows.columns})))
+    return found.withColumns({"width": F.lit(WIDTH), "height": F.lit(HEIGHT)})
+
+
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of all documents that are not empty, as boxes on pages; leading spaces indent them."""
     rows = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "text")).filter("text <> ''")
