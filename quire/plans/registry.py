@@ -208,8 +208,8 @@ def cell_grid(spark: SparkSession, sf: str) -> DataFrame:
 SELECT k AS doc_id, r, c, 'right' AS side FROM e WHERE c < cols AND NOT EXISTS (SELECT 1 FROM v WHERE v.k = e.k AND v.x = e.x1 AND v.top = e.top AND e.bottom = e.top + 10)""")
 def merged_gaps(spark: SparkSession, sf: str) -> DataFrame:
     """S5.5: inner sides of cells that no rule covers."""
-    rules = standins.rules(spark, sf)
-    return tables.gaps(tables.grid(rules), rules).select("doc_id", F.col("r").cast("long").alias("r"), F.col("c").cast("long").alias("c"), "side")
+    gap = lambda g: F.struct(g["r"].cast("long").alias("r"), g["c"].cast("long").alias("c"), g["side"].alias("side"))
+    return tables.laid_out(standins.rules(spark, sf)).select("doc_id", F.explode(F.transform("gaps", gap)).alias("g")).select("doc_id", "g.*")
 
 
 @query(f"""WITH {_RULES}, p AS (SELECT l_orderkey AS k, l_partkey, l_quantity % 30 AS x, l_linenumber * 10::DOUBLE + 5 AS y FROM lineitem)

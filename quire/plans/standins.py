@@ -44,16 +44,17 @@ def page_sizes(lines: DataFrame) -> DataFrame:
 
 
 def rules(spark: SparkSession, sf: str) -> DataFrame:
-    """An order is a table with a row for each line number and three columns; returned or filled items lack an inner rule."""
-    items = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"), F.max("l_linestatus").alias("status"))
-    key = [F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("page_no"), F.lit(0).alias("table_id")]
-    n = F.col("l_linenumber").cast("double")
+    """An order is a table with a row for each line number and three columns; returned or filled items lack an inner rule. Rules come by table."""
+    items = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus").repartition("l_orderkey")
+    items = items.groupBy("l_orderkey", "l_linenumber").agg(F.max("l_returnflag").alias("flag"), F.max("l_linestatus").alias("status"))
+    own = items.groupBy("l_orderkey").agg(F.collect_list(F.struct(F.col("l_linenumber").cast("double").alias("n"), "flag", "status")).alias("items"))
     made = lambda kind, x0, top, x1, bottom: F.struct(F.lit(kind).alias("orientation"), x0.alias("x0"), top.alias("top"), x1.alias("x1"), bottom.alias("bottom"))
-    v = lambda x, show: F.when(show, made("vertical", F.lit(x), n * 10, F.lit(x), n * 10 + 10))
+    v = lambda i, x, show: F.when(show, made("vertical", F.lit(x), i["n"] * 10, F.lit(x), i["n"] * 10 + 10))
     h = lambda at: made("horizontal", F.lit(0.0), at, F.lit(30.0), at)
     true = F.lit(True)
-    each = F.array(v(0.0, true), v(10.0, F.col("flag") != "R"), v(20.0, F.col("status") != "F"), v(30.0, true), h(n * 10), h(n * 10 + 10))
-    return items.select(*key, F.explode(F.filter(each, lambda r: r.isNotNull())).alias("r")).select("doc_id", "page_no", "table_id", "r.*")
+    each = lambda i: F.array(v(i, 0.0, true), v(i, 10.0, i["flag"] != "R"), v(i, 20.0, i["status"] != "F"), v(i, 30.0, true), h(i["n"] * 10), h(i["n"] * 10 + 10))
+    made_of = F.filter(F.flatten(F.transform("items", each)), lambda r: r.isNotNull())
+    return own.select(F.col("l_orderkey").alias("doc_id"), F.lit(0).alias("page_no"), F.lit(0).alias("table_id"), made_of.alias("rules"))
 
 
 def questions(spark: SparkSession, sf: str) -> DataFrame:
