@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from quire.functions.text import score_of, token_kind, token_label, token_number
 
@@ -38,47 +40,82 @@ def _best_reading(kinds: list[str], numbers: list[int], worth: list[float]) -> l
     return [*min(best.values())[1]]
 
 
+#: What a block may be; its place is its number in the rows that readers get.
+KINDS = ("text", "section", "question", "subquestion", "option")
+
+
+@lru_cache(maxsize=50_000)
+def _reading(rows: bytes) -> tuple[tuple, tuple, tuple, tuple]:
+    """kind, section_no, q_no and sub_no of a paper's blocks: rows of kind, number, worth and whether a block is the one before again. Papers numbered alike are read once."""
+    kinds, numbers, worth, again = np.frombuffer(rows, np.int64).reshape(-1, 4).T
+    marks = np.flatnonzero((kinds > 0) & (again == 0))
+    taken = {int(marks[k]) for k in _best_reading([KINDS[k] for k in kinds[marks]], numbers[marks].tolist(), np.ascontiguousarray(worth[marks]).view(np.float64).tolist())}
+    out, at = [], [0, 0, 0]
+    real = False
+    for i, (kind, same) in enumerate(zip(kinds.tolist(), again.tolist(), strict=True)):
+        real = real if same else i in taken
+        if real and kind == 3:
+            at[2] += 1
+        elif real and kind == 2:
+            at[1:] = [at[1] + 1, 0]
+        elif real and kind == 1:
+            at[0] += 1
+        out.append((KINDS[kind] if real else "text", *at))
+    return tuple(zip(*out, strict=True))
+
+
+@F.arrow_udf(T.StructType([T.StructField("kind", T.ArrayType(T.StringType())), *[T.StructField(c, T.ArrayType(T.LongType())) for c in ("section_no", "q_no", "sub_no")]]))
+def _readings(kinds: pa.Array, numbers: pa.Array, worth: pa.Array, again: pa.Array) -> pa.Array:
+    flat = [a.flatten().to_numpy(zero_copy_only=False) for a in (kinds, numbers, worth, again)]
+    rows = np.stack([flat[0].astype(np.int64), flat[1].astype(np.int64), flat[2].astype(np.float64).view(np.int64), flat[3].astype(np.int64)], axis=1)
+    ends = np.cumsum(kinds.value_lengths().to_numpy(zero_copy_only=False)).tolist()
+    found = [_reading(rows[a:b].tobytes()) for a, b in zip([0, *ends], ends)]
+    lists = [pa.array([f[k] for f in found], pa.list_(pa.string() if k == 0 else pa.int64())) for k in range(4)]
+    return pa.StructArray.from_arrays(lists, ["kind", "section_no", "q_no", "sub_no"])
+
+
+def _read(blocks: DataFrame) -> DataFrame:
+    """Blocks with kind, section_no, q_no, sub_no, and label__ and score__, which their text alone gives."""
+    kept = [c for c in blocks.columns if c != "kind"]
+    order = [c for c in ("block_no", "text") if c in kept]
+    kind, score = token_kind(F.col("text")), score_of(F.col("text"))
+    rest = F.regexp_replace(F.ltrim("text"), r"^[0-9]{1,3}[.．、]\s*", "")
+    rows = blocks.select(*[F.col(f"`{c}`") for c in kept], kind.alias("kind__"), score.alias("score__"))
+    asked, marked = F.col("kind__") == "question", F.col("kind__") != "text"
+    worth = F.when(asked & rest.rlike("^[a-z]"), MIDWAY).otherwise(0.0) + F.when(asked & F.col("score__").isNotNull(), POINTS).otherwise(0.0)
+    code = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind__")).cast("int") - 1
+    number, label = F.when(marked, token_number(F.col("text"))), F.when(marked, token_label(F.col("text"))).otherwise("")
+    rows = rows.select(*[F.col(f"`{c}`") for c in kept], "score__", label.alias("label__"), F.coalesce(code, F.lit(0)).alias("code__"), F.coalesce(number, F.lit(0)).alias("number__"), worth.alias("worth__"))
+    own = F.struct(*[F.col(f"`{c}`") for c in [*order, *[c for c in kept if c not in ("doc_id", *order)], "score__", "label__", "code__", "number__", "worth__"]])
+    papers = rows.repartition("doc_id").groupBy("doc_id").agg(F.sort_array(F.collect_list(own)).alias("own"))
+    again = F.transform("own", lambda b, i: F.coalesce((i > 0) & F.struct(b["block_no"], b["text"]).eqNullSafe(F.struct(F.get("own", i - 1)["block_no"], F.get("own", i - 1)["text"])), F.lit(False)).cast("int"))
+    papers = papers.withColumn("read", _readings(F.col("own.code__"), F.col("own.number__"), F.col("own.worth__"), again))
+    each = F.arrays_zip(F.col("own"), *[F.col(f"read.{c}").alias(c) for c in ("kind", "section_no", "q_no", "sub_no")])
+    rows = papers.select("doc_id", F.explode(each).alias("x"))
+    return rows.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"x.own.`{c}`").alias(c) for c in kept], "x.kind", "x.section_no", "x.q_no", "x.sub_no", "x.own.label__", "x.own.score__")
+
+
 def decoded(blocks: DataFrame) -> DataFrame:
     """Blocks (doc_id, block_no, text) with kind: markers that the numbering of the paper bears out, all else is text.
 
     Every marker is a candidate of its kind or text. For each state (section, question, subquestion, option, whether a section has begun
     since the last question), the best reading of a paper's candidates so far is kept, in the order of block_no: numbers that
     follow their level's counter gain EXPECTED, others lose, and so does a marker that is read as text. The best reading at the end decides;
-    of equals, the one that takes the earlier markers. All states are kept, so the result is the best path. Blocks without a
-    marker do not travel; a paper's candidates meet in one row. Rows alike in block_no and text have one kind; null texts are text.
+    of equals, the one that takes the earlier markers. All states are kept, so the result is the best path. A paper's blocks meet in one
+    row, by one shuffle. Rows alike in block_no and text have one kind; null texts are text.
     """
-    kind, number = token_kind(F.col("text")), token_number(F.col("text"))
-    rest = F.regexp_replace(F.ltrim("text"), r"^[0-9]{1,3}[.．、]\s*", "")
-    worth = F.when((kind == "question") & rest.rlike("^[a-z]"), MIDWAY).otherwise(0.0) + F.when((kind == "question") & score_of(F.col("text")).isNotNull(), POINTS).otherwise(0.0)
-    name = F.xxhash64("block_no", "text")
-    marks = blocks.filter(kind != "text").select("doc_id", F.struct("block_no", "text", name.alias("name"), kind.alias("kind"), number.alias("n"), worth.alias("worth")).alias("mark"))
-    papers = marks.groupBy(F.col("doc_id").alias("doc__")).agg(F.array_sort(F.collect_set("mark")).alias("marks"))
-    papers = papers.select("doc__", *[F.col(f"marks.{c}").alias(c) for c in ("name", "kind", "n", "worth")])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, *marks = (batch.column(c).to_pylist() for c in ("name", "kind", "n", "worth"))
-            kept = [[own[k] for k in _best_reading(*m)] for own, *m in zip(names, *marks, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc__"), pa.array(kept, pa.list_(pa.int64()))], ["doc__", "kept__"])
-
-    found = papers.mapInArrow(read, f"doc__ {papers.schema['doc__'].dataType.simpleString()}, kept__ array<long>")
-    rows = blocks.join(found, F.col("doc_id").eqNullSafe(F.col("doc__")), "left")
-    real = F.coalesce(F.array_contains("kept__", name), F.lit(False))
-    return rows.select(*[F.col(f"`{c}`") for c in blocks.columns if c != "kind"], F.when(real, kind).otherwise("text").alias("kind"))
+    return _read(blocks).drop("section_no", "q_no", "sub_no", "label__", "score__")
 
 
 def numbered(blocks: DataFrame) -> DataFrame:
     """Blocks with kind, label, section_no, q_no and sub_no: running counts whose inner levels start anew in each outer one.
 
-    Kinds are those of decoded(), so a stray number is text and opens no question. The grammar's levels are nested running sums over one
-    order, so a question may cross pages.
+    Kinds are those of decoded(), so a stray number is text and opens no question. The counts run through a paper in the row where it is
+    read, so a question may cross pages.
     """
-    label = F.when(F.col("kind") == "text", "").otherwise(token_label(F.col("text")))
-    rows = decoded(blocks).select("*", label.alias("label"), score_of(F.col("text")).alias("score"))
-    up_to = lambda *keys: Window.partitionBy("doc_id", *keys).orderBy("block_no").rowsBetween(Window.unboundedPreceding, 0)
-    count = lambda kind, *keys: F.sum((F.col("kind") == kind).cast("int")).over(up_to(*keys))
-    rows = rows.withColumn("section_no", count("section")).withColumn("q_no", count("question"))
-    return rows.withColumn("sub_no", count("subquestion", "q_no"))
+    rows = _read(blocks)
+    own = [c for c in rows.columns if c not in ("section_no", "q_no", "sub_no", "label__", "score__")]
+    return rows.select(*[F.col(f"`{c}`") for c in own], F.when(F.col("kind") == "text", "").otherwise(F.col("label__")).alias("label"), F.col("score__").alias("score"), "section_no", "q_no", "sub_no")
 
 
 def region(rows: DataFrame, within: list[str], order: list[str], starts: Column, stops: Column, name: str) -> DataFrame:
