@@ -62,18 +62,14 @@ def unbalanced(prims: DataFrame, consumption: DataFrame, levels: list[str], keys
     """Rows of conservation() that are not consumed exactly once, found from the whole to the part.
 
     `levels`, from the outermost (doc_id, then page_no, ...), are columns of both sides and keys of a primitive; keys are unique among primitives. Digests are made for the
-    innermost groups only, in one pass over each side, and merged outwards; only outer groups that differ have their inner ones compared, and only
-    rows of inner groups that differ are joined by primitive. Clean documents shuffle one row of digests for each inner group and no primitive.
+    outermost groups first, combined before their shuffle; only outer groups that differ have digests of their inner ones made, and only
+    rows of inner groups that differ are joined by primitive. Both sides are read once for each level. Clean documents shuffle one row of digests each and no primitive.
     Consumption of what is no primitive is returned too, with state `unknown`. Groups of a null level are groups like any other.
     """
-    mine, other = (stored(digests(side, levels, keys), "digests") for side in (prims, consumption))
-    merged = lambda d, by: d.groupBy(*by).agg(F.sum("n").alias("n"), *[F.struct(F.sum(f"{h}.{h}_low").alias(f"{h}_low"), F.sum(f"{h}.{h}_high").alias(f"{h}_high")).alias(h) for h in "ab"])
     for depth in range(1, len(levels) + 1):
         by = levels[:depth]
-        odd = stored(_unequal(merged(mine, by), merged(other, by), by), "unequal")
-        if depth < len(levels):
-            mine, other = (_of(d, odd, by) for d in (mine, other))
-    prims, consumption = (_of(side, odd, levels) for side in (prims, consumption))
+        odd = stored(unequal(prims, consumption, by, keys), "unequal")
+        prims, consumption = (_of(side, odd, by) for side in (prims, consumption))
     rows = conservation(prims, consumption, keys).filter("state <> 'once'")
     known = prims.select(*[F.col(k).alias(f"{k}__") for k in keys])
     strange = consumption.join(known, reduce(and_, [F.col(k).eqNullSafe(F.col(f"{k}__")) for k in keys]), "left_anti").groupBy(*keys).agg(F.count("*").alias("uses")).withColumn("state", F.lit("unknown"))
