@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quire.functions.geometry import overlap
+from quire.functions.xycut import xy_cut
 from quire.operators.primitives import by_page
+from quire.session import bounded_batches
 
 # Fonts and signs of mathematics.
 MATH_FONTS = r"(?i)cmmi|cmsy|cmex|msam|msbm|cambria ?math|stix|mtextra|mt-?extra|euclid|symbol"
@@ -60,74 +62,23 @@ def reading_order(boxes: DataFrame, gutter: float = 12.0, slack: float = 1.0, de
     A region is cut into strips, where no box crosses (boxes may overlap by `slack`). Strips from the top down share a region as long as one
     gap of `gutter` or more runs through all of them, or none has any: a heading across two columns stays apart, and a short column
     beside a longer one does not. A region with gaps between its boxes falls into columns, from left to right, each of which is cut
-    again, `depth` times at most. Inside a region boxes go by top, x0 and number. A page is one row, after one shuffle; boxes with a null side
-    come last. Repeated boxes stay rows.
+    again, `depth` times at most. Inside a region boxes go by top, x0 and number. Boxes may come as pages (see by_page()); nothing is shuffled
+    then. Otherwise pages are dealt out once. A page is one row, and only its boxes' sides and numbers go through Python (xy_cut()); boxes
+    with a null side come last. Repeated boxes stay rows.
     """
     page = ["doc_id", "page_no"]
-    box = [F.col(c).cast("double").alias(c) for c in ("top", "x0", "x1", "bottom")]
-    whole = boxes.select("*", (F.col("x0") + F.col("x1") + F.col("top") + F.col("bottom")).isNull().alias("lost__"))
-    kinds = "array<struct<top:double,x0:double,x1:double,bottom:double,line_no:bigint,rest:struct<" + ",".join(f"`{c}`:{t}" for c, t in boxes.dtypes if c not in page) + ">>>"
-    rest = F.struct(*[F.col(f"`{c}`") for c in boxes.columns if c not in page])
-    own = F.collect_list(F.when(~F.col("lost__"), F.struct(*box, F.col("line_no").cast("long").alias("line_no"), rest.alias("rest"))))
-    lost = F.collect_list(F.when(F.col("lost__"), F.struct(*box, F.col("line_no").cast("long").alias("line_no"), rest.alias("rest"))))
-    ordered = lambda a: F.array_sort(a, lambda p, q: F.coalesce(*[F.when(p[c] < q[c], -1).when(p[c] > q[c], 1) for c in ("top", "x0", "line_no")], F.lit(0)))
-    rows = whole.groupBy(*page).agg(own.alias("own"), lost.alias("lost"))
-    gaps_kind = "array<struct<a:double,b:double>>"
-
-    def free(own: Column, left: Column, right: Column) -> Column:
-        """Parts of a strip of GUTTER or more that no box covers, from side to side."""
-        start = F.struct(left.alias("end"), F.array().cast(gaps_kind).alias("gaps"))
-        by_x = F.array_sort(F.transform(own, lambda r: F.struct(r["x0"].alias("x0"), r["x1"].alias("x1"))))
-        step = lambda a, r: F.struct(F.greatest(a["end"], r["x1"]).alias("end"), F.when(r["x0"] - a["end"] >= gutter, F.concat(a["gaps"], F.array(F.struct(a["end"].alias("a"), r["x0"].alias("b"))))).otherwise(a["gaps"]).alias("gaps"))
-        return F.aggregate(by_x, start, step, lambda a: F.when(right - a["end"] >= gutter, F.concat(a["gaps"], F.array(F.struct(a["end"].alias("a"), right.alias("b"))))).otherwise(a["gaps"]))
-
-    def common(p: Column, q: Column) -> Column:
-        """What two lists of gaps share, where it is wide enough."""
-        both = F.flatten(F.transform(p, lambda x: F.transform(q, lambda y: F.struct(F.greatest(x["a"], y["a"]).alias("a"), F.least(x["b"], y["b"]).alias("b")))))
-        return F.filter(both, lambda g: g["b"] - g["a"] >= gutter)
-
-    def cut(region: Column) -> Column:
-        """A region's parts in reading order."""
-        left, right = F.array_min(F.transform(region, lambda r: r["x0"])), F.array_max(F.transform(region, lambda r: r["x1"]))
-        strip = lambda own: F.struct(F.array_max(F.transform(own, lambda r: r["bottom"])).alias("end"), own.alias("own"))
-        strips_kind = "array<struct<end:double,own:" + kinds + ">>"
-        last = lambda a: F.element_at(a, -1)
-        joined = lambda a, x: F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(x))
-
-        def into_strips(a: Column, r: Column) -> Column:
-            return F.when((F.size(a) > 0) & (r["top"] < F.try_element_at(a, F.lit(-1))["end"] - slack), joined(a, strip(F.concat(last(a)["own"], F.array(r))))).otherwise(F.concat(a, F.array(strip(F.array(r)))))
-
-        strips = F.aggregate(ordered(region), F.array().cast(strips_kind), into_strips)
-        opened = F.transform(strips, lambda s: F.struct(free(s["own"], left, right).alias("gaps"), s["own"].alias("own")))
-        parts_kind = "array<struct<gaps:" + gaps_kind + ",own:" + kinds + ">>"
-
-        def into_parts(a: Column, s: Column) -> Column:
-            shared = common(F.try_element_at(a, F.lit(-1))["gaps"], s["gaps"])
-            same = (F.size(a) > 0) & ((F.size(shared) > 0) | ((F.size(F.try_element_at(a, F.lit(-1))["gaps"]) == 0) & (F.size(s["gaps"]) == 0)))
-            return F.when(same, joined(a, F.struct(shared.alias("gaps"), F.concat(last(a)["own"], s["own"]).alias("own")))).otherwise(F.concat(a, F.array(s)))
-
-        def inner(part: Column) -> Column:
-            """Gaps with boxes on both sides."""
-            return F.filter(part["gaps"], lambda g: F.exists(part["own"], lambda r: r["x1"] <= g["a"]) & F.exists(part["own"], lambda r: r["x0"] >= g["b"]))
-
-        def merged(a: Column, part: Column) -> Column:
-            """Parts of one column each, one below the other, are one again."""
-            one = (F.size(a) > 0) & (F.size(part["gaps"]) == 0) & (F.size(F.try_element_at(a, F.lit(-1))["gaps"]) == 0)
-            return F.when(one, joined(a, F.struct(part["gaps"].alias("gaps"), F.concat(last(a)["own"], part["own"]).alias("own")))).otherwise(F.concat(a, F.array(part)))
-
-        def columns(part: Column) -> Column:
-            place = lambda r: F.size(F.filter(part["gaps"], lambda g: g["b"] <= r["x0"]))
-            return F.transform(F.sequence(F.lit(0), F.size(part["gaps"])), lambda k: F.filter(part["own"], lambda r: place(r) == k))
-
-        parts = F.transform(F.aggregate(opened, F.array().cast(parts_kind), into_parts), lambda p: F.struct(inner(p).alias("gaps"), p["own"].alias("own")))
-        return F.flatten(F.transform(F.aggregate(parts, F.array().cast(parts_kind), merged), columns))
-
-    regions = F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.when(F.size("own") > 0, F.array(F.col("own").cast(kinds))).otherwise(F.array().cast(f"array<{kinds}>")), lambda a, _: F.flatten(F.transform(a, cut)))
-    rows = rows.withColumn("regions", regions)
-    rows = rows.withColumn("regions", F.when(F.size("lost") > 0, F.concat("regions", F.array(F.col("lost").cast(kinds)))).otherwise(F.col("regions")))
-    placed = F.flatten(F.transform("regions", lambda region, k: F.transform(ordered(region), lambda r: F.struct((k + 1).alias("region_no"), r["rest"].alias("rest")))))
-    rows = rows.select(*page, F.posexplode(placed).alias("order_no", "x"))
-    return rows.select(*page, *[F.col(f"x.rest.`{c}`").alias(c) for c in boxes.columns if c not in page], F.col("x.region_no").alias("region_no"), (F.col("order_no") + 1).alias("order_no"))
+    bounded_batches(boxes.sparkSession)
+    rows = by_page(boxes).select(*page, F.col("glyphs").alias("own"))
+    kept = [*page, *rows.schema["own"].dataType.elementType.names] if "glyphs" in boxes.columns else boxes.columns
+    lost = lambda r: (r["x0"] + r["x1"] + r["top"] + r["bottom"]).isNull()
+    sides = {c: "bigint" if c == "line_no" else "double" for c in ("top", "x0", "x1", "bottom", "line_no")}
+    ordered = lambda a: F.array_sort(a, lambda p, q: F.coalesce(*[F.when(p[c].cast(sides[c]) < q[c].cast(sides[c]), -1).when(p[c].cast(sides[c]) > q[c].cast(sides[c]), 1) for c in ("top", "x0", "line_no")], F.lit(0)))
+    last = F.concat(F.filter("own", lambda r: ~lost(r)), ordered(F.filter("own", lost)))
+    rows = rows.select(*page, F.when(F.exists("own", lost), last).otherwise(F.col("own")).alias("own"))
+    placed = xy_cut(gutter, slack, depth)(*[F.col(f"own.{c}").cast(f"array<{t}>") for c, t in sides.items()])
+    rows = rows.select(*page, "own", F.posexplode(placed).alias("order_no", "x"))
+    box = F.get("own", F.col("x.at"))
+    return rows.select(*[F.col(c) if c in page else box[c].alias(c) for c in kept], F.col("x.region_no").alias("region_no"), (F.col("order_no") + 1).alias("order_no"))
 
 
 def bands(boxes: DataFrame, bin_width: float = 6.0, min_gap: int = 2) -> DataFrame:

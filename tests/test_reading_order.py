@@ -51,6 +51,75 @@ def test_one_column_keeps_its_order_whatever_its_widths(spark):
     assert read(spark, boxes)[0] == [str(k) for k in range(20)]
 
 
+def test_pages_of_a_batch_are_cut_apart(spark):
+    """Pages of any number of strips, columns and turns, each as if it were alone; sides may be NaN or infinite, x1 may lie left of x0."""
+    rnd = random.Random(5)
+    odd = (float("nan"), float("inf"), -float("inf"), -40.0)
+    rows = []
+    for d in range(120):
+        for i in range(rnd.choice([1, 3, 12, 30])):
+            x0, top = float(rnd.randrange(0, 300, rnd.choice([1, 40]))), float(rnd.randrange(0, 200, 9))
+            box = [x0, top, x0 + rnd.choice([5, 20, 60, 200]), top + rnd.choice([1, 9, 30])]
+            if d % 4 == 0 and rnd.random() < 0.1:
+                box[rnd.randrange(4)] = rnd.choice(odd)
+            rows.append((d, 0, i, *box, str(i)))
+    shuffled = rnd.sample(rows, len(rows))
+    got = {}
+    for r in lines.reading_order(spark.createDataFrame(shuffled, LINE).coalesce(1)).orderBy("doc_id", "order_no").collect():
+        got.setdefault(r.doc_id, []).append((r.line_no, r.region_no))
+    for d in range(120):
+        own = sorted((r for r in rows if r[0] == d), key=lambda r: (order_of(r[4]), order_of(r[3]), r[2]))
+        assert got[d] == [(r[2], k + 1) for k, part in enumerate(recursive(own)) for r in part]
+
+
+def order_of(v):
+    return (v != v, 0 if v != v else v)
+
+
+def recursive(boxes, gutter=12.0, slack=1.0, depth=4):
+    """The same cut of one page's boxes, written plainly. NaN is the largest number."""
+    less = lambda a, b: order_of(a) < order_of(b)
+    high, low = lambda v: max(v, key=order_of), lambda v: min(v, key=order_of)
+    parts = [boxes]
+    for _ in range(depth):
+        parts = [c for p in parts if p for c in cut_once(p, gutter, slack, less, high, low)]
+    return parts
+
+
+def cut_once(boxes, gutter, slack, less, high, low):
+    left, right = low([r[3] for r in boxes]), high([r[5] for r in boxes])
+    strips = []
+    for r in boxes:
+        if strips and less(r[4], high([q[6] for q in strips[-1]]) - slack):
+            strips[-1].append(r)
+        else:
+            strips.append([r])
+    parts = []
+    for own in strips:
+        end, gaps = left, []
+        for r in sorted(own, key=lambda r: (order_of(r[3]), order_of(r[5]))):
+            if not less(r[3] - end, gutter):
+                gaps.append((end, r[3]))
+            end = high([end, r[5]])
+        if not less(right - end, gutter):
+            gaps.append((end, right))
+        both = [(high([a, c]), low([b, d])) for a, b in parts[-1][0] for c, d in gaps] if parts else []
+        both = [(a, b) for a, b in both if not less(b - a, gutter)]
+        if parts and (both or not (parts[-1][0] or gaps)):
+            parts[-1] = (both, parts[-1][1] + own)
+        else:
+            parts.append((gaps, own))
+    merged = []
+    for gaps, own in parts:
+        inner = [(a, b) for a, b in gaps if any(not less(a, r[5]) for r in own) and any(not less(r[3], b) for r in own)]
+        if merged and not inner and not merged[-1][0]:
+            merged[-1] = ([], merged[-1][1] + own)
+        else:
+            merged.append((inner, own))
+    place = lambda r, gaps: sum(not less(r[3], b) for _, b in gaps)
+    return [[r for r in own if place(r, gaps) == k] for gaps, own in merged for k in range(len(gaps) + 1)]
+
+
 def test_nulls_repeats_and_empty(spark):
     rows = [(1, 0, 1, 0.0, 0.0, 9.0, 9.0, "a"), (1, 0, 1, 0.0, 0.0, 9.0, 9.0, "a"), (1, 0, None, 0.0, 20.0, 9.0, 29.0, "b"), (1, 0, 4, None, 0.0, 9.0, 9.0, "c"), (None, 0, 1, 0.0, 0.0, 9.0, 9.0, "d"), (2, 1, 1, None, None, None, None, "e")]
     frame = spark.createDataFrame(rows, LINE)
