@@ -18,6 +18,8 @@ from quire.session import bounded_batches, removed, small, stored
 TOP = 10
 #: Documents of a block, in the order in which they are read, and postings beyond which a block is closed.
 DOCS, POSTINGS = 64, 1 << 17
+#: Blocks that a reader decodes at once: some 0.5 MB each in memory, 7 MB at most unless a single document has more postings.
+READ = 16
 #: Blocks with the highest bounds that are scored first, to find a threshold for each item.
 FIRST = 4
 #: Items and terms of a set of queries, about; the sets are searched one after the other.
@@ -109,7 +111,7 @@ def build(docs: DataFrame, block_docs: int = DOCS) -> Index:
 
     bounded_batches(docs.sparkSession)
     schema = f"block long, docs array<{kind}>, sizes array<long>, terms array<long>, holds array<int>, at array<int>, often array<int>"
-    blocks = stored(docs.select("doc_id", "text").mapInArrow(cut, schema), "blocks")
+    blocks = stored(docs.select("doc_id", "text").mapInArrow(cut, schema), "blocks", group_rows=READ)
     documents, total = (x or 0 for x in blocks.agg(F.sum(F.size("docs")), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, n: a + n))).first())
 
     def highest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,7 +125,7 @@ def build(docs: DataFrame, block_docs: int = DOCS) -> Index:
 
     most: list[np.ndarray] = []
     maxima = blocks.select("block", "sizes", "terms", "holds", "at", "often").mapInArrow(highest, "block long, terms array<long>, holds array<int>, most array<int>")
-    return Index(blocks, stored(maxima, "maxima"), documents, total)
+    return Index(blocks, stored(maxima, "maxima", group_rows=READ), documents, total)
 
 
 def _queries(items: DataFrame) -> DataFrame:

@@ -83,13 +83,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str = "t", path: str | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str = "t", path: str | None = None, group_rows: int | None = None) -> DataFrame:
     """Write df to the shared folder and read it again: cuts lineage, survives lost executors, has a known size.
 
-    Tables of steps that are over are deleted by removed(), all others when the driver ends.
+    Tables of steps that are over are deleted by removed(), all others when the driver ends. Rows that hold long arrays need `group_rows`, the
+    rows of a row group: a reader decodes 4,096 rows at once otherwise, whatever their size, but never more than a row group.
     """
     path = path or scratch(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    written = df.write.mode("overwrite")
+    (written.option("parquet.block.row.count.limit", group_rows) if group_rows else written).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -3,6 +3,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow.parquet as pq
 import pytest
 
 from quire.llm import search
@@ -85,6 +86,15 @@ def test_large_documents_close_a_block(spark, monkeypatch):
     assert got(search.search(index, spark.createDataFrame([(1, "t5 t7 t12")], "item_id long, text string"))) == plain_search(docs, [(1, "t5 t7 t12")])
 
 
+def test_few_blocks_are_decoded_at_once(spark):
+    """A block is some 0.5 MB in memory, so what a reader holds is bounded by row groups."""
+    index = build(spark.createDataFrame([(k, f"a b{k}") for k in range(50)], "doc_id long, text string").coalesce(1), 1)
+    for df in (index.blocks, index.maxima):
+        found = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in df.inputFiles()]
+        groups = [m.row_group(k).num_rows for m in found for k in range(m.num_row_groups)]
+        assert sum(groups) == df.count() == 50 and max(groups) <= search.READ
+
+
 def test_nulls_repeats_and_other_columns(spark):
     docs = [(None, "a b"), (1, "a b"), (1, "a b"), (2, None), (3, ""), (None, "a c c"), (4, "b")]
     items = [(7, "a"), (7, "a"), (8, None), (9, "..."), (None, "b"), (10, "zzz")]
