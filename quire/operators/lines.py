@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from quire.functions.geometry import overlap
+from quire.functions.glyphs import line_runs, strings
 from quire.functions.xycut import xy_cut
-from quire.operators.primitives import by_page
+from quire.operators.primitives import by_page, grid
 from quire.session import bounded_batches
 
 # Fonts and signs of mathematics.
@@ -22,8 +26,11 @@ def line_clusters(chars: DataFrame, gap: float = 0.5, gutter: float | None = Non
     is whole again. Text runs from left to right; a space wider than `gutter` sizes cuts a line in pieces, so that columns beside each
     other are not one line (reading_order() puts the pieces in order). Characters may come as pages (doc_id, page_no, glyphs: see by_page());
     nothing is shuffled then. Otherwise pages are dealt out once. A page is one row: its characters are sorted and cut into lines there.
+    Texts (doc_id, texts: see texts_of()) are laid out in the grid and cut in numpy, some pages at once, so that a glyph is never an object.
     """
     page = ["doc_id", "page_no"]
+    if "texts" in chars.columns:
+        return _lines_of_texts(chars, gap, gutter)
     sign = lambda c: F.struct(((c["top"] + c["bottom"]) / 2).alias("middle"), *[c[x].alias(x) for x in ("x0", "prim_id", "ch", "size", "x1", "top", "bottom")])
     rows = by_page(chars).select(*page, F.sort_array(F.transform("glyphs", sign)).alias("signs"))
     # a level's size is that of its first character
@@ -56,6 +63,21 @@ def line_clusters(chars: DataFrame, gap: float = 0.5, gutter: float | None = Non
     return rows.withColumn("line_no", number).drop("at")
 
 
+def _lines_of_texts(texts: DataFrame, gap: float, gutter: float | None) -> DataFrame:
+    bounded_batches(texts.sparkSession)
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for glyphs in grid(batch.column("texts")):
+                page, line_no, n, *box, ch = line_runs(glyphs, gap, gutter)
+                columns = [batch.column("doc_id").take(pa.array(glyphs.row[page])), pa.array(glyphs.page_no[page], pa.int32()), *map(pa.array, (line_no, n, *box)), strings(ch, n)]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "page_no", "line_no", "n_chars", "x0", "top", "x1", "bottom", "text"])
+
+    schema = f"doc_id {kind}, page_no int, line_no long, n_chars long, x0 double, top double, x1 double, bottom double, text string"
+    return texts.select("doc_id", "texts").mapInArrow(cut, schema)
+
+
 def reading_order(boxes: DataFrame, gutter: float = 12.0, slack: float = 1.0, depth: int = 4) -> DataFrame:
     """Boxes (doc_id, page_no, line_no, x0, top, x1, bottom) with region_no and order_no, both from 1 on: a recursive XY-cut of each page.
 

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from quire.functions.glyphs import Glyphs, laid_out
+
 #: Stand-in layout of plain text: points of a character and a line, lines of a page.
 STEP, LEADING, PAGE_LINES = 6.0, 12.0, 40
 KINDS = ("chars", "rules", "images")
@@ -48,6 +51,18 @@ def glyph_pages(docs: DataFrame, keep: Callable[[dict[str, Column]], list[Column
     return rows.filter(F.exists("lines", lambda line: line != "")).select("doc_id", "page_no", made.alias("glyphs"))
 
 
+def texts_of(docs: DataFrame) -> DataFrame:
+    """Plain texts as pages that are laid out where they are read (see grid()): doc_id, texts. Documents that share a doc_id share its pages, so they are one row; others are not shuffled."""
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return docs.select("doc_id", F.array("text").alias("texts"))
+    return docs.groupBy("doc_id").agg(F.collect_list("text").alias("texts"))
+
+
+def grid(texts: pa.ListArray) -> Iterator[Glyphs]:
+    """The characters of glyphs() in numpy, some pages at a time; they are 12 points in size."""
+    return laid_out(texts, STEP, LEADING, PAGE_LINES)
+
+
 def by_page(chars: DataFrame) -> DataFrame:
     """Characters as pages (doc_id, page_no, glyphs), dealt out once; pages stay as they are."""
     if "glyphs" in chars.columns:

@@ -82,8 +82,7 @@ def prim_duplicates(spark: SparkSession, sf: str) -> DataFrame:
   (ln % 40) * 12::DOUBLE AS top, length(text) * 6::DOUBLE AS x1, text FROM lines""")
 def line_cluster(spark: SparkSession, sf: str) -> DataFrame:
     """S1.1, S2.4, S2.5, S4.8: lines found again from glyph geometry alone."""
-    prim = lambda g: [(g["line_no"].cast("long") * 1_000_000 + g["col"]).alias("prim_id"), g["ch"].alias("ch"), F.lit(standins.LEADING).alias("size"), *[g[c].alias(c) for c in ("x0", "top", "x1", "bottom")]]
-    found = lines.line_clusters(standins.pages(spark, sf, prim))
+    found = lines.line_clusters(standins.texts(spark, sf))
     return found.select("doc_id", F.col("page_no").cast("long").alias("page_no"), "line_no", "n_chars", "top", "x1", "text")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from quire.operators.primitives import LEADING, PAGE_LINES, STEP, by_page, glyph_pages, glyphs
+from quire.operators.primitives import LEADING, PAGE_LINES, STEP, by_page, glyph_pages, glyphs, texts_of
 from quire.session import table
 
 WIDTH, HEIGHT = 612.0, PAGE_LINES * LEADING
@@ -29,6 +29,11 @@ def pages(spark: SparkSession, sf: str, keep: Callable[[dict[str, Column]], list
     return found.withColumns({"width": F.lit(WIDTH), "height": F.lit(HEIGHT)})
 
 
+def texts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same glyphs as texts that are laid out where they are read, and the page's size."""
+    return texts_of(table(spark, sf, "documents")).withColumns({"width": F.lit(WIDTH), "height": F.lit(HEIGHT)})
+
+
 def lines(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of all documents that are not empty, as boxes on pages; leading spaces indent them."""
     rows = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "text")).filter("text <> ''")
