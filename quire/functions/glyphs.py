@@ -134,3 +134,25 @@ def strings(ch: np.ndarray, n: np.ndarray) -> pa.StringArray:
     width = 1 + (ch >= 0x80).astype(np.int64) + (ch >= 0x800) + (ch >= 0x10000)
     offsets = np.append(0, np.cumsum(np.add.reduceat(width, np.cumsum(n) - n)))
     return pa.StringArray.from_buffers(len(n), pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ch.astype("<u4").tobytes().decode("utf-32-le").encode()))
+
+
+def _away(values: np.ndarray) -> np.ndarray:
+    """Rounded to whole numbers as Spark does it, halves away from zero; no negative zero."""
+    return np.copysign(np.floor(np.abs(values) + 0.5), values) + 0.0
+
+
+def repeats(glyphs: Glyphs, epsilon: float) -> np.ndarray:
+    """Of each page the glyphs that have the character and place (to `epsilon`) of another, but one of each."""
+    keys = [glyphs.ch, _away(glyphs.x0 / epsilon), _away(glyphs.top / epsilon)]
+    mixed = glyphs.page.astype(np.uint64)
+    for key in keys:
+        mixed = (mixed ^ key.astype(np.float64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    mixed.sort()
+    pages = len(glyphs.row)
+    if not (mixed[1:] == mixed[:-1]).any():  # equal glyphs have equal hashes
+        return np.zeros(pages, np.int64)
+    keys = [glyphs.page, *keys]
+    order = np.lexsort(keys[::-1])
+    same = np.logical_and.reduce([k[order][1:] == k[order][:-1] for k in keys])
+    return np.bincount(glyphs.page[order][1:][same], minlength=pages)

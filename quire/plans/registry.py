@@ -41,9 +41,8 @@ SELECT doc_id, CAST(page_no AS BIGINT) AS page_no, CAST(sum(n) AS BIGINT) AS n_c
   CASE WHEN sum(CASE WHEN (col + 1) * 6 > 612 THEN n ELSE 0 END) > 0 THEN 'B' ELSE 'A' END AS route FROM p GROUP BY doc_id, page_no""")
 def page_profile(spark: SparkSession, sf: str) -> DataFrame:
     """S0.2, S0.7, S0.8, S0.11 over the glyph pages: duplicates, outsiders and route."""
-    font = lambda g: [g["ch"].alias("ch"), F.lit("grid").alias("fontname"), F.lit(True).alias("has_unicode_map"), *[g[c].alias(c) for c in ("x0", "top", "x1", "bottom")]]
     none = spark.createDataFrame([], "doc_id long, page_no int, x0 double, top double, x1 double, bottom double")
-    found = health.page_health(None, standins.pages(spark, sf, font), none)
+    found = health.page_health(None, standins.texts(spark, sf), none)
     return found.select("doc_id", F.col("page_no").cast("long").alias("page_no"), "n_chars", "n_dup", "n_oob", "route")
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.functions import glyphs as flat
-from quire.operators import lines, primitives
+from quire.operators import health, lines, primitives
 from quire.plans import registry
 from tests.oracle import same
 
@@ -38,6 +38,17 @@ def test_lines_of_texts(spark, texts, gap, gutter):
     assert _sorted(found) == _sorted(want.select(*found.columns)) and found.count() > 8
 
 
+@pytest.mark.parametrize("texts", [TEXTS, TEXTS + AGAIN])
+def test_health_of_texts(spark, texts):
+    docs = spark.createDataFrame([t for t in texts if t[0] is not None], "doc_id long, text string")
+    images = spark.createDataFrame([(1, 0, 0.0, 0.0, 40.0, 470.0), (2, 1, 0.0, 0.0, 10.0, 10.0), (2, 9, 0.0, 0.0, 10.0, 10.0), (None, 0, 0.0, 0.0, 1.0, 1.0)], "doc_id long, page_no int, x0 double, top double, x1 double, bottom double")
+    rows, size = _rows(docs), {"width": F.lit(40.0), "height": F.lit(470.0)}
+    found = health.page_health(None, primitives.texts_of(docs).withColumns(size), images)
+    want = health.page_health(rows, rows.select("doc_id", "page_no").distinct().withColumns(size), images)
+    assert _sorted(found) == _sorted(want.select(*found.columns))
+    assert found.agg(F.sum("n_oob")).first()[0] > 90 and found.agg(F.sum("n_dup")).first()[0] == (6 if len(texts) > len(TEXTS) else 0)
+
+
 @pytest.mark.parametrize(("gap", "gutter"), [(0.5, None), (0.1, 0.4), (0.0, 0.0)])
 def test_lines_of_any_geometry(spark, gap, gutter):
     """Levels that overlap, ties and repeats: the numpy way against the rows'."""
@@ -55,6 +66,12 @@ def test_lines_of_any_geometry(spark, gap, gutter):
     assert found == sorted(map(tuple, want.collect()))
 
 
+def test_repeats_are_counted_to_epsilon():
+    page, x0 = np.array([0, 0, 0, 1, 1]), np.array([-0.25, -0.5, 0.1, 3.0, 3.3])
+    own = flat.Glyphs(page, np.array([65, 65, 65, 65, 65], np.uint32), *[np.zeros(5)] * 2, x0, *[np.zeros(5)] * 3, np.arange(2), np.zeros(2, int))
+    assert flat.repeats(own, 0.5).tolist() == [1, 0] and flat.repeats(own, 1.0).tolist() == [1, 1]
+
+
 def test_slices_of_a_batch():
     texts = pa.array([["skip"], None, ["a\nb", None, "c"], [], ["d" * 50]]).slice(1)
     found = [(g.row.tolist(), "".join(map(chr, g.ch)), g.page_no.tolist()) for g in flat.laid_out(texts, 6.0, 12.0, 1, 4)]
@@ -64,7 +81,7 @@ def test_slices_of_a_batch():
     assert cut(1) == cut(300) == cut(1 << 20) and len(cut(1)) > 2_000
 
 
-@pytest.mark.parametrize("name", ["line_cluster"])
+@pytest.mark.parametrize("name", ["line_cluster", "page_profile"])
 def test_no_glyph_is_an_object(spark, name):
     found = registry.QUERIES[name](spark, SF)
     assert "lambda" not in _plan(found) and "MapInArrow" in _plan(found) and same(found, registry.ORACLES[name], SF) > 0
