@@ -18,7 +18,7 @@ from quire.session import bounded_batches, removed, small, stored
 TOP = 10
 #: Documents of a block, in the order in which they are read, and postings beyond which a block is closed.
 DOCS, POSTINGS = 64, 1 << 17
-#: Blocks that a reader decodes at once: some 0.5 MB each in memory, 7 MB at most unless a single document has more postings.
+#: Blocks that a reader decodes at once: by calculation some 0.5 MB each in memory, 7 MB at most unless a single document has more postings.
 READ = 16
 #: Blocks with the highest bounds that are scored first, to find a threshold for each item.
 FIRST = 4
